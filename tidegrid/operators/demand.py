@@ -20,8 +20,11 @@ def demand_per_cell(
     bucket that holds a third of all events still sends one row per map task."""
     return (
         time_bucket(df, ts, width)
-        .groupBy(*key, "feature_window_start", "feature_window_end")
+        .groupBy(*key, "feature_window_start")
         .agg(F.count(value).alias("raw_demand_count"), F.sum(value).alias("demand_sum"))
+        .withColumn(
+            "feature_window_end", F.col("feature_window_start") + F.expr(f"interval {width}")
+        )
     )
 
 

@@ -2,14 +2,15 @@
 
 These windows are partitioned by the bare key. That is safe on their input: bucketed demand has at
 most one row per key and bucket (about 35,000 a year for 15 minutes), however many events a key
-has. All functions order by the same expression, so several of them share one shuffle and one sort.
+has. The ``*_columns`` forms give bare expressions: added in one ``withColumns`` they share one
+shuffle, one sort and one window pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -23,6 +24,24 @@ def _by_time(key: Sequence[str], ts: str):
     return W.partitionBy(*key).orderBy(F.unix_seconds(F.col(ts).cast("timestamp")))
 
 
+def cumulative_columns(
+    key: Sequence[str],
+    ts: str,
+    value: str,
+    minutes: Sequence[int] = LOOKBACKS,
+    step: int = 15,
+) -> dict[str, Column]:
+    w = _by_time(key, ts)
+    earlier = F.sum(value).over(w.rowsBetween(W.unboundedPreceding, -1))
+    position = F.row_number().over(w)
+    return {
+        f"demand_last_{m}min": F.when(position > max(m // step, 1), earlier)
+        .otherwise(0)
+        .cast("double")
+        for m in minutes
+    }
+
+
 def lookback_cumulative(
     df: DataFrame,
     key: Sequence[str],
@@ -33,17 +52,26 @@ def lookback_cumulative(
 ) -> DataFrame:
     """Running total of all earlier rows of the key, 0 until ``minutes / step`` of them exist.
     Counts rows, not time: gaps are ignored."""
+    return df.withColumns(cumulative_columns(key, ts, value, minutes, step))
+
+
+def trailing_columns(
+    key: Sequence[str], ts: str, value: str, minutes: Sequence[int] = LOOKBACKS
+) -> dict[str, Column]:
     w = _by_time(key, ts)
-    earlier = F.sum(value).over(w.rowsBetween(W.unboundedPreceding, -1))
-    position = F.row_number().over(w)
-    return df.withColumns(
-        {
-            f"demand_last_{m}min": F.when(position > max(m // step, 1), earlier)
-            .otherwise(0)
-            .cast("double")
-            for m in minutes
-        }
-    )
+    return {
+        f"demand_last_{m}min": F.coalesce(
+            F.sum(value).over(w.rangeBetween(-60 * m, -1)), F.lit(0)
+        ).cast("double")
+        for m in minutes
+    }
+
+
+def next_column(
+    key: Sequence[str], ts: str, value: str, target: str = TARGET
+) -> dict[str, Column]:
+    following = F.lead(value, 1).over(_by_time(key, ts))
+    return {target: F.coalesce(following, F.lit(0)).cast("double")}
 
 
 def lookback_trailing(
@@ -54,23 +82,14 @@ def lookback_trailing(
     minutes: Sequence[int] = LOOKBACKS,
 ) -> DataFrame:
     """Sum over the last ``minutes`` of time, current bucket excluded."""
-    w = _by_time(key, ts)
-    return df.withColumns(
-        {
-            f"demand_last_{m}min": F.coalesce(
-                F.sum(value).over(w.rangeBetween(-60 * m, -1)), F.lit(0)
-            ).cast("double")
-            for m in minutes
-        }
-    )
+    return df.withColumns(trailing_columns(key, ts, value, minutes))
 
 
 def next_demand(
     df: DataFrame, key: Sequence[str], ts: str, value: str, target: str = TARGET
 ) -> DataFrame:
     """Demand of the key's next row, 0 after the last one."""
-    following = F.lead(value, 1).over(_by_time(key, ts))
-    return df.withColumn(target, F.coalesce(following, F.lit(0)).cast("double"))
+    return df.withColumns(next_column(key, ts, value, target))
 
 
 def same_hour_last_day(

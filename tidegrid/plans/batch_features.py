@@ -9,9 +9,9 @@ from tidegrid.operators.demand import CELL, demand_per_cell, drop_unlabelled
 from tidegrid.operators.lookback import (
     LOOKBACKS,
     TARGET,
-    lookback_cumulative,
-    lookback_trailing,
-    next_demand,
+    cumulative_columns,
+    next_column,
+    trailing_columns,
 )
 
 
@@ -32,9 +32,8 @@ def batch_features(
     start = "feature_window_start"
     demand = demand_per_cell(grid_cell(events, lat, lon, size_km), CELL, ts, value)
     out = calendar_features(demand, start)
-    if lookback == "trailing":
-        out = lookback_trailing(out, CELL, start, "demand_sum", minutes)
-    else:
-        out = lookback_cumulative(out, CELL, start, "demand_sum", minutes)
-    out = next_demand(out, CELL, start, "demand_sum")
+    history = trailing_columns if lookback == "trailing" else cumulative_columns
+    out = out.withColumns(
+        history(CELL, start, "demand_sum", minutes) | next_column(CELL, start, "demand_sum")
+    )
     return drop_unlabelled(out, TARGET).drop("raw_demand_count", "demand_sum")

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tidegrid.functions.columns import calendar_features, grid_cell
 from tidegrid.operators.demand import CELL, demand_per_cell
-from tidegrid.operators.lookback import TARGET, lookback_trailing, next_demand
+from tidegrid.operators.lookback import TARGET, next_column, trailing_columns
 
 FEATURES = [
     "hour_of_day",
@@ -22,6 +21,29 @@ FEATURES = [
     "demand_last_1440min",
 ]
 
+# Message texts, in SQL that Spark and DuckDB read alike. Some are wrong on purpose: other kinds,
+# values out of range, fields missing or null.
+RECORD_TEXT = """'{"geohash_id":' || CASE WHEN event_id % 11 = 0 THEN 'null' ELSE '"' || geohash || '"' END
+  || ',"hour_of_day":' || CASE WHEN event_id % 7 = 0 THEN '"ten"' WHEN event_id % 13 = 0 THEN '30'
+       ELSE cast(hour(ts) AS string) END
+  || ',"demand_current_5min":' || CASE WHEN event_id % 5 = 0 THEN cast(demand AS string)
+       WHEN event_id % 17 = 0 THEN '-5.0' ELSE cast(demand AS string) || '.5' END
+  || ',"is_weekend":' || CASE WHEN event_id % 19 = 0 THEN '2' WHEN event_id % 23 = 0 THEN 'true' ELSE '0' END
+  || CASE WHEN event_id % 3 = 0 THEN '' ELSE ',"temperature_celsius":' || cast(event_id % 120 - 60 AS string) END
+  || '}'"""
+
+MESSAGE_TEXT = """CASE WHEN event_id % 29 = 0 THEN '{"event_timestamp":' ELSE
+  '{"event_timestamp":"2024-01-01T00:00:00"'
+  || ',"pickup_latitude":' || CASE WHEN event_id % 7 = 0 THEN '95.5' ELSE '35.5' END
+  || ',"pickup_longitude":51.25,"dropoff_latitude":' || CASE WHEN event_id % 31 = 0 THEN '"north"' ELSE '35' END
+  || ',"dropoff_longitude":51.5,"hour_of_day":' || cast(hour(ts) AS string)
+  || CASE WHEN event_id % 5 = 0 THEN '.0' ELSE '' END
+  || ',"day_of_week":3,"is_weekend":' || CASE WHEN event_id % 13 = 0 THEN '2' ELSE '0' END
+  || ',"is_holiday":0' || CASE WHEN event_id % 11 = 0 THEN '' ELSE ',"peak_hour_indicator":1' END
+  || ',"demand_at_pickup":' || CASE WHEN event_id % 17 = 0 THEN '-1' WHEN event_id % 19 = 0 THEN '2.5'
+       WHEN event_id % 23 = 0 THEN 'true' ELSE cast(demand AS string) END
+  || CASE WHEN event_id % 37 = 0 THEN ',"wind_speed":null' ELSE '' END || '}' END"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -60,8 +82,8 @@ def zone_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = calendar_features(cell_demand(spark, sf_dir), "feature_window_start")
-    d = lookback_trailing(d, CELL, "feature_window_start", "demand_sum")
-    return next_demand(d, CELL, "feature_window_start", "demand_sum")
+    where = (CELL, "feature_window_start", "demand_sum")
+    return d.withColumns(trailing_columns(*where) | next_column(*where))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,10 +98,9 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = lookback_trailing(
-        zone_demand(spark, sf_dir), ["zone"], "feature_window_start", "demand_sum"
-    )
-    return next_demand(d, ["zone"], "feature_window_start", "demand_sum").select(
+    where = (["zone"], "feature_window_start", "demand_sum")
+    d = zone_demand(spark, sf_dir)
+    return d.withColumns(trailing_columns(*where, [15]) | next_column(*where)).select(
         "zone",
         F.col("feature_window_start").alias("ts"),
         F.col(TARGET).alias("actual"),
@@ -87,6 +108,26 @@ def zone_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feature_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ride_events(spark, sf_dir).selectExpr("event_id", f"{RECORD_TEXT} AS record")
+
+
+def demand_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ride_events(spark, sf_dir).selectExpr("event_id", "ts", f"{MESSAGE_TEXT} AS message")
+
+
+def gappy_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with missing quantities and prices."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.when(F.col("l_partkey") % 7 != 0, F.col("l_quantity")).alias("l_quantity"),
+        F.when(F.col("l_partkey") % 11 != 0, F.col("l_extendedprice")).alias("l_extendedprice"),
+    )
+
+
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ride_events(spark, sf_dir).select(
         "event_id",
@@ -263,8 +304,3 @@ def latest(df: DataFrame, key: list[str], ts: str) -> DataFrame:
         .agg(F.max_by(F.struct(*rest), F.col(ts)).alias("_last"))
         .select(*key, "_last.*")
     )
-
-
-def previous_price(df: DataFrame) -> DataFrame:
-    w = W.partitionBy("zone").orderBy("ts", "event_id")
-    return df.withColumn("previous", F.lag("new_price").over(w))
