@@ -65,148 +65,168 @@ DEMAND_CONTRACT: Rules = {
     "future_demand_next_15min": {"type": "number", "min_value": 0},
 }
 
-KINDS = ("int", "float", "str", "bool", "list", "dict")
+def _text(value: Any) -> str:
+    """SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def json_kind(v: Column) -> Column:
-    """Kind of a JSON value, null for a missing or null one. Whole numbers beyond 64 bits are
-    decimals of scale 0 in a variant, but still whole."""
-    t = F.schema_of_variant(v)
-    whole = F.regexp_extract(t, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int") >= 19
+# Kinds of a variant's types. Whole numbers beyond 64 bits are decimals there.
+_KINDS = {
+    "BIGINT": "int", "DOUBLE": "float", "FLOAT": "float", "DECIMAL": "float", "STRING": "str",
+    "BOOLEAN": "bool", "ARRAY": "list", "OBJECT": "dict", "VOID": "null",
+}
+
+
+def kind_of(t: str) -> str:
+    """SQL: kind from a variant's type text. "null" for a JSON null, null for no value."""
+    pairs = ", ".join(f"'{k}', '{v}'" for k, v in _KINDS.items())
+    return f"element_at(map({pairs}), regexp_extract({t}, '[A-Z]+', 0))"
+
+
+# Texts a JSON parser may read as something else than a string.
+_AMBIGUOUS = ("true", "false", "NaN", "Infinity", "+INF", "INF", "-Infinity", "-INF")
+_CORRUPT = "_corrupt_record"
+
+
+def _with_json_fields(df: DataFrame, json_col: str, names: Sequence[str]) -> DataFrame:
+    """Add ``_f``: for each field a struct (kind, number, text) of its JSON value, and ``_object``:
+    is the text one JSON object?
+
+    The text is parsed twice for all fields together, as strings and as numbers; only a number
+    token gives a number, so the pair tells the kind. Building a variant per field and asking for
+    its type costs about ten times as much; it is kept for the few texts that could be either.
+
+    Spark copies an expression into the filters above it, which would parse once per check. The
+    last step therefore is a one-element ``inline``, which filters do not pass.
+    """
+
+    def schema(kind: str) -> str:
+        return ", ".join(f"`{n}` {kind}" for n in names)
+
+    options = {"columnNameOfCorruptRecord": _CORRUPT}
+    parsed = df.withColumns(
+        {
+            "_s": F.from_json(json_col, f"{schema('string')}, {_CORRUPT} string", options),
+            "_d": F.from_json(json_col, schema("double")),
+        }
+    )
+    ambiguous = ", ".join(_text(a) for a in _AMBIGUOUS)
+
+    def field(n: str) -> str:
+        text = f"_s.`{n}`"
+        value = f"try_variant_get(try_parse_json(`{json_col}`), {_text(f'$.{n}')}, 'variant')"
+        kind = f"""CASE WHEN {text} IS NULL AND NOT contains(`{json_col}`, '"{n}"') THEN NULL
+          WHEN {text} IS NULL OR substring({text}, 1, 1) IN ('[', '{{') OR {text} IN ({ambiguous})
+            THEN {kind_of(f"schema_of_variant({value})")}
+          WHEN _d.`{n}` IS NULL THEN 'str'
+          WHEN contains({text}, '.') OR contains(lower({text}), 'e') THEN 'float' ELSE 'int' END"""
+        return f"'{n}', named_struct('kind', {kind}, 'number', _d.`{n}`, 'text', {text})"
+
+    fields = ", ".join(field(n) for n in names)
+    found = f"""named_struct(
+      '_object', coalesce(_s.`{_CORRUPT}` IS NULL AND ltrim(`{json_col}`) LIKE '{{%', false),
+      '_f', named_struct({fields}))"""
     return (
-        F.when(t == "BIGINT", "int")
-        .when(F.coalesce(whole, F.lit(False)), "int")
-        .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "float")
-        .when(t == "STRING", "str")
-        .when(t == "BOOLEAN", "bool")
-        .when(t.startswith("ARRAY"), "list")
-        .when(t.startswith("OBJECT"), "dict")
+        parsed.withColumn("_found", F.expr(found))
+        .select(*df.columns, F.inline(F.array("_found")))
     )
 
 
 class _Value:
-    """What the checks need to know about one field."""
+    """SQL for what the checks need to know about one field."""
 
-    def __init__(self, kind: Column, number: Column, text: Column, present: Column):
+    def __init__(self, kind: str, number: str, text: str, present: str):
         self.kind, self.number, self.text, self.present = kind, number, text, present
 
 
-def _json_value(v: Column) -> _Value:
-    kind = json_kind(v)
-    number = F.try_variant_get(v, "$", "double")
-    plain = F.try_variant_get(v, "$", "string")
-    text = (
-        F.when(kind == "float", number.cast("string"))
-        .when(kind == "bool", F.initcap(plain))
-        .otherwise(plain)
-    )
-    return _Value(kind, number, text, kind.isNotNull())
+def _json_value(name: str) -> _Value:
+    f = f"_f.`{name}`"
+    kind = f"nullif({f}.kind, 'null')"
+    number = f"""(CASE WHEN {f}.kind <> 'bool' THEN {f}.number
+      WHEN {f}.text = 'true' THEN 1D ELSE 0D END)"""
+    text = f"""(CASE {f}.kind WHEN 'float' THEN cast({f}.number AS string)
+      WHEN 'bool' THEN initcap({f}.text) ELSE {f}.text END)"""
+    return _Value(kind, number, text, f"{kind} IS NOT NULL")
 
 
 def _column_value(df: DataFrame, name: str) -> _Value:
     if name not in df.columns:
-        none = F.lit(None)
-        return _Value(none.cast("string"), none.cast("double"), none.cast("string"), F.lit(False))
-    dt, c = df.schema[name].dataType, F.col(name)
+        return _Value("cast(NULL AS string)", "cast(NULL AS double)", "cast(NULL AS string)", "false")
+    dt, c = df.schema[name].dataType, f"`{name}`"
+    text = f"cast({c} AS string)"
     if isinstance(dt, T.IntegralType):
         kind = "int"
     elif isinstance(dt, (T.FractionalType, T.DecimalType)):
         kind = "float"
     elif isinstance(dt, T.BooleanType):
-        kind = "bool"
+        kind, text = "bool", f"initcap({text})"
     elif isinstance(dt, T.ArrayType):
-        kind = "list"
+        kind, text = "list", f"to_json({c})"
     elif isinstance(dt, (T.StructType, T.MapType)):
-        kind = "dict"
+        kind, text = "dict", f"to_json({c})"
     else:
         kind = "str"
-    number = c.try_cast("double") if kind in ("int", "float", "bool", "str") else F.lit(None).cast("double")
-    text = F.to_json(c) if kind in ("list", "dict") else c.cast("string")
-    return _Value(F.lit(kind), number, text, c.isNotNull())
-
-
-def _violations(name: str, rule: Mapping[str, Any], v: _Value, bool_is_int: bool) -> list[Column]:
-    def error(when: Column, kind: str, message: Column) -> Column:
-        return F.when(
-            when,
-            F.struct(
-                F.lit(name).alias("feature"), F.lit(kind).alias("rule"), message.alias("message")
-            ),
-        )
+    number = "cast(NULL AS double)" if kind in ("list", "dict") else f"try_cast({c} AS double)"
+    return _Value(f"'{kind}'", number, text, f"{c} IS NOT NULL")
+
+
+def _violations(name: str, rule: Mapping[str, Any], v: _Value, bool_is_int: bool) -> list[str]:
+    """SQL of the checks of one field, in order."""
+
+    def error(when: str, kind: str, *message: str) -> str:
+        text = ", ".join(message)
+        return f"""CASE WHEN {when} THEN named_struct(
+          'feature', {_text(name)}, 'rule', '{kind}', 'message', concat({text})) END"""
 
     out = []
     if rule.get("required"):
-        out.append(error(~v.present, "required", F.lit(f"Missing required feature: '{name}'")))
+        out.append(error(f"NOT ({v.present})", "required", _text(f"Missing required feature: '{name}'")))
     typed = v.present
     expected = rule.get("type")
     if expected:
         many = not isinstance(expected, str)
         names = tuple(expected) if many else (expected,)
-        accepted = set(names) | ({"bool"} if bool_is_int and "int" in names else set())
-        typed = v.present & v.kind.isin(sorted(accepted))
+        accepted = [*names, *(["bool"] if bool_is_int and "int" in names else [])]
+        members = ", ".join(_text(a) for a in accepted)
+        typed = f"{v.kind} IN ({members})"
         wanted = f"one of ({', '.join(names)})" if many else names[0]
-        out.append(
-            error(
-                v.present & ~v.kind.isin(sorted(accepted)),
-                "type",
-                F.concat(F.lit(f"Invalid type for '{name}': Expected {wanted}, got "), v.kind),
-            )
-        )
-    head = F.concat(F.lit(f"Value for '{name}' ("), v.text)
+        head = _text(f"Invalid type for '{name}': Expected {wanted}, got ")
+        out.append(error(f"{v.kind} NOT IN ({members})", "type", head, v.kind))
+    head = _text(f"Value for '{name}' (")
     low, high, allowed = rule.get("min_value"), rule.get("max_value"), rule.get("allowed_values")
     if low is not None:
-        out.append(
-            error(
-                typed & (v.number < F.lit(float(low))),
-                "min",
-                F.concat(head, F.lit(f") is below min_value ({low})")),
-            )
-        )
+        tail = _text(f") is below min_value ({low})")
+        out.append(error(f"{typed} AND {v.number} < {float(low)}D", "min", head, v.text, tail))
     if high is not None:
-        out.append(
-            error(
-                typed & (v.number > F.lit(float(high))),
-                "max",
-                F.concat(head, F.lit(f") is above max_value ({high})")),
-            )
-        )
+        tail = _text(f") is above max_value ({high})")
+        out.append(error(f"{typed} AND {v.number} > {float(high)}D", "max", head, v.text, tail))
     if allowed is not None:
+        tail = _text(f") is not in allowed_values: {list(allowed)}")
         if all(isinstance(a, str) for a in allowed):
-            member = v.text.isin(list(allowed))
+            member = f"{v.text} IN ({', '.join(_text(a) for a in allowed)})"
         else:
-            member = v.number.isin([float(a) for a in allowed])
-        out.append(
-            error(
-                typed & ~F.coalesce(member, F.lit(False)),
-                "allowed",
-                F.concat(head, F.lit(f") is not in allowed_values: {list(allowed)}")),
-            )
-        )
+            member = f"{v.number} IN ({', '.join(f'{float(a)}D' for a in allowed)})"
+        out.append(error(f"{typed} AND NOT coalesce({member}, false)", "allowed", head, v.text, tail))
     return out
 
 
-def _parsed(df: DataFrame, json_col: str, names: Sequence[str]) -> DataFrame:
-    schema = ", ".join(f"`{n}` variant" for n in names)
-    return df.withColumn("_json", F.from_json(json_col, schema))
-
-
 def find_violations(
     df: DataFrame, rules: Rules, json_col: str | None = None, bool_is_int: bool = True
 ) -> DataFrame:
     """Add ``violations``: array of (feature, rule, message) in rule order.
 
-    With ``json_col`` the record is the JSON text there, parsed once, and the kind of each value
-    is the one written in the message; otherwise the record is the row and kinds are column types.
+    With ``json_col`` the record is the JSON text there, and the kind of each value is the one
+    written in the message; otherwise the record is the row and kinds are column types.
     A whole number does not pass a float rule; true and false pass an int rule (as 1 and 0) unless
     ``bool_is_int`` is false. Range and member checks run only after the type check passed.
     """
-    work = _parsed(df, json_col, list(rules)) if json_col else df
-    found: list[Column] = []
+    found: list[str] = []
     for name, rule in rules.items():
-        v = _json_value(F.col(f"_json.`{name}`")) if json_col else _column_value(df, name)
+        v = _json_value(name) if json_col else _column_value(df, name)
         found += _violations(name, rule, v, bool_is_int)
-    out = work.withColumn("violations", F.array_compact(F.array(*found)))
-    return out.drop("_json") if json_col else out
+    work = _with_json_fields(df, json_col, list(rules)) if json_col else df
+    checks = F.expr(f"array_compact(array({', '.join(found)}))")
+    return work.withColumn("violations", checks).drop("_f", "_object")
 
 
 def validate_rules(
@@ -214,9 +234,7 @@ def validate_rules(
 ) -> DataFrame:
     """Add ``errors``: all error messages of the row, empty if it is valid."""
     checked = find_violations(df, rules, json_col, bool_is_int)
-    return checked.withColumn("errors", F.transform("violations", lambda x: x["message"])).drop(
-        "violations"
-    )
+    return checked.withColumn("errors", F.col("violations.message")).drop("violations")
 
 
 def rule_violations(df: DataFrame, rules: Rules, json_col: str | None = None) -> DataFrame:
@@ -229,26 +247,24 @@ def rule_violations(df: DataFrame, rules: Rules, json_col: str | None = None) ->
     )
 
 
-def _meets_contract(v: Column, rule: Mapping[str, Any]) -> Column:
-    t = F.schema_of_variant(v)
-    number = F.try_variant_get(v, "$", "double")
-    numeric = (t == "BIGINT") | t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
-    kind = rule.get("type")
+def _meets_contract(name: str, rule: Mapping[str, Any]) -> str:
+    """SQL: does the field meet its rule?"""
+    kind, number = f"_f.`{name}`.kind", f"_f.`{name}`.number"
     ok = {
-        "number": numeric,
-        "integer": numeric & (number == F.floor(number)),
-        "string": t == "STRING",
-        "boolean": t == "BOOLEAN",
-        None: F.lit(True),
-    }[kind]
+        "number": f"{kind} IN ('int', 'float')",
+        "integer": f"({kind} = 'int' OR ({kind} = 'float' AND {number} = floor({number})))",
+        "string": f"{kind} = 'str'",
+        "boolean": f"{kind} = 'bool'",
+        None: "true",
+    }[rule.get("type")]
     if rule.get("min_value") is not None:
-        ok = ok & (number >= F.lit(float(rule["min_value"])))
+        ok += f" AND {number} >= {float(rule['min_value'])}D"
     if rule.get("max_value") is not None:
-        ok = ok & (number <= F.lit(float(rule["max_value"])))
+        ok += f" AND {number} <= {float(rule['max_value'])}D"
     if rule.get("allowed_values") is not None:
-        ok = ok & number.isin([float(a) for a in rule["allowed_values"]])
-    missing = F.lit(not rule.get("required", False))
-    return F.when(t.isNull(), missing).otherwise(F.coalesce(ok, F.lit(False)))
+        ok += f" AND {number} IN ({', '.join(f'{float(a)}D' for a in rule['allowed_values'])})"
+    missing = "false" if rule.get("required") else "true"
+    return f"(CASE WHEN {kind} IS NULL THEN {missing} ELSE coalesce({ok}, false) END)"
 
 
 def check_contract(df: DataFrame, json_col: str, contract: Rules) -> DataFrame:
@@ -260,13 +276,9 @@ def check_contract(df: DataFrame, json_col: str, contract: Rules) -> DataFrame:
     """
     if not contract:
         return df.withColumn("is_valid", F.lit(False))
-    ok = F.lit(True)
-    if not any(rule.get("required") for rule in contract.values()):
-        kind = F.schema_of_variant(F.try_parse_json(json_col))
-        ok = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
-    for name, rule in contract.items():
-        ok = ok & _meets_contract(F.col(f"_json.`{name}`"), rule)
-    return _parsed(df, json_col, list(contract)).withColumn("is_valid", ok).drop("_json")
+    ok = " AND ".join(["_object", *[_meets_contract(n, r) for n, r in contract.items()]])
+    fields = _with_json_fields(df, json_col, list(contract))
+    return fields.withColumn("is_valid", F.expr(ok)).drop("_f", "_object")
 
 
 def quarantine(df: DataFrame, json_col: str, contract: Rules) -> tuple[DataFrame, DataFrame]:
@@ -478,14 +490,18 @@ def schema_compat(diff: DataFrame) -> DataFrame:
 
 def observed_schema_profile(df: DataFrame, json_col: str, ts: str) -> DataFrame:
     """Which fields really arrive, per day: messages, share missing, share null, kinds seen."""
-    entry = F.transform(
+
+    named = F.transform(
         F.map_entries(F.from_json(json_col, "map<string,variant>")),
-        lambda e: F.struct(e["key"].alias("field"), json_kind(e["value"]).alias("kind")),
+        lambda e: F.struct(e["key"].alias("field"), F.schema_of_variant(e["value"]).alias("type")),
     )
+    kind = f"nullif({kind_of('e.type')}, 'null')"
+    entry = F.expr(f"transform(_named, e -> named_struct('field', e.field, 'kind', {kind}))")
     whole = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("kind")))
     seen = (
-        df.select(
-            F.to_date(F.col(ts).cast("timestamp")).alias("day"),
+        df.select(F.to_date(F.col(ts).cast("timestamp")).alias("day"), named.alias("_named"))
+        .select(
+            "day",
             F.inline(F.concat(whole, F.coalesce(entry, F.slice(whole, 1, 0)))),
         )
         .groupBy("day", "field")

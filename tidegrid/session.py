@@ -10,22 +10,29 @@ from pyspark.sql import DataFrame, SparkSession
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+# Settings the operators count on; all of them may be set on a running session.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot never compiles a method above 8000 bytes of bytecode. Long rule lists produce such
+    # methods in whole-stage code; below this limit Spark splits them per operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+}
+
+
 def get_spark(app: str = "tidegrid", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with UTC time and adaptive execution.
+    """A session with the settings above.
 
     Shuffle partition counts are left to the cluster's own settings unless given in ``conf``
     (keys use ``_`` for ``.``); adaptive execution merges small partitions and splits skewed ones.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    )
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    for name, value in RUNTIME_CONF.items():
+        builder = builder.config(name, value)
     for name, value in conf.items():
         builder = builder.config(name.replace("_", "."), value)
     return builder.getOrCreate()
