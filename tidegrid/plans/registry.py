@@ -24,6 +24,8 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 def load_all() -> None:
     from tidegrid.plans import (  # noqa: F401
+        q_decisions,
         q_features,
+        q_monitoring,
         q_quality,
     )
