@@ -28,4 +28,6 @@ def load_all() -> None:
         q_features,
         q_monitoring,
         q_quality,
+        q_sources,
+        q_streaming,
     )
