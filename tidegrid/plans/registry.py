@@ -26,6 +26,7 @@ def load_all() -> None:
     from tidegrid.plans import (  # noqa: F401
         q_decisions,
         q_features,
+        q_learning,
         q_monitoring,
         q_quality,
         q_sources,
