@@ -88,9 +88,11 @@ _AMBIGUOUS = ("true", "false", "NaN", "Infinity", "+INF", "INF", "-Infinity", "-
 _CORRUPT = "_corrupt_record"
 
 
-def _with_json_fields(df: DataFrame, json_col: str, names: Sequence[str]) -> DataFrame:
-    """Add ``_f``: for each field a struct (kind, number, text) of its JSON value, and ``_object``:
-    is the text one JSON object?
+def _with_json_fields(
+    df: DataFrame, json_col: str, names: Sequence[str], texts: bool = True
+) -> DataFrame:
+    """Add ``_k<i>``, ``_n<i>`` and (if asked for) ``_t<i>``: kind, number and text of the JSON
+    value of the i-th name; and ``_object``: is the text one JSON object?
 
     The text is parsed twice for all fields together, as strings and as numbers; only a number
     token gives a number, so the pair tells the kind. Building a variant per field and asking for
@@ -112,24 +114,24 @@ def _with_json_fields(df: DataFrame, json_col: str, names: Sequence[str]) -> Dat
     )
     ambiguous = ", ".join(_text(a) for a in _AMBIGUOUS)
 
-    def field(n: str) -> str:
-        text = f"_s.`{n}`"
+    def kind(n: str) -> str:
+        text, number = f"_s.`{n}`", f"_d.`{n}`"
         value = f"try_variant_get(try_parse_json(`{json_col}`), {_text(f'$.{n}')}, 'variant')"
-        kind = f"""CASE WHEN {text} IS NULL AND NOT contains(`{json_col}`, '"{n}"') THEN NULL
+        return f"""CASE WHEN abs({number}) <= 1.7976931348623157E308D THEN
+            CASE WHEN contains({text}, '.') OR contains({text}, 'e') OR contains({text}, 'E') THEN 'float' ELSE 'int' END
+          WHEN {text} IS NULL AND NOT contains(`{json_col}`, '"{n}"') THEN NULL
           WHEN {text} IS NULL OR substring({text}, 1, 1) IN ('[', '{{') OR {text} IN ({ambiguous})
             THEN {kind_of(f"schema_of_variant({value})")}
-          WHEN _d.`{n}` IS NULL THEN 'str'
-          WHEN contains({text}, '.') OR contains(lower({text}), 'e') THEN 'float' ELSE 'int' END"""
-        return f"'{n}', named_struct('kind', {kind}, 'number', _d.`{n}`, 'text', {text})"
-
-    fields = ", ".join(field(n) for n in names)
-    found = f"""named_struct(
-      '_object', coalesce(_s.`{_CORRUPT}` IS NULL AND ltrim(`{json_col}`) LIKE '{{%', false),
-      '_f', named_struct({fields}))"""
-    return (
-        parsed.withColumn("_found", F.expr(found))
-        .select(*df.columns, F.inline(F.array("_found")))
-    )
+          ELSE 'str' END"""
+
+    cells = []
+    for i, n in enumerate(names):
+        cells += [f"'_k{i}', {kind(n)}", f"'_n{i}', _d.`{n}`"]
+        if texts:
+            cells.append(f"'_t{i}', _s.`{n}`")
+    is_object = f"coalesce(_s.`{_CORRUPT}` IS NULL AND ltrim(`{json_col}`) LIKE '{{%', false)"
+    found = f"named_struct('_object', {is_object}, {', '.join(cells)})"
+    return parsed.withColumn("_found", F.expr(found)).select(*df.columns, F.inline(F.array("_found")))
 
 
 class _Value:
@@ -139,13 +141,11 @@ class _Value:
         self.kind, self.number, self.text, self.present = kind, number, text, present
 
 
-def _json_value(name: str) -> _Value:
-    f = f"_f.`{name}`"
-    kind = f"nullif({f}.kind, 'null')"
-    number = f"""(CASE WHEN {f}.kind <> 'bool' THEN {f}.number
-      WHEN {f}.text = 'true' THEN 1D ELSE 0D END)"""
-    text = f"""(CASE {f}.kind WHEN 'float' THEN cast({f}.number AS string)
-      WHEN 'bool' THEN initcap({f}.text) ELSE {f}.text END)"""
+def _json_value(i: int) -> _Value:
+    kind = f"nullif(_k{i}, 'null')"
+    number = f"(CASE WHEN _k{i} <> 'bool' THEN _n{i} WHEN _t{i} = 'true' THEN 1D ELSE 0D END)"
+    text = f"""(CASE _k{i} WHEN 'float' THEN cast(_n{i} AS string)
+      WHEN 'bool' THEN initcap(_t{i}) ELSE _t{i} END)"""
     return _Value(kind, number, text, f"{kind} IS NOT NULL")
 
 
@@ -221,12 +221,12 @@ def find_violations(
     ``bool_is_int`` is false. Range and member checks run only after the type check passed.
     """
     found: list[str] = []
-    for name, rule in rules.items():
-        v = _json_value(name) if json_col else _column_value(df, name)
+    for i, (name, rule) in enumerate(rules.items()):
+        v = _json_value(i) if json_col else _column_value(df, name)
         found += _violations(name, rule, v, bool_is_int)
     work = _with_json_fields(df, json_col, list(rules)) if json_col else df
     checks = F.expr(f"array_compact(array({', '.join(found)}))")
-    return work.withColumn("violations", checks).drop("_f", "_object")
+    return work.select(*df.columns, checks.alias("violations"))
 
 
 def validate_rules(
@@ -247,9 +247,9 @@ def rule_violations(df: DataFrame, rules: Rules, json_col: str | None = None) ->
     )
 
 
-def _meets_contract(name: str, rule: Mapping[str, Any]) -> str:
+def _meets_contract(i: int, rule: Mapping[str, Any]) -> str:
     """SQL: does the field meet its rule?"""
-    kind, number = f"_f.`{name}`.kind", f"_f.`{name}`.number"
+    kind, number = f"_k{i}", f"_n{i}"
     ok = {
         "number": f"{kind} IN ('int', 'float')",
         "integer": f"({kind} = 'int' OR ({kind} = 'float' AND {number} = floor({number})))",
@@ -276,9 +276,9 @@ def check_contract(df: DataFrame, json_col: str, contract: Rules) -> DataFrame:
     """
     if not contract:
         return df.withColumn("is_valid", F.lit(False))
-    ok = " AND ".join(["_object", *[_meets_contract(n, r) for n, r in contract.items()]])
-    fields = _with_json_fields(df, json_col, list(contract))
-    return fields.withColumn("is_valid", F.expr(ok)).drop("_f", "_object")
+    ok = " AND ".join(["_object", *[_meets_contract(i, r) for i, r in enumerate(contract.values())]])
+    fields = _with_json_fields(df, json_col, list(contract), texts=False)
+    return fields.select(*df.columns, F.expr(ok).alias("is_valid"))
 
 
 def quarantine(df: DataFrame, json_col: str, contract: Rules) -> tuple[DataFrame, DataFrame]:

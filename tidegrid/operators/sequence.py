@@ -223,21 +223,31 @@ def rolling_outlier(
     numbered = number_rows(df, key, [ts, *tie], ts, chunk_s)
     frame = W.partitionBy(*key, "_block").orderBy("_rn").rowsBetween(-(n - 1), 0)
     current = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
-    tails = F.array(F.lit(contamination / 2), F.lit(1 - contamination / 2))
+    full = F.col("_rn") >= n
+
+    def bound(p: float) -> Column:
+        """Linear quantile of the sorted frame of exactly ``n`` values."""
+        low = int(p * (n - 1))
+        a, b = F.col("_q")[low], F.col("_q")[min(low + 1, n - 1)]
+        return F.when(full, a + (b - a) * (p * (n - 1) - low))
+
     return (
         row_blocks(numbered, n - 1)
         .withColumn("_v", current)
-        .withColumn("_q", F.percentile("_v", tails).over(frame))
+        .withColumn("_frame", F.collect_list("_v").over(frame))
         .filter(HOME)
+        .withColumn("_q", F.when(full, F.sort_array("_frame")))
         .withColumns(
             {
-                "lower_bound": F.when(F.col("_rn") >= n, F.col("_q")[0]),
-                "upper_bound": F.when(F.col("_rn") >= n, F.col("_q")[1]),
-                "is_outlier": (F.col("_rn") >= n)
-                & ((F.col("_v") < F.col("_q")[0]) | (F.col("_v") > F.col("_q")[1])),
+                "lower_bound": bound(contamination / 2),
+                "upper_bound": bound(1 - contamination / 2),
             }
         )
-        .drop("_v", "_q", "_rn", "_block", HOME)
+        .withColumn(
+            "is_outlier",
+            full & ((F.col("_v") < F.col("lower_bound")) | (F.col("_v") > F.col("upper_bound"))),
+        )
+        .drop("_v", "_q", "_frame", "_rn", "_block", HOME)
     )
 
 
