@@ -21,6 +21,23 @@ def _(spark, sf):
     return batch_features(S.ride_events(spark, sf), "lat", "lon", "ts", "demand")
 
 
+def _cumulative(m: int) -> str:
+    return f"""(CASE WHEN row_number() OVER w > {m // 15} THEN coalesce(sum(demand_sum) OVER
+      (PARTITION BY {V.CELL_KEY} ORDER BY feature_window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      ELSE 0 END)::double AS demand_last_{m}min"""
+
+
+_CUMULATIVE = ", ".join(_cumulative(m) for m in L.LOOKBACKS)
+
+
+@query("batch_features_cumulative", f"""WITH {V.CELLS}, f AS (SELECT {V.CELL_KEY}, feature_window_start, feature_window_end,
+    {V.calendar(WS)}, {_CUMULATIVE}, coalesce(lead(demand_sum) OVER w, 0)::double AS future_demand_next_15min FROM cells
+    WINDOW w AS (PARTITION BY {V.CELL_KEY} ORDER BY feature_window_start))
+  SELECT * FROM f WHERE future_demand_next_15min > 0""")
+def _(spark, sf):
+    return batch_features(S.ride_events(spark, sf), "lat", "lon", "ts", "demand", lookback="cumulative")
+
+
 @query("b2_grid_cell",
        f"WITH {V.GRID} SELECT event_id, grid_id_latitude, grid_id_longitude FROM grid")
 def _(spark, sf):
@@ -127,11 +144,8 @@ def _(spark, sf):
     return D.backfill(S.ride_events(spark, sf), "zone", "ts", "demand", "2024-01-10", "2024-01-24")
 
 
-@query("e1_lookback_cumulative", f"""WITH {V.CELLS} SELECT {V.CELL_KEY}, feature_window_start, """ +
-       ", ".join(f"""(CASE WHEN row_number() OVER w > {m // 15} THEN coalesce(sum(demand_sum) OVER
-         (PARTITION BY {V.CELL_KEY} ORDER BY feature_window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-         ELSE 0 END)::double AS demand_last_{m}min""" for m in (15, 30, 60, 1440)) +
-       f" FROM cells WINDOW w AS (PARTITION BY {V.CELL_KEY} ORDER BY feature_window_start)")
+@query("e1_lookback_cumulative", f"""WITH {V.CELLS} SELECT {V.CELL_KEY}, feature_window_start, {_CUMULATIVE}
+  FROM cells WINDOW w AS (PARTITION BY {V.CELL_KEY} ORDER BY feature_window_start)""")
 def _(spark, sf):
     out = L.lookback_cumulative(S.cell_demand(spark, sf), D.CELL, WS, "demand_sum")
     return out.select(*D.CELL, WS, *[f"demand_last_{m}min" for m in L.LOOKBACKS])

@@ -4,11 +4,15 @@ tests check what must hold for any learner."""
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from tidegrid.operators import demand as D
 from tidegrid.operators import learn as T
-from tidegrid.operators.lookback import TARGET, split_train_test
-from tidegrid.operators.monitor import model_metrics
+from tidegrid.operators.lookback import TARGET
+from tidegrid.plans.monitoring_run import performance_run, retraining_check
 from tidegrid.plans.registry import query
+from tidegrid.plans.training import train_and_evaluate
+from tidegrid.session import scratch_path
 from tidegrid.sources import tables as S
 
 WS = "feature_window_start"
@@ -28,9 +32,16 @@ def _model(df):
 
 @query("i1_train_forecaster")
 def _(spark, sf):
-    split = split_train_test(_features(spark, sf), D.CELL, WS)
-    model = _model(split.filter("NOT is_test"))
-    return model_metrics(T.score_batch(split.filter("is_test"), model), TARGET, "predicted")
+    return train_and_evaluate(_features(spark, sf), S.FEATURES, TARGET, D.CELL, WS, ROUNDS)[1]
+
+
+@query("monitoring_run")
+def _(spark, sf):
+    f = _features(spark, sf)
+    early, late = f.filter(F.dayofmonth(WS) <= 20), f.filter(F.dayofmonth(WS) > 20)
+    history = scratch_path(spark, "history")
+    report = performance_run(late, _model(early), TARGET, D.CELL, WS, "2024-01-21", "2024-01-29", history)
+    return retraining_check(late, early, S.FEATURES, report, 60.0)
 
 
 @query("i2_score_batch")

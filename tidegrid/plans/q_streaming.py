@@ -12,9 +12,10 @@ from tidegrid.plans.q_decisions import ELASTICITY_CTE
 from tidegrid.plans.q_monitoring import STREAK_SQL
 from tidegrid.plans.q_quality import _MESSAGES, _contract_sql, rounded
 from tidegrid.plans.registry import query
+from tidegrid.plans.stream_features import stream_features
 from tidegrid.session import scratch_path
 from tidegrid.sources import tables as S
-from tidegrid.sources.streams import read_event_stream
+from tidegrid.sources.streams import read_event_stream, write_event_stream
 from tidegrid.streaming import stateful as J
 from tidegrid.streaming import windows as K
 from tidegrid.streaming.run import run_available
@@ -120,3 +121,20 @@ def _(spark, sf):
     K.stream_quarantine(messages, "message", DEMAND_CONTRACT, path, scratch_path(spark, "quarantine-state")).awaitTermination()
     schema = "event_id long, message string, batch_id int, is_valid boolean"
     return spark.read.schema(schema).parquet(path).select("event_id", "is_valid")
+
+
+@query("stream_features", f"""WITH {_SLOTS} SELECT grid_id_latitude::varchar || '_' || grid_id_longitude::varchar AS key,
+  demand_current_5min AS demand, raw_demand_count AS requests, hour(feature_window_start)::int AS hour_of_day FROM slots""")
+def _(spark, sf):
+    payload = F.to_json(F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
+        F.col("lat").alias("pickup_latitude"), F.col("lon").alias("pickup_longitude"),
+        F.col("demand").alias("demand_at_pickup")))
+    raw = event_stream(spark, sf).select(payload.cast("binary").alias("value"))
+    out = scratch_path(spark, "feature-messages")
+    write_event_stream(stream_features(raw), "parquet", D.CELL, scratch_path(spark, "feature-state"),
+                       trigger=None, mode="append", options={"path": out}).awaitTermination()
+    kept = "demand_current_5min long, raw_demand_count long, hour_of_day int"
+    rows = spark.read.schema("key string, value string").parquet(out)
+    return rows.select("key", F.from_json("value", kept).alias("v")).select(
+        "key", F.col("v.demand_current_5min").alias("demand"), F.col("v.raw_demand_count").alias("requests"), "v.hour_of_day")
