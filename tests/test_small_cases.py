@@ -239,3 +239,23 @@ def test_retrain_uses_what_is_known(spark):
     out = {r.g: r.reasons for r in M.retrain_decision(d, p, ["g"]).collect()}
     assert out["a"] == ["Significant data drift detected."] and out["c"] == []
     assert out["b"] == ["Model performance degradation detected."]
+
+
+def test_shared_folder_falls_back_only_locally(spark, monkeypatch):
+    from tidegrid import session
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master, applicationId = "local[2]", "app-1"
+
+    class Fake:
+        conf, sparkContext = Conf(), Context()
+
+    assert session.shared_root(Fake()) == session.shared_root(Fake())
+    Context.master = "yarn"
+    with pytest.raises(ValueError):
+        session.shared_root(Fake())
+    assert session.shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def upsert_table(path: str, new: DataFrame, key: Sequence[str], date_col: str) -
     days = new.select(date_col).distinct()
     try:
         old = spark.read.parquet(path)
-    except Exception as e:  # the first batch finds no table
+    except AnalysisException as e:  # the first batch finds no table
         if "PATH_NOT_FOUND" not in str(e):
             raise
         merged = upsert_keep_last(new.limit(0), new, key)

@@ -38,7 +38,7 @@ def lineage_impact(
     turn is written durably, which keeps the plan short.
     """
     a, b = ("src", "dst") if direction == "downstream" else ("dst", "src")
-    step = durable(edges.select(F.col(a).alias("_from"), F.col(b).alias("node")).distinct())
+    step = durable(edges.select(F.col(a).alias("_from"), F.col(b).alias("node")))
     spark = edges.sparkSession
     frontier = spark.range(1).select(F.lit(asset).alias("node"), F.lit(0).alias("depth"))
     seen = frontier

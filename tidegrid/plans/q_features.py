@@ -8,8 +8,9 @@ from tidegrid.functions import columns as C
 from tidegrid.operators import demand as D
 from tidegrid.operators import lookback as L
 from tidegrid.plans import views as V
-from tidegrid.plans.batch_features import batch_features
+from tidegrid.plans.batch_features import batch_features, run_backfill
 from tidegrid.plans.registry import query
+from tidegrid.session import scratch_path
 from tidegrid.sources import tables as S
 
 WS = "feature_window_start"
@@ -144,6 +145,21 @@ def _(spark, sf):
     return D.backfill(S.ride_events(spark, sf), "zone", "ts", "demand", "2024-01-10", "2024-01-24")
 
 
+@query("d2_run_backfill", f"""WITH {V.RIDES}, slots AS (
+  SELECT zone, time_bucket(interval 5 minute, ts) AS feature_window_start,
+    sum(demand)::bigint AS demand_current_5min FROM rides GROUP BY ALL)
+  SELECT zone, feature_window_start, demand_current_5min, demand_last_1440min FROM (SELECT *,
+    {V.trailing('zone', 'feature_window_start', 'demand_current_5min')} FROM slots)
+  WHERE feature_window_start >= timestamp '2024-01-10' AND feature_window_start < timestamp '2024-01-20 06:00:00'""")
+def _(spark, sf):
+    target = scratch_path(spark, "backfill")
+    e = S.ride_events(spark, sf)
+    run_backfill(e, "zone", "ts", "demand", "2024-01-10", "2024-01-15 12:00:00", target)
+    run_backfill(e, "zone", "ts", "demand", "2024-01-14 06:00:00", "2024-01-20 06:00:00", target)
+    schema = "zone long, feature_window_start timestamp, demand_current_5min long, demand_last_1440min double"
+    return spark.read.schema(schema).parquet(target).drop("feature_date")
+
+
 @query("e1_lookback_cumulative", f"""WITH {V.CELLS} SELECT {V.CELL_KEY}, feature_window_start, {_CUMULATIVE}
   FROM cells WINDOW w AS (PARTITION BY {V.CELL_KEY} ORDER BY feature_window_start)""")
 def _(spark, sf):

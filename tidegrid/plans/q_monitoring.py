@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidegrid.operators import distribution as X
 from tidegrid.operators import monitor as M
 from tidegrid.operators import sequence as E
 from tidegrid.plans import views as V
-from tidegrid.plans.q_quality import rounded
+from tidegrid.plans.q_quality import _CDF, DRIFT_COLS, rounded
 from tidegrid.plans.registry import query
 from tidegrid.sources import tables as S
 
@@ -229,6 +230,14 @@ def _(spark, sf):
     return rounded(both, ["severity"])
 
 
+@query("f6_drift_anomalies", f"""{_CDF} SELECT 'demand_forecast_drift' AS detector, feature AS metric,
+  round(d, 6) AS severity, d >= 0.001 AS alert_raised FROM p WHERE pv < 0.9 OR area / span > 0.1""")
+def _(spark, sf):
+    cur, base = S.drift_pair(spark, sf)
+    report = X.drift_report(cur, base, DRIFT_COLS, alpha=0.9)
+    return rounded(M.drift_anomalies(report, alert=0.001), ["severity"])
+
+
 @query("f8_retrain_decision", f"""WITH {V.ZONE_PREDICTIONS}, drift AS (SELECT zone, ts::date AS day,
     abs(avg(actual) - (SELECT avg(actual) FROM zone_predictions)) / 500 AS drift_score FROM zone_predictions
     WHERE zone % 7 <> 0 GROUP BY ALL),

@@ -38,6 +38,9 @@ def get_spark(app: str = "tidegrid", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
@@ -49,9 +52,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="run-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
