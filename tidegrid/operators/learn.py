@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidegrid.operators.monitor import metric_columns
-from tidegrid.session import scratch_path
+from tidegrid.session import durable, scratch_path
 
 # Training parameters of the forecaster.
 FORECASTER = {
@@ -82,20 +82,23 @@ def feature_importance(model: PipelineModel, cols: Sequence[str], df: DataFrame)
 
 def permutation_importance(
     df: DataFrame, model: PipelineModel, cols: Sequence[str], label: str, key: Sequence[str],
-    buckets: int = 1024, seed: int = 42,
+    bucket_rows: int = 10_000, seed: int = 42,
 ) -> DataFrame:
     """RMSE rise per feature when its values are swapped between rows.
 
-    Rows fall into hash buckets in hash order; each takes the value of the row after it, the last
-    one of the first. All features are handled in one pass over rows times features.
+    Rows fall into hash buckets of about ``bucket_rows``, in hash order; each takes the value of
+    the row after it, the last one of the first. The number of buckets grows with the table. All
+    features are handled in one pass over rows times features.
     """
     h = F.xxhash64(*key, F.lit(seed))
+    n = df.agg(F.count(F.lit(1))).scalar()
+    buckets = F.greatest(F.lit(1), F.ceil(n / F.lit(bucket_rows)).cast("long"))
     order = W.partitionBy("_bucket").orderBy("_h", *key)
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     donor = F.struct(*cols)
     paired = (
         df.select(*key, *cols, label)
-        .withColumns({"_h": h, "_bucket": F.pmod(h, F.lit(buckets))})
+        .withColumns({"_h": h, "_bucket": F.pmod(h, buckets)})
         .withColumn("_d", F.coalesce(F.lead(donor).over(order), F.first(donor).over(whole)))
     )
     swapped = F.explode(F.array(*[F.lit(c) for c in ("", *cols)])).alias("feature")
@@ -321,6 +324,7 @@ def isolation_forest(
             yield pd.Series(np.power(2.0, -mean / max(typical, 1e-9)))
 
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]
-    scored = df.withColumn("anomaly_score", score(*filled))
+    # Written once: the cut and the result both read the scores, and scoring is the costly part.
+    scored = durable(df.withColumn("anomaly_score", score(*filled)))
     cut = scored.agg(F.percentile_approx("anomaly_score", 1.0 - contamination, 10_000)).scalar()
     return scored.withColumn("is_outlier", F.col("anomaly_score") > cut)
