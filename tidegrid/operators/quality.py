@@ -96,7 +96,7 @@ def _with_json_fields(
 
     The text is parsed twice for all fields together, as strings and as numbers; only a number
     token gives a number, so the pair tells the kind. Building a variant per field and asking for
-    its type costs about ten times as much; it is kept for the few texts that could be either.
+    its type costs several times as much; it is kept for the few texts that could be either.
 
     Spark copies an expression into the filters above it, which would parse once per check. The
     last step therefore is a one-element ``inline``, which filters do not pass.
