@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import chat, mixing
+from tidegrid.llm import chat, line_dedup, mixing
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,28 @@ JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "source", "text")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+LINES_SQL = r"""
+WITH l AS (
+  SELECT doc_id, u.i AS i, u.line AS line,
+    translate(trim(u.line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents) d,
+    LATERAL (SELECT unnest(d.a) AS line, unnest(range(1, len(d.a) + 1)) AS i) u
+), r AS (
+  SELECT k, max(doc_id) AS holder FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT l.doc_id::BIGINT AS doc_id, count(*)::BIGINT AS n_lines,
+  count(*) FILTER (r.k IS NOT NULL AND r.holder <> l.doc_id)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (r.k IS NULL OR r.holder = l.doc_id), '')) AS kept_sha256
+FROM l LEFT JOIN r ON l.k = r.k GROUP BY l.doc_id
+"""
+
+
+@query("op6_line_dedup", LINES_SQL)
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
