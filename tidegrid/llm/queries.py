@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import chat, line_dedup, mixing
+from tidegrid.llm import chat, line_dedup, mixing, substring_dedup
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,36 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+REPEATS_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS a FROM documents
+), w AS (
+  SELECT doc_id, unnest(a) AS word, unnest(range(1, len(a) + 1)) AS i, unnest(range(1, len(a) + 1)) <= len(a) - 19 AS starts
+  FROM d
+), s AS (
+  SELECT doc_id, i, word, CASE WHEN starts THEN string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) END AS s
+  FROM w
+), r AS (
+  SELECT doc_id, i, word,
+    CASE WHEN s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 THEN i END AS again
+  FROM s
+), k AS (
+  SELECT doc_id, i, word, coalesce(i - max(again) OVER (PARTITION BY doc_id ORDER BY i) <= 19, false) AS gone FROM r
+), g AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM k GROUP BY doc_id
+)
+SELECT d.doc_id::BIGINT AS doc_id, len(d.a)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(g.kept, '')) AS kept_sha256
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
+
+@query("op5_substring_dedup", REPEATS_SQL)
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return substring_dedup.drop_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
