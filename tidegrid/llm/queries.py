@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import chat, line_dedup, mixing, substring_dedup
+from tidegrid.llm import chat, line_dedup, mixing, substring_dedup, topk_search
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +162,26 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.drop_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+SEARCH_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.w, v.w)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id::BIGINT AS query_id,
+  (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id::BIGINT AS vec_id, score
+FROM p QUALIFY rank <= 20
+"""
+
+
+@query("op3_topk_search", SEARCH_SQL)
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(topk_search.usable(F.col("embedding"))).select(
+        "vec_id", topk_search.scaled(F.col("embedding")).alias("vector")
+    )
+    return topk_search.search(rows, rows.filter(F.col("vec_id") % 20 == 0))
