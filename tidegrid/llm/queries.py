@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import chat, line_dedup, mixing, substring_dedup, topk_search
+from tidegrid.llm import chat, line_dedup, mixing, near_dedup, substring_dedup, topk_search
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +185,9 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", topk_search.scaled(F.col("embedding")).alias("vector")
     )
     return topk_search.search(rows, rows.filter(F.col("vec_id") % 20 == 0))
+
+
+@query("op7_near_dedup")
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return near_dedup.near_groups(docs)
