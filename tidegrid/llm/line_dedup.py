@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, types as T
 
@@ -31,7 +32,7 @@ from tidegrid.llm import blocks
 from tidegrid.llm.words import ids, mix64, slices
 
 BLANK = " \t\n\x0b\x0c\r"
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 1 << 20
 
 
 def line_keys(lines: list[str], min_chars: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,15 +186,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, doc_id:
             counts, holders = index.probe(hashes)
             repeated = counts >= min_docs
             block = rows.column("block").to_numpy()[repeated]
-            hashes, holders = hashes[repeated], holders[repeated]
-            for key, at in blocks.group_rows(block):
-                answer = pa.RecordBatch.from_arrays(
-                    [*_hash_columns(hashes[at]), pa.array(holders[at])], names=["h1", "h2", "holder"]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key], pa.int32()), pa.array([0], pa.int32()), pa.array([blocks.to_bytes(answer)], pa.binary())],
-                    names=["block", "kind", "body"],
-                )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block), pa.array(np.zeros(len(block), np.int32)), *_hash_columns(hashes[repeated]), pa.array(holders[repeated])],
+                names=["block", "kind", "h1", "h2", "holder"],
+            )
 
     names = [f.name for f in docs.schema.fields]
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
@@ -202,13 +198,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, doc_id:
         for _, pieces in blocks.by_key(batches, "block"):
             last: dict[bytes, int] = {}
             for piece in pieces:
-                for kind, body in zip(piece.column("kind").to_pylist(), piece.column("body")):
-                    if kind == 0:  # answers sort before documents
-                        for answer in blocks.from_bytes(body.as_py()):
-                            raw = _hashes(answer).tobytes()
-                            keys = [raw[i : i + 16] for i in range(0, len(raw), 16)]
-                            last.update(zip(keys, answer.column("holder").to_pylist()))
-                        continue
+                answers = piece.filter(pc.equal(piece.column("kind"), 0))  # they sort before documents
+                raw = _hashes(answers).tobytes()
+                last.update(zip((raw[i : i + 16] for i in range(0, len(raw), 16)), answers.column("holder").to_pylist()))
+                for body in piece.filter(pc.equal(piece.column("kind"), 1)).column("body"):
                     for batch, owners, texts in _documents(body.as_py(), doc_id, text):
                         kept, n_lines, n_dropped = [], [], []
                         for who, lines in zip(owners.tolist(), texts):
@@ -230,5 +223,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, doc_id:
     keys = bodies.repartition("block").sortWithinPartitions("block").mapInArrow(
         distinct_keys, "shard int, block int, h1 long, h2 long, n long, holder long"
     )
-    answers = keys.repartition("shard").sortWithinPartitions("shard").mapInArrow(probe, "block int, kind int, body binary")
-    return answers.unionAll(bodies).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(rewrite, schema)
+    answers = keys.repartition("shard").sortWithinPartitions("shard").mapInArrow(
+        probe, "block int, kind int, h1 long, h2 long, holder long"
+    )
+    return answers.unionByName(bodies, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(rewrite, schema)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import chat, line_dedup, mixing, near_dedup, substring_dedup, topk_search
+from tidegrid.llm import (
+    chat, html_extract, language_id, line_dedup, mixing, near_dedup, quality, substring_dedup, topk_search,
+)
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -191,3 +193,28 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
     return near_dedup.near_groups(docs)
+
+
+@query("op1_html_extraction")
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long"), "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long"), F.col("quality").alias("label"))
+    out = quality.held_out(F.col("doc_id"), 3, 1)
+    weights = quality.train(quality.labelled_sample(docs, labels.filter(~out)))
+    return quality.score(docs, weights).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text", "lang")
+    out = quality.held_out(F.col("doc_id"), 4, 2)
+    model = language_id.train(language_id.language_sample(docs.filter(~out)))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score"
+    )

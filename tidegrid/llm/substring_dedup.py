@@ -26,13 +26,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, types as T
 
 from tidegrid.llm import blocks
 from tidegrid.llm.words import ids, mix64, run_hash, run_starts, slices, span_hash, text_bytes, word_spans
 
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 #: Strings a task remembers to answer repeats itself; beyond it, repeats travel.
 REMEMBERED = 50_000
 
@@ -198,21 +199,20 @@ def drop_repeats(docs: DataFrame, width: int = 20, seed: int = 3, doc_id: str =
                 yield _batch(rows)
 
     def ranges_of(doc, tag, begin, until):
-        where = (mix64(doc.view(np.uint64)) % np.uint64(n_blocks)).astype(np.int64)
-        for block, at in blocks.group_rows(where):
-            answer = pa.RecordBatch.from_arrays(
-                [pa.array(x[at]) for x in (doc, tag, begin, until)], names=["doc", "tag", "begin", "until"]
-            )
-            yield block, blocks.to_bytes(answer)
+        where = (mix64(doc.view(np.uint64)) % np.uint64(n_blocks)).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(where), pa.array(np.zeros(len(doc), np.int32)), *(pa.array(x) for x in (doc, tag, begin, until))],
+            names=["block", "kind", "doc", "tag", "begin", "until"],
+        )
 
     def judge(batches):
         for _, pieces in blocks.by_key(batches, "bucket"):
-            strings, numbers, out = [], [], []
+            strings, numbers = [], []
             for piece in pieces:
                 for row in piece.to_pylist():
                     doc, tag, place = _from_ints(row["doc"]), _from_ints(row["tag"]), _from_ints(row["place"])
                     if row["kind"] == 1:
-                        out += ranges_of(doc, tag, place, _from_ints(row["until"]))
+                        yield ranges_of(doc, tag, place, _from_ints(row["until"]))
                     else:
                         strings.append(zstandard.decompress(row["body"]))
                         numbers.append((doc, tag, place))
@@ -220,12 +220,7 @@ def drop_repeats(docs: DataFrame, width: int = 20, seed: int = 3, doc_id: str =
                 doc, tag, place = (np.concatenate(x) for x in zip(*numbers))
                 owner, begin, until = word_ranges(*repeated_windows(b"\n".join(strings), doc, place, width), width)
                 if len(owner):
-                    out += ranges_of(doc[owner], tag[owner], place[owner] + begin, place[owner] + until)
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b for b, _ in out], pa.int32()), pa.array([0] * len(out), pa.int32()),
-                     pa.array([x for _, x in out], pa.binary())], names=["block", "kind", "body"],
-                )
+                    yield ranges_of(doc[owner], tag[owner], place[owner] + begin, place[owner] + until)
 
     names = [f.name for f in docs.schema.fields]
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
@@ -234,10 +229,8 @@ def drop_repeats(docs: DataFrame, width: int = 20, seed: int = 3, doc_id: str =
         for _, pieces in blocks.by_key(batches, "block"):
             answers, found = [], None
             for piece in pieces:
-                for kind, body in zip(piece.column("kind").to_pylist(), piece.column("body")):
-                    if kind == 0:
-                        answers += blocks.from_bytes(body.as_py())
-                        continue
+                answers.append(piece.filter(pc.equal(piece.column("kind"), 0)))
+                for body in piece.filter(pc.equal(piece.column("kind"), 1)).column("body"):
                     if found is None:
                         found = _by_document(answers)
                     for whole in blocks.from_bytes(body.as_py()):
@@ -245,19 +238,21 @@ def drop_repeats(docs: DataFrame, width: int = 20, seed: int = 3, doc_id: str =
                             yield _without(batch, found, doc_id, text, names)
 
     strings = docs.select(doc_id, text).mapInArrow(cut, ROWS)
-    answers = strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(judge, "block int, kind int, body binary")
-    return answers.unionAll(bodies).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(rewrite, schema)
+    answers = strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        judge, "block int, kind int, doc long, tag long, begin long, until long"
+    )
+    return answers.unionByName(bodies, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(rewrite, schema)
 
 
 def _by_document(answers: list[pa.RecordBatch]):
     """Ranges sorted by document: (doc, tag) of each, begin, until, and a lookup of rows by (doc, tag)."""
-    if not answers:
-        return {}, None, None
     doc, tag, begin, until = (
         np.concatenate([a.column(c).to_numpy() for a in answers]) for c in ("doc", "tag", "begin", "until")
     )
     order = np.lexsort((tag, doc))
     doc, tag, begin, until = doc[order], tag[order], begin[order], until[order]
+    if not len(doc):
+        return {}, begin, until
     cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(tag) != 0)) + 1
     heads, tails = np.append(0, cuts).tolist(), np.append(cuts, len(doc)).tolist()
     return {(int(doc[a]), int(tag[a])): (a, b) for a, b in zip(heads, tails)}, begin, until
