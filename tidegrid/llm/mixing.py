@@ -75,7 +75,7 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3) -> DataFrame:
-    """One row per source: ``source, source_size, target``, whole rounds ``_full`` and the hash ``_cut``.
+    """One row per source: ``source, source_size, target``, whole rounds ``__mix_full`` and the hash ``__mix_cut``.
 
     The cut is where the running total comes nearest to the budget: a hash value is taken when the
     middle of its rows lies below the budget.
@@ -84,45 +84,45 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3
     sums = sized.groupBy("source").agg(F.sum("n").alias("source_size"))
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     state = durable(
-        targets(sums, weights, cap).withColumn("_full", full).withColumn(
-            "_budget", F.col("target") - F.col("_full") * F.col("source_size")
+        targets(sums, weights, cap).withColumn("__mix_full", full).withColumn(
+            "_budget", F.col("target") - F.col("__mix_full") * F.col("source_size")
         ).select("*", F.lit(0).cast("long").alias("_prefix"), F.lit(0).cast("long").alias("_below"),
                  F.lit(0).cast("long").alias("_upto"), (F.col("_budget") > 0).alias("_open"))
     )
     n_sources = state.count()
-    running = Window.partitionBy("_src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy("__mix_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     for level in range(LEVELS):
         shift = BITS * (LEVELS - 1 - level)
         at = state.filter("_open").select(
-            F.col("source").alias("_src"), F.col("_prefix").alias("_p"), F.col("_below").alias("_b"), "_budget"
+            F.col("source").alias("__mix_source"), F.col("_prefix").alias("_p"), F.col("_below").alias("_b"), "_budget"
         )
         bucket = F.shiftright("h", shift)
         sums = sized.join(
-            _small(at, n_sources), F.col("source").eqNullSafe(F.col("_src")) & (F.shiftright(bucket, BITS) == F.col("_p"))
-        ).groupBy("_src", "_b", "_budget", bucket.alias("_bucket")).agg(F.sum("n").alias("_n"))
+            _small(at, n_sources), F.col("source").eqNullSafe(F.col("__mix_source")) & (F.shiftright(bucket, BITS) == F.col("_p"))
+        ).groupBy("__mix_source", "_b", "_budget", bucket.alias("_bucket")).agg(F.sum("n").alias("_n"))
         upto = F.col("_b") + F.sum("_n").over(running)
-        found = sums.select("_src", "_bucket", "_budget", upto.alias("_u"), (upto - F.col("_n")).alias("_d")).filter(
+        found = sums.select("__mix_source", "_bucket", "_budget", upto.alias("_u"), (upto - F.col("_n")).alias("_d")).filter(
             (F.col("_u") >= F.col("_budget")) & (F.col("_d") < F.col("_budget"))
-        ).select("_src", "_bucket", "_d", "_u")
+        ).select("__mix_source", "_bucket", "_d", "_u")
         state = durable(
-            state.join(_small(found, n_sources), F.col("source").eqNullSafe(F.col("_src")), "left").select(
-                "source", "source_size", "target", "_full", "_budget",
+            state.join(_small(found, n_sources), F.col("source").eqNullSafe(F.col("__mix_source")), "left").select(
+                "source", "source_size", "target", "__mix_full", "_budget",
                 F.coalesce("_bucket", "_prefix").alias("_prefix"), F.coalesce("_d", "_below").alias("_below"),
                 F.coalesce("_u", "_upto").alias("_upto"), "_open",
             )
         )
     near = (F.col("_below") + F.col("_upto")) < 2 * F.col("_budget")
     cut = F.when(~F.col("_open"), F.lit(0).cast("long")).when(near, F.col("_prefix") + 1).otherwise(F.col("_prefix"))
-    return state.select("source", "source_size", "target", "_full", cut.alias("_cut"))
+    return state.select("source", "source_size", "target", "__mix_full", cut.alias("__mix_cut"))
 
 
 def apply_mix(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """All rows of ``docs`` with ``size, source_size, target`` and ``taken`` (words, repeats counted)."""
     names = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
-    side = plan.select(F.col("source").alias("_src"), "source_size", "target", "_full", "_cut")
+    side = plan.select(F.col("source").alias("__mix_source"), "source_size", "target", "__mix_full", "__mix_cut")
     side = _small(side, plan.count())
-    rows = docs.select(*names).join(side, F.col("source").eqNullSafe(F.col("_src")), "left")
-    times = F.col("_full") + (hash48(F.col("doc_id")) < F.col("_cut")).cast("long")
+    rows = docs.select(*names).join(side, F.col("source").eqNullSafe(F.col("__mix_source")), "left")
+    times = F.col("__mix_full") + (hash48(F.col("doc_id")) < F.col("__mix_cut")).cast("long")
     return rows.withColumn("size", size_of(F.col("text"))).select(
         *names, "size", "source_size", "target", (F.col("size") * times).alias("taken")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegrid.llm import (
-    chat, html_extract, language_id, line_dedup, mixing, near_dedup, quality, substring_dedup, topk_search,
+    chat, decontaminate, html_extract, language_id, line_dedup, mixing, near_dedup, quality, substring_dedup, topk_search,
 )
 
 QUERIES = {}
@@ -218,3 +218,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", out.alias("held_out"), "lang_pred", "score"
     )
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
