@@ -8,14 +8,15 @@ sets is at least ``percent`` / 100; every link is confirmed on the full sets, an
 2. Retained values form inverted lists. Two sets that link share at least ``need`` retained values (surely if
    the sketch is the whole set, else but for five standard deviations), so they share one of the
    k - need + 1 rarest of each: only these stay in the lists, and what is common everywhere drops out.
-3. A class goes with its text to its few longest lists, where full sets are compared in place and only a
-   spanning forest of the links comes out: a group of thousands of near copies gives as many rows as it has
-   members. A list too long for a task is cut into blocks and every two blocks meet.
-4. Pairs that share a list but met in none of those, and are not in one component yet, are few: each is
-   taken at its least common list, filtered by the Jaccard estimate of the union's sketch, and confirmed
-   on full sets like the others.
+3. Lists that run side by side get one leader (twice over: the leader most of a list's members have for their longest
+   list), and a class goes with its text to the leaders of its lists, once to each. Whoever shares a list shares its
+   leader, so every candidate pair meets, and near copies that share a hundred lists meet once.
+4. At a leader, overlaps of retained values give candidates, the Jaccard estimate of the union's sketch (less
+   five standard deviations) drops most, and full sets decide. Pairs already in one component are
+   skipped, and only a spanning forest comes out: a group of thousands of near copies gives as many rows as it
+   has members. What is too much for a task is cut into blocks and every two blocks meet.
 
-Lists are never capped, and links never leave the cluster.
+Lists are never capped, pairs never leave a task unless they link, and links never leave the cluster.
 
 Defined cases: documents with fewer words than a shingle have their whole word sequence as the one shingle; null,
 empty or wordless texts have no set, size 0, and stand alone; rows that share an id are one document for
@@ -39,9 +40,8 @@ from tidegrid.llm.words import (
 from tidegrid.session import durable
 
 K = 48
-HOMES = 3
-#: Shingles of one block of a long list; two blocks meet in a task.
-BLOCK_SHINGLES = 1 << 19
+#: Shingles of one block at a leader; two blocks meet in a task.
+BLOCK_SHINGLES = 1 << 17
 #: Ids shipped to all tasks at most (16 MB); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -108,7 +108,26 @@ def rare_values(classes: DataFrame, k: int, percent: int) -> DataFrame:
     return shared.select("id", "n", F.transform(keys, lambda x: x["v"]).alias("keys")).filter(F.size("keys") > 0)
 
 
-def cell_links(docs: DataFrame, cells: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
+def leaders(keys: DataFrame, rounds: int = 2) -> DataFrame:
+    """``id, n, leader``: a class with each leader of its lists, once.
+
+    Any choice of one leader per list is right, as it depends on the list alone; this one makes them few.
+    """
+    spread = keys.select("id", "n", F.explode("keys").alias("v"), F.get("keys", F.lit(0)).alias("home"))
+    leader = None
+    for _ in range(rounds):
+        label = spread.select("v", F.col("home").alias("label"))
+        if leader is not None:
+            label = spread.join(leader.withColumnRenamed("v", "home"), "home").select("v", F.col("leader").alias("label"))
+        leader = durable(
+            label.groupBy("v", "label").agg(F.count("*").alias("m")).groupBy("v").agg(
+                F.max_by("label", F.struct("m", "label")).alias("leader")
+            )
+        )
+    return durable(spread.join(leader, "v").select("id", "n", "leader").distinct())
+
+
+def cell_links(docs: DataFrame, cells: DataFrame, percent: int, k: int, doc_id: str, text: str) -> DataFrame:
     """Compare all full sets within each cell (``cell, id``); a spanning forest of the links (``a, b``)."""
 
     def compress(batches):
@@ -133,7 +152,7 @@ def cell_links(docs: DataFrame, cells: DataFrame, percent: int, doc_id: str, tex
         a, b = [], []
         for _, group in itertools.groupby(rows(), key=lambda r: r[0]):
             members = list(group)
-            for x, y in forest([m[1] for m in members], [m[2] for m in members], percent):
+            for x, y in forest([m[1] for m in members], [m[2] for m in members], percent, k):
                 a.append(x)
                 b.append(y)
             if len(a) > 10_000:
@@ -147,53 +166,82 @@ def cell_links(docs: DataFrame, cells: DataFrame, percent: int, doc_id: str, tex
     )
 
 
-def forest(names: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that span the components of these sets: (name, least name) for all but the least."""
-    m = len(sets)
-    root = list(range(m))
+def _inverted(values: np.ndarray, owner: np.ndarray, m: int):
+    """Inverted lists of values in rows sorted by owner.
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    Returns the owners and row numbers of all postings, list by list, and per owner the first posting and length of
+    the list of each of its values.
+    """
+    order = np.argsort(values, kind="stable")
+    head = np.ones(len(values), bool)
+    head[1:] = values[order][1:] != values[order][:-1]
+    first = np.flatnonzero(head)
+    length = np.diff(np.append(first, len(values)))
+    group = np.empty(len(values), np.int64)
+    group[order] = np.cumsum(head) - 1
+    cuts = np.cumsum(np.bincount(owner, minlength=m))[:-1]
+    return owner[order], order, np.split(first[group], cuts), np.split(length[group], cuts)
 
-    def join(i: int, j: int) -> int:
-        i, j = find(i), find(j)
-        if i == j:
-            return 0
-        root[max(i, j, key=lambda x: (names[x], x))] = min(i, j, key=lambda x: (names[x], x))
-        return 1
 
+def _postings(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    return np.repeat(first - (np.cumsum(length) - length), length) + np.arange(length.sum())
+
+
+def forest(names: list[int], sets: list[np.ndarray], percent: int, k: int = K) -> list[tuple[int, int]]:
+    """Links that span the components of these sets: (name, least name) for all but the least."""
+    m = len(sets)
     size = np.array([len(s) for s in sets])
-    parts = m
+    root = np.arange(m)  # always the component's representative, not a chain
+    share = percent / 100
+    links = lambda both, i, j: (100 * both >= percent * (size[i] + size[j] - both)) & (both > 0)
     if m == 2:
-        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        if 100 * both >= percent * (size.sum() - both) and both:
-            join(0, 1)
+        if links(len(np.intersect1d(sets[0], sets[1], assume_unique=True)), 0, 1):
+            root[1] = 0
     elif m > 2:
-        values = np.concatenate(sets)
-        owner = np.repeat(np.arange(m), size)
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
-        head = np.ones(len(values), bool)
-        head[1:] = values[1:] != values[:-1]
-        group = np.cumsum(head) - 1
-        first = np.flatnonzero(head)
-        length = np.diff(np.append(first, len(values)))
-        mine = np.argsort(owner, kind="stable")
-        begin = np.append(0, np.cumsum(size))
-        groups = [g[length[g] > 1] for g in (group[mine[a:b]] for a, b in itertools.pairwise(begin.tolist()))]
+        kept = np.minimum(size, k)
+        rank = np.concatenate([np.arange(n) for n in kept])
+        s_owner, s_row, s_first, s_length = _inverted(
+            np.concatenate([s[:k] for s in sets]), np.repeat(np.arange(m), kept), m
+        )
+        s_rank = rank[s_row]
+        f_owner, _, f_first, f_length = _inverted(np.concatenate(sets), np.repeat(np.arange(m), size), m)
         # Sets with the most in common first: they draw most others into one component.
-        for i in sorted(range(m), key=lambda x: -int(length[groups[x]].sum())):
-            n = length[groups[i]]
-            at = np.repeat(first[groups[i]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            both = np.bincount(owner[at], minlength=m)
-            for j in np.flatnonzero((100 * both >= percent * (size + size[i] - both)) & (both > 0)).tolist():
-                parts -= join(i, j) if i != j else 0
-            if parts == 1:
-                break
-    return [(names[i], names[find(i)]) for i in range(m) if names[i] != names[find(i)]]
+        for i in np.argsort([-int(x.sum()) for x in s_length], kind="stable").tolist():
+            at = _postings(s_first[i], s_length[i])
+            j, mine, theirs = s_owner[at], np.repeat(np.arange(kept[i]), s_length[i]), s_rank[at]
+            apart = root[j] != root[i]
+            if not apart.any():
+                continue
+            j, mine, theirs = j[apart], mine[apart], theirs[apart]
+            order = np.argsort(j, kind="stable")
+            j, mine, theirs = j[order], mine[order], theirs[order]
+            new = np.ones(len(j), bool)
+            new[1:] = j[1:] != j[:-1]
+            start = np.flatnonzero(new)
+            before = np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j))))
+            # A common value stands in the union's sketch if fewer than k values of the union come before it.
+            common = np.bincount(j[mine + theirs - before < k], minlength=m)
+            shared = np.bincount(j, minlength=m)
+            union = np.minimum(kept + kept[i] - shared, k)
+            whole = (size <= k) & (size[i] <= k)
+            slack = np.where(whole, 0, 5 * np.sqrt(share * (1 - share) / np.maximum(union, 1)))
+            likely = (common >= (share - slack) * union - 1e-9) & (shared > 0)
+            if not likely.any():
+                continue
+            if likely.sum() <= 16:
+                both = np.zeros(m, np.int64)
+                for x in np.flatnonzero(likely).tolist():
+                    both[x] = len(np.intersect1d(sets[i], sets[x], assume_unique=True))
+            else:
+                both = np.bincount(f_owner[_postings(f_first[i], f_length[i])], minlength=m)
+            for x in np.unique(root[np.flatnonzero(likely & links(both, i, np.arange(m)))]).tolist():
+                root[root == x] = root[i]
+    out = []
+    names_of = np.array(names)
+    for r in np.unique(root).tolist():
+        own = np.unique(names_of[root == r]).tolist()
+        out += [(x, own[0]) for x in own[1:]]
+    return out
 
 
 def near_groups(docs: DataFrame, percent: int = 75, k: int = K, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,42 +252,15 @@ def near_groups(docs: DataFrame, percent: int = 75, k: int = K, doc_id: str = "d
     )
     keys = durable(rare_values(classes, k, percent))
 
-    # The longest lists of each class: home cells, cut into blocks where they are long.
-    homes = keys.select("id", "n", F.explode(F.slice("keys", 1, HOMES)).alias("v"))
-    blocks = homes.groupBy("v").agg(F.count("*").alias("m"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")).filter("m > 1")
+    met = leaders(keys)
+    blocks = met.groupBy("leader").agg(
+        F.count("*").alias("m"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
+    ).filter("m > 1").select("leader", "blocks")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    met = homes.join(blocks.select("v", "blocks"), "v").select(
-        "id", "v", own.alias("b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    )
-    cells = met.select(F.xxhash64("v", F.least("b", "other"), F.greatest("b", "other")).alias("cell"), "id")
-    links = durable(cell_links(docs, cells, percent, doc_id, text))
-    found = components(links)
-
-    # Pairs that share a list, met in no home, and are still apart.
-    placed = keys.join(found.withColumnRenamed("component", "c"), "id", "left").select(
-        "id", F.coalesce("c", "id").alias("c"), "keys", F.slice("keys", 1, HOMES).alias("homes")
-    )
-    spread = placed.select("*", F.explode("keys").alias("v"))
-    by_part = spread.groupBy("v", "c").agg(F.count("*").alias("m"))
-    main = by_part.groupBy("v").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-    # Main parts need not meet themselves, so the rest of each list meets the whole of it.
-    spread = spread.join(main.select("v", "main"), "v")
-    left = spread.filter(F.col("c") != F.col("main")).alias("x")
-    right = spread.alias("y")
-    apart = (
-        (F.col("x.v") == F.col("y.v")) & (F.col("x.c") != F.col("y.c"))
-        & ((F.col("y.c") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
-        & ~F.arrays_overlap("x.homes", "y.homes")
-        & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.v"))
-    )
-    pairs = left.join(right, apart).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    pairs = durable(pairs)
-    likely = durable(estimated(pairs, pairs.count(), classes.select("id", "sketch"), k, percent))
-    n_likely = likely.count()
-    if n_likely:
-        rest = likely.select(F.xxhash64("a", "b").alias("cell"), F.explode(F.array("a", "b")).alias("id"))
-        links = links.unionAll(durable(cell_links(docs, small_side(rest, 2 * n_likely), percent, doc_id, text)))
-        found = components(links)
+    cells = met.join(blocks, "leader").select(
+        "id", "leader", own.alias("b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select(F.xxhash64("leader", F.least("b", "other"), F.greatest("b", "other")).alias("cell"), "id")
+    found = components(cell_links(docs, cells, percent, k, doc_id, text))
 
     whole = classes.select("h1", "h2", "n", "id").join(found, "id", "left").select(
         "h1", "h2", "n", F.coalesce("component", "id").alias("component")
@@ -256,16 +277,3 @@ def near_groups(docs: DataFrame, percent: int = 75, k: int = K, doc_id: str = "d
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """Ids to be shipped to all tasks if they are few by count."""
     return F.broadcast(df) if rows <= BROADCAST_IDS else df
-
-
-def estimated(pairs: DataFrame, n_pairs: int, sketch: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs whose Jaccard estimate, from the bottom-k sketch of the union, leaves the link possible."""
-    share = percent / 100
-    least = share - 5 * math.sqrt(share * (1 - share) / k)
-    sides = small_side(pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id")), 2 * n_pairs)
-    both = sketch.join(sides, "id").groupBy("a", "b").agg(
-        F.min_by("sketch", "id").alias("sa"), F.max_by("sketch", "id").alias("sb")
-    )
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
-    common = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-    return both.filter(common >= least * F.size(union)).select("a", "b")
