@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.llm.words import ids, mix64
 
-BLOCK_BYTES = 16 << 20
-FLUSH_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+#: Text a task gathers before it deals it out; larger pieces compress better and cost memory.
+FLUSH_BYTES, PACK_BYTES = 8 << 20, 32 << 20
 
 
 def text_size(docs: DataFrame, text: str = "text") -> int:
@@ -79,7 +80,7 @@ def packed(docs: DataFrame, blocks: int, doc_id: str = "doc_id", text: str = "te
     """``docs`` as rows ``block, kind = 1, body``: the documents of one block from one piece of input."""
 
     def pack(batches):
-        for batch in gathered(batches, text):
+        for batch in gathered(batches, text, PACK_BYTES):
             out = {"block": [], "body": []}
             where = (mix64(ids(batch.column(doc_id)).view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
             for block, rows in group_rows(where):

@@ -3,15 +3,17 @@
 A window is ``width`` consecutive words of one document. Every word covered by a window whose word sequence also
 starts earlier (smaller id, or same document and earlier start) goes; windows are judged on the input.
 
-1. Each document is cut into super-k-mers: runs of windows that share a minimiser, the least hash among the
-   ``seed``-word sequences inside the window. A run travels once, as one packed string of words, to the
-   bucket of its minimiser; equal windows have equal minimisers and so meet in one bucket. A task that sees a string
-   again and again sends it once and answers the later ones itself, so a passage found everywhere costs a
-   bucket one string per task.
-2. Each bucket sorts its windows by hash, compares the words of equal hashes byte by byte, and finds the earliest
+1. Seeds (``seed``-word sequences) that occur more than once per ``HEAVY_BYTES`` of text are heavy: there are at most
+   ``HEAVY_BYTES`` / 2 of them. A minimiser is the least seed hash inside a window, heavy seeds coming after all
+   others, so a line that stands in very many documents draws no windows but those it fills alone.
+2. Each document is cut into super-k-mers: runs of windows that share a minimiser. A run travels once, as one
+   packed string of words, to the bucket of its minimiser; equal windows have equal minimisers and so meet in one
+   bucket. A task that sees a string again and again sends it once and answers the later ones itself, so a passage
+   found everywhere costs a bucket one string per task.
+3. Each bucket sorts its windows by hash, compares the words of equal hashes byte by byte, and finds the earliest
    start of each word sequence. Runs of repeated windows become word ranges, addressed to the blocks of their
    documents.
-3. Each block takes the ranges out of its documents.
+4. Each block takes the ranges out of its documents.
 
 Bucket and block counts follow the bytes of text. Ids of several rows: a row is known by its id and a
 hash of its text; rows that share an id are one document as far as "earlier" goes, and equal rows share
@@ -28,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidegrid.llm import blocks
 from tidegrid.llm.words import ids, mix64, run_hash, run_starts, slices, span_hash, text_bytes, word_spans
@@ -36,6 +38,7 @@ from tidegrid.llm.words import ids, mix64, run_hash, run_starts, slices, span_ha
 BUCKET_BYTES = 4 << 20
 #: Strings a task remembers to answer repeats itself; beyond it, repeats travel.
 REMEMBERED = 50_000
+HEAVY_BYTES = 1 << 20
 
 
 def sliding_min(values: np.ndarray, n: int) -> np.ndarray:
@@ -64,13 +67,53 @@ def one_spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     return out.tobytes(), begin, begin + length
 
 
-def super_kmers(data: np.ndarray, offsets: np.ndarray, width: int, seed: int):
+def heavy_seeds(docs: DataFrame, seed: int, size: int, text: str) -> np.ndarray:
+    """Hashes of the heavy seeds, ascending; pieces of text in which a seed is rare do not count for it."""
+
+    def count(batches):
+        for flush in blocks.gathered(batches, text):
+            found = []
+            for piece in slices(flush, text):
+                data, offsets = text_bytes(piece.column(text))
+                starts, ends, first = word_spans(data, offsets)
+                found.append(run_hash(span_hash(data, starts, ends), seed)[run_starts(first, seed)[0]])
+            values, n = np.unique(np.concatenate(found), return_counts=True)
+            often = n >= 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["seed", "n"]
+            )
+
+    counts = docs.select(text).mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+    found = counts.filter(F.col("n") >= max(16, size // HEAVY_BYTES)).select("seed").toArrow()
+    return np.sort(found.column("seed").to_numpy().view(np.uint64))
+
+
+class SeedOrder:
+    """Ranks seeds by hash, heavy ones last."""
+
+    FILTER_BITS = 20
+
+    def __init__(self, heavy: np.ndarray):
+        self.heavy = heavy
+        self.seen = np.zeros(1 << self.FILTER_BITS, bool)
+        self.seen[(heavy >> np.uint64(64 - self.FILTER_BITS)).astype(np.int64)] = True
+
+    def rank(self, seeds: np.ndarray) -> np.ndarray:
+        out = seeds >> np.uint64(1)
+        if len(self.heavy):
+            maybe = np.flatnonzero(self.seen[(seeds >> np.uint64(64 - self.FILTER_BITS)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self.heavy, seeds[maybe]), len(self.heavy) - 1)
+            out[maybe[self.heavy[at] == seeds[maybe]]] |= np.uint64(1 << 63)
+        return out
+
+
+def super_kmers(data: np.ndarray, offsets: np.ndarray, width: int, seed: int, order: SeedOrder):
     """Packed words, and per run: minimiser, text, first word within its text, begin and end byte."""
     starts, ends, first = word_spans(data, offsets)
     at, text = run_starts(first, width)
     if not len(at):
         return None
-    least = sliding_min(run_hash(span_hash(data, starts, ends), seed), width - seed + 1)[at]
+    least = sliding_min(order.rank(run_hash(span_hash(data, starts, ends), seed)), width - seed + 1)[at]
     new = np.ones(len(at), bool)
     new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
     head = np.flatnonzero(new)
@@ -159,6 +202,7 @@ def drop_repeats(docs: DataFrame, width: int = 20, seed: int = 3, doc_id: str =
     # A word comes to its bucket about three times: windows of neighbouring runs overlap.
     n_buckets, n_blocks = blocks.n_blocks(3 * size, BUCKET_BYTES), blocks.n_blocks(size)
     bodies = blocks.packed(docs, n_blocks, doc_id, text)
+    order = SeedOrder(heavy_seeds(docs, seed, size, text))
 
     def cut(batches):
         known: dict[bytes, tuple[int, int]] = {}
@@ -167,7 +211,7 @@ def drop_repeats(docs: DataFrame, width: int = 20, seed: int = 3, doc_id: str =
             again: list[tuple[int, int, int, int]] = []
             for piece in slices(flush, text):
                 data, offsets = text_bytes(piece.column(text))
-                runs = super_kmers(data, offsets, width, seed)
+                runs = super_kmers(data, offsets, width, seed, order)
                 if runs is None:
                     continue
                 packed, least, owner, place, begin, end = runs
