@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from tidegrid.llm.quality import _order, sigmoid
+from tidegrid.llm.quality import _order, sigmoid, thin
 from tidegrid.llm.words import slices, text_bytes
 
 BITS = 15
@@ -127,10 +127,15 @@ def fit_svm(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size:
 
 def language_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """At most ``per_language`` rows ``doc_id, lang, text`` of each language, those with the least hash of the id."""
+    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
+    counts = known.groupBy("lang").agg(F.count("*").alias("_n"))
+    counts = F.broadcast(counts) if counts.count() <= BROADCAST_IDS else counts
+    # Twice the share that is needed, by hash; only those are ranked.
+    likely = thin(F.col("doc_id"), 2 * per_language, F.col("_n"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang").withColumn(
-        "_r", F.row_number().over(order)
-    ).filter(F.col("_r") <= per_language).select("doc_id", "lang").distinct()
+    ids = known.join(counts, "lang").filter(likely).withColumn("_r", F.row_number().over(order)).filter(
+        F.col("_r") <= per_language
+    ).select("doc_id", "lang").distinct()
     n = ids.count()
     ids = F.broadcast(ids) if n <= BROADCAST_IDS else ids
     return docs.select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"]).filter(has_letter(F.col("text"))).groupBy(

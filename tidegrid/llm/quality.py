@@ -91,9 +91,16 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def thin(doc_id: Column, wanted: int, n: Column) -> Column:
+    """Whether the hash of an id is among the least, a share that leaves about ``wanted`` of ``n`` rows."""
+    return F.xxhash64(doc_id).cast("double") <= F.lit(-(2.0**63)) + 2.0**64 * F.lit(float(wanted)) / n
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """At most ``sample`` rows ``text, label``: the labelled documents with the least hash of their id."""
-    ids = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+    known = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
+    # Twice the share that is needed, by hash; only those are sorted.
+    ids = known.filter(thin(F.col("doc_id"), 2 * sample, F.lit(known.count()))).groupBy("doc_id").agg(
         F.max("label").cast("int").alias("label")
     ).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # ``ids`` has at most ``sample`` rows of two numbers.
