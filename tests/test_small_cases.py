@@ -259,3 +259,19 @@ def test_shared_folder_falls_back_only_locally(spark, monkeypatch):
     with pytest.raises(ValueError):
         session.shared_root(Fake())
     assert session.shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_table_target_keeps_other_dates(spark):
+    from tidegrid.sources.files import write_features
+
+    rows = [(1, "2024-01-01"), (2, "2024-01-02")]
+    spark.sql("DROP TABLE IF EXISTS features_by_date")
+    try:
+        df = spark.createDataFrame(rows, "v int, d string").selectExpr("v", "to_date(d) AS feature_date")
+        write_features(df, "features_by_date")
+        # Columns come in another order; only the second date is written again.
+        write_features(df.filter("v = 2").selectExpr("feature_date", "v + 10 AS v"), "features_by_date")
+        got = spark.table("features_by_date").collect()
+        assert sorted((str(r.feature_date), r.v) for r in got) == [("2024-01-01", 1), ("2024-01-02", 12)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS features_by_date")

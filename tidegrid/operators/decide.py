@@ -231,16 +231,16 @@ def ab_route(
     name: str = "model_version",
 ) -> DataFrame:
     """Route by a stable hash of the key: each named version gets its share, the rest goes to the
-    champion. Default: a tenth to Staging."""
+    champion. Shares count in steps of 2 ** -32. Default: a tenth to Staging."""
     shares = {"Staging": 0.1} if shares is None else shares
-    slot = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % 10_000
+    slot = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long")
     picked, reach = F.lit(champion), 0.0
     choice: Column | None = None
     for version, share in shares.items():
         if not version or share <= 0:
             continue
         reach += share
-        hit = slot < round(reach * 10_000)
+        hit = slot < round(reach * 2**32)
         choice = F.when(hit, version) if choice is None else choice.when(hit, version)
     if choice is not None:
         picked = choice.otherwise(champion)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.session import durable
 
 
+#: Nodes of a frontier shipped to all tasks at most.
+BROADCAST_NODES = 100_000
+
+
 def lineage_edges(events: DataFrame) -> DataFrame:
     """Creation, transformation and consumption events as distinct (src, dst, kind)."""
     kind = F.col("event_type")
@@ -29,30 +35,33 @@ def lineage_edges(events: DataFrame) -> DataFrame:
 
 
 def lineage_impact(
-    edges: DataFrame, asset: str, direction: str = "downstream", max_depth: int = 20
+    edges: DataFrame, asset: str, direction: str = "downstream", max_depth: int | None = None
 ) -> DataFrame:
-    """Every asset reached from ``asset`` with its smallest distance.
+    """Every asset reached from ``asset`` with its smallest distance; ``max_depth`` limits it if given.
 
     Breadth first: each turn joins the distinct frontier with the edges and drops nodes already
-    seen, so work is bounded by nodes and edges, not by the number of paths, and cycles end. Each
-    turn is written durably, which keeps the plan short.
+    seen, so work is bounded by nodes and edges, not by the number of paths, and cycles end when
+    the frontier is empty. A frontier of up to ``BROADCAST_NODES`` is shipped to the edges instead of
+    shuffling them. Each turn is written durably, which keeps the plan short.
     """
     a, b = ("src", "dst") if direction == "downstream" else ("dst", "src")
     step = durable(edges.select(F.col(a).alias("_from"), F.col(b).alias("node")))
     spark = edges.sparkSession
     frontier = spark.range(1).select(F.lit(asset).alias("node"), F.lit(0).alias("depth"))
     seen = frontier
-    for depth in range(1, max_depth + 1):
+    size = 1
+    for depth in itertools.count(1):
+        if not size or (max_depth is not None and depth > max_depth):
+            break
+        ask = frontier.select(F.col("node").alias("_from"))
         reached = (
-            frontier.select(F.col("node").alias("_from"))
-            .join(step, "_from")
+            step.join(F.broadcast(ask) if size <= BROADCAST_NODES else ask, "_from")
             .select("node")
             .distinct()
             .join(seen, "node", "left_anti")
             .select("node", F.lit(depth).alias("depth"))
         )
         frontier = durable(reached)
-        if frontier.isEmpty():
-            break
+        size = frontier.count()
         seen = seen.unionByName(frontier)
     return seen.filter(F.col("depth") > 0)

@@ -440,18 +440,20 @@ def schema_diff(registry: DataFrame, old: int, new: int) -> DataFrame:
 
 def schema_history(registry: DataFrame) -> DataFrame:
     """``schema_diff`` of every version against the one before it, without a self-join: each row
-    is "new" in its own version and "old" in the next."""
-    ends = registry.agg(F.min("version").alias("a"), F.max("version").alias("b"))
-    span = ends.select(F.struct("a", "b")).scalar()
+    is "new" in its own version and "old" in the next there is, whatever its number. The list of
+    versions is the only thing sorted as a whole."""
+    order = W.orderBy("version")
+    versions = registry.select("version").distinct().select(
+        "version", F.lag("version").over(order).alias("_before"), F.lead("version").over(order).alias("_next")
+    )
     roles = F.array(
-        F.struct(F.col("version").alias("to_version"), F.lit("new").alias("side")),
-        F.struct((F.col("version") + 1).alias("to_version"), F.lit("old").alias("side")),
+        F.struct(F.when(F.col("_before").isNotNull(), F.col("version")).alias("to_version"), F.lit("new").alias("side")),
+        F.struct(F.col("_next").alias("to_version"), F.lit("old").alias("side")),
     )
     sides = (
-        registry.select("feature", "property", "value", F.inline(roles))
-        .withColumn("_s", span)
-        .filter((F.col("to_version") > F.col("_s.a")) & (F.col("to_version") <= F.col("_s.b")))
-        .drop("_s")
+        registry.join(versions, "version")
+        .select("feature", "property", "value", F.inline(roles))
+        .filter(F.col("to_version").isNotNull())
     )
     return _pair_diff(sides, ["to_version", "feature"])
 

@@ -97,7 +97,7 @@ def elasticity(
     chunks of a key. No array holds more than one such level.
     """
     ratio = (F.col(new_price) - F.col(old_price)) / F.col(old_price)
-    usable = (F.col(old_price) != 0) & (F.col(new_price) != 0)
+    usable = (F.col(old_price) != 0) & (F.col(new_price) != 0) & F.col(change).isNotNull()
     steps = (
         add_chunk(df.filter(usable), ts, chunk_s)
         .withColumn("_ratio", ratio)
@@ -170,9 +170,13 @@ def flash_insight(
     ``insight_level`` and, when CRITICAL, ``window_start`` (time of the oldest counted event).
 
     A sweep: each event enters at its time and leaves ``seconds`` later, and running sums over
-    enter and leave marks give the count. Cost does not grow with the events inside a window.
+    enter and leave marks give the count. Cost does not grow with the events inside a window. Rows
+    without a time stand in no window: count 0, NORMAL.
     """
-    placed = with_halo(df, ts, max(chunk_s, seconds), seconds)
+    timeless = df.filter(F.col(ts).isNull()).withColumns(
+        {"pulse_count": F.lit(0).cast("long"), "insight_level": F.lit("NORMAL"), "window_start": F.col(ts)}
+    )
+    placed = with_halo(df.filter(F.col(ts).isNotNull()), ts, max(chunk_s, seconds), seconds)
     own = W.partitionBy(*key, CHUNK)
     placed = placed.withColumn("_next", F.lead(ts).over(own.orderBy(ts, *tie)))
     micros = micros_of(ts)
@@ -205,6 +209,7 @@ def flash_insight(
             "window_start", F.when(F.col("insight_level") == "CRITICAL", F.col("window_start"))
         )
         .drop("_next", "_leaves", "_at", CHUNK, HOME)
+        .unionByName(timeless)
     )
 
 

@@ -143,7 +143,7 @@ def _(spark, sf):
 
 def _closure(start: str, a: str, b: str) -> str:
     return f"""WITH RECURSIVE {_EDGES}, walk AS (SELECT '{start}' AS node, 0 AS depth
-      UNION SELECT e.{b}, w.depth + 1 FROM walk w JOIN edges e ON e.{a} = w.node WHERE w.depth < 20)
+      UNION SELECT e.{b}, w.depth + 1 FROM walk w JOIN edges e ON e.{a} = w.node)
       SELECT node, min(depth)::int AS depth FROM walk WHERE depth > 0 GROUP BY node"""
 
 
@@ -157,6 +157,24 @@ def _(spark, sf):
     return N.lineage_impact(N.lineage_edges(S.lineage_events(spark, sf)), "customer/1", "upstream")
 
 
+_CHAIN = """edges AS (SELECT DISTINCT 'day/' || strftime(ts, '%Y-%m-%d') AS src, 'day/' || strftime(ts + INTERVAL 1 DAY, '%Y-%m-%d') AS dst FROM events
+  UNION ALL SELECT DISTINCT 'day/2024-01-01', 'user/' || user_id FROM events)"""
+
+
+@query("f9_lineage_long_chain", f"""WITH RECURSIVE {_CHAIN}, walk AS (SELECT 'day/2024-01-01' AS node, 0 AS depth
+  UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.node)
+  SELECT node, min(depth)::int AS depth FROM walk WHERE depth > 0 GROUP BY node""")
+def _(spark, sf):
+    """Each day's events feed the next day's: about thirty steps, and a wide first day."""
+    e = S.table(spark, sf, "events")
+    day = F.to_date("ts")
+    name = lambda d: F.concat(F.lit("day/"), d.cast("string"))
+    edges = e.select(name(day).alias("src"), name(F.date_add(day, 1)).alias("dst")).union(
+        e.select(F.lit("day/2024-01-01"), F.concat(F.lit("user/"), F.col("user_id").cast("string")))
+    ).distinct()
+    return N.lineage_impact(edges, "day/2024-01-01")
+
+
 # --- history tables ------------------------------------------------------------------------------
 
 
@@ -247,14 +265,23 @@ def _(spark, sf):
     return rounded(out, ["ensemble_prediction"])
 
 
-@query("i7_ab_route", """SELECT user_id, event_id, CASE WHEN ('0x' || substr(md5(event_id::varchar), 1, 8))::bigint % 10000 < 1000
+@query("i7_ab_route", """SELECT user_id, event_id, CASE WHEN ('0x' || substr(md5(event_id::varchar), 1, 8))::bigint < 429496730
   THEN 'Staging' ELSE 'Production' END AS model_version FROM events""")
 def _(spark, sf):
     return R.ab_route(S.table(spark, sf, "events").select("user_id", "event_id"), "event_id")
 
 
-@query("i7_traffic_split", """WITH s AS (SELECT event_id, ('0x' || substr(md5(event_id::varchar), 1, 8))::bigint % 10000 AS slot FROM events)
-  SELECT event_id, CASE WHEN slot < 2500 THEN 'v2' WHEN slot < 4000 THEN 'v3' ELSE 'v1' END AS model_version FROM s""")
+@query("i7_traffic_split", """WITH s AS (SELECT event_id, ('0x' || substr(md5(event_id::varchar), 1, 8))::bigint AS slot FROM events)
+  SELECT event_id, CASE WHEN slot < 1073741824 THEN 'v2' WHEN slot < 1717986918 THEN 'v3' ELSE 'v1' END AS model_version FROM s""")
 def _(spark, sf):
     e = S.table(spark, sf, "events").select("event_id")
     return R.ab_route(e, "event_id", {"v2": 0.25, "v3": 0.15}, "v1")
+
+
+@query("i7_tiny_share", """WITH s AS (SELECT l_orderkey, l_linenumber, l_orderkey || '/' || l_linenumber AS k FROM lineitem)
+  SELECT l_orderkey, l_linenumber, CASE WHEN ('0x' || substr(md5(k), 1, 8))::bigint < 171799 THEN 'tiny'
+    WHEN ('0x' || substr(md5(k), 1, 8))::bigint < 4466766 THEN 'small' ELSE 'Production' END AS model_version FROM s""")
+def _(spark, sf):
+    k = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    li = S.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", k.alias("k"))
+    return R.ab_route(li, "k", {"tiny": 0.00004, "small": 0.001}).drop("k")

@@ -40,7 +40,7 @@ def _(spark, sf):
     f = _features(spark, sf)
     early, late = f.filter(F.dayofmonth(WS) <= 20), f.filter(F.dayofmonth(WS) > 20)
     history = scratch_path(spark, "history")
-    report = performance_run(late, _model(early), TARGET, D.CELL, WS, "2024-01-21", "2024-01-29", history)
+    report = performance_run(late, _model(early), TARGET, D.CELL, WS, "2024-01-21", "2024-01-31", history)
     return retraining_check(late, early, S.FEATURES, report, 60.0)
 
 

@@ -137,6 +137,27 @@ def _(spark, sf):
     return rounded(out, ["elasticity"])
 
 
+@query("e7_elasticity_gaps", f"""WITH {ELASTICITY_CTE.replace("FROM rides)", "FROM rides WHERE event_id % 4 <> 1)")}
+  SELECT zone, round(elasticity, 6) AS elasticity, updates FROM eta""")
+def _(spark, sf):
+    """Every fourth change is not known and counts for nothing."""
+    p = S.prices(spark, sf).withColumn("demand_change", F.when(F.col("event_id") % 4 != 1, F.col("demand_change")))
+    return rounded(E.elasticity(p, ["zone"], "ts", "old_price", "new_price", "demand_change", ["event_id"]), ["elasticity"])
+
+
+@query("e8_flash_insight_gaps", f"""WITH {V.RIDES}, g AS (SELECT event_id, zone, CASE WHEN event_id % 5 <> 2 THEN ts END AS ts FROM rides),
+  c AS (SELECT event_id, zone, ts, count(ts) OVER w AS n, min(ts) OVER w AS s
+    FROM g WINDOW w AS (PARTITION BY zone ORDER BY ts RANGE BETWEEN interval 7200 second PRECEDING AND CURRENT ROW))
+  SELECT event_id, zone, CASE WHEN ts IS NULL THEN 0 ELSE n END::bigint AS pulse_count,
+    CASE WHEN ts IS NOT NULL AND n >= 3 THEN 'CRITICAL' ELSE 'NORMAL' END AS insight_level,
+    CASE WHEN ts IS NOT NULL AND n >= 3 THEN s END AS window_start FROM c""")
+def _(spark, sf):
+    """Every fifth event has no time."""
+    e = S.ride_events(spark, sf).withColumn("ts", F.when(F.col("event_id") % 5 != 2, F.col("ts")))
+    out = E.flash_insight(e, ["zone"], "ts", 7200, 3, ["event_id"])
+    return out.select("event_id", "zone", "pulse_count", "insight_level", "window_start")
+
+
 @query("e8_flash_insight", f"""WITH {V.RIDES}, c AS (SELECT event_id, zone, ts, count(*) OVER w AS pulse_count, min(ts) OVER w AS s
     FROM rides WINDOW w AS (PARTITION BY zone ORDER BY ts RANGE BETWEEN interval 7200 second PRECEDING AND CURRENT ROW))
   SELECT event_id, zone, pulse_count::bigint AS pulse_count, CASE WHEN pulse_count >= 3 THEN 'CRITICAL' ELSE 'NORMAL' END AS insight_level,

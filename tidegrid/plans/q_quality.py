@@ -208,9 +208,40 @@ def _(spark, sf):
     return Q.schema_diff(S.schema_registry(spark, sf), 1, 2)
 
 
-@query("c8_schema_history", f"WITH {_REGISTRY} SELECT 2 AS to_version, * FROM diff")
+@query("c8_schema_history", """WITH reg AS (SELECT v.version, p.p_partkey AS k, q.property, q.value FROM part p,
+    (VALUES (1), (2), (4), (9), (10)) v(version),
+    LATERAL (VALUES ('type', CASE WHEN p.p_partkey % 7 < v.version THEN 'number' ELSE 'string' END),
+      ('required', CASE WHEN p.p_partkey % 4 = 0 THEN 'true' ELSE 'false' END),
+      ('min_value', CASE WHEN p.p_partkey % 6 >= v.version THEN '0' END)) q(property, value)
+    WHERE q.value IS NOT NULL AND p.p_partkey % 11 <> v.version),
+  steps(o, n) AS (VALUES (1, 2), (2, 4), (4, 9), (9, 10)),
+  olds AS (SELECT n AS to_version, k, property, value FROM reg JOIN steps ON version = o),
+  news AS (SELECT n AS to_version, k, property, value FROM reg JOIN steps ON version = n),
+  j AS (SELECT coalesce(a.to_version, b.to_version) AS to_version, coalesce(a.k, b.k) AS k, coalesce(a.property, b.property) AS property,
+      a.value AS ov, b.value AS nv FROM olds a FULL JOIN news b ON a.to_version = b.to_version AND a.k = b.k AND a.property = b.property),
+  m AS (SELECT *, count(ov) OVER w AS n_old, count(nv) OVER w AS n_new,
+      coalesce(max(CASE WHEN property = 'required' THEN ov END) OVER w = 'true', false) AS old_required,
+      coalesce(max(CASE WHEN property = 'required' THEN nv END) OVER w = 'true', false) AS new_required
+    FROM j WINDOW w AS (PARTITION BY to_version, k))
+  SELECT to_version, 'feature_' || k AS feature,
+    CASE WHEN n_old = 0 THEN 'added' WHEN n_new = 0 THEN 'removed' ELSE 'modified' END AS change, property,
+    CASE WHEN n_old > 0 AND n_new > 0 AND ov IS NULL THEN 'added' ELSE ov END AS old_value,
+    CASE WHEN n_old > 0 AND n_new > 0 AND nv IS NULL THEN 'removed' ELSE nv END AS new_value, old_required, new_required
+  FROM m WHERE n_old = 0 OR n_new = 0 OR ov IS DISTINCT FROM nv""")
 def _(spark, sf):
-    return Q.schema_history(S.schema_registry(spark, sf))
+    """Five versions with gaps between their numbers."""
+    k, version = F.col("p_partkey"), F.col("version")
+    props = F.array(
+        F.struct(F.lit("type").alias("property"), F.when(k % 7 < version, "number").otherwise("string").alias("value")),
+        F.struct(F.lit("required").alias("property"), F.when(k % 4 == 0, "true").otherwise("false").alias("value")),
+        F.struct(F.lit("min_value").alias("property"), F.when(k % 6 >= version, "0").alias("value")),
+    )
+    registry = S.table(spark, sf, "part").select(
+        "p_partkey", F.explode(F.array(*[F.lit(v) for v in (1, 2, 4, 9, 10)])).alias("version")
+    ).filter(k % 11 != version).select(
+        "version", F.concat(F.lit("feature_"), k.cast("string")).alias("feature"), F.inline(props)
+    ).filter(F.col("value").isNotNull())
+    return Q.schema_history(registry)
 
 
 _BREAKING = f"""{_REGISTRY}, broken AS (

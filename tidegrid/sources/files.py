@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def read_history(
     spark: SparkSession, path: str, schema: T.StructType | str, ts_col: str, fmt: str = "parquet"
 ) -> DataFrame:
@@ -29,19 +32,26 @@ def read_history(
 
 def write_features(df: DataFrame, target: str, date_col: str = "feature_date") -> None:
     """Write by date, replacing only the dates present in ``df``. ``target`` is a path, or a table
-    name if it has no slash. The rebalance hint lets adaptive execution split a date that is far
-    larger than the others and merge the small ones into few files."""
-    writer = (
-        df.hint("rebalance", F.col(date_col))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_col)
-        .format("parquet")
-    )
+    name if it has no slash; a table that exists keeps its columns and their order. The rebalance
+    hint lets adaptive execution split a date that is far larger than the others and merge the
+    small ones into few files."""
+    spark = df.sparkSession
+    rows = df.hint("rebalance", F.col(date_col))
     if "/" in target:
-        writer.save(target)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            date_col
+        ).format("parquet").save(target)
+    elif not spark.catalog.tableExists(target):
+        rows.write.partitionBy(date_col).format("parquet").saveAsTable(target)
     else:
-        writer.saveAsTable(target)
+        # saveAsTable would replace the whole table. An insert keeps the other dates, if the session
+        # says so: it does not look at writer options.
+        before = spark.conf.get(OVERWRITE_MODE)
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(OVERWRITE_MODE, before)
 
 
 def append_log(df: DataFrame, path: str) -> None:
