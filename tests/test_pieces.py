@@ -36,10 +36,10 @@ def data(spark):
     return df, by
 
 
-@pytest.mark.parametrize("chunk", [7, 60, 86_400])
-def test_number_rows(data, chunk):
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_number_rows(data, parts):
     df, by = data
-    got = {r.id: r._rn for r in K.number_rows(df, ["k"], ["ts", "id"], "ts", chunk).collect()}
+    got = {r.id: r._rn for r in K.number_rows(df, ["k"], ["ts", "id"], parts).collect()}
     assert got == {r[0]: i + 1 for rs in by.values() for i, r in enumerate(rs)}
 
 
@@ -50,8 +50,8 @@ def test_row_blocks_repeat_the_tail(spark):
     assert sorted((r._rn, r._block) for r in out if not r._home) == [(8, 1), (9, 1), (10, 1), (18, 2), (19, 2), (20, 2)]
 
 
-@pytest.mark.parametrize("chunk", [11, 300, 86_400])
-def test_streaks(data, chunk):
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_streaks(data, parts):
     df, by = data
     want = {}
     for rs in by.values():
@@ -59,16 +59,17 @@ def test_streaks(data, chunk):
         for r in rs:
             n = 0 if r[3] else n + 1
             want[r[0]] = n
-    got = E.failed_access_streak(df, "k", "ts", "ok", ["id"], 3, chunk).collect()
+    got = E.failed_access_streak(df, "k", "ts", "ok", ["id"], 3, parts).collect()
     assert {r.id: r.failed_attempts for r in got} == want
     assert all(r.alert == (want[r.id] >= 3) for r in got)
 
 
-@pytest.mark.parametrize("chunk,block", [(13, 2), (400, 3), (86_400, 1024)])
-def test_elasticity(data, chunk, block):
+@pytest.mark.parametrize("parts,block", [(40, 2), (3, 3), (1, 1024)])
+def test_elasticity(data, parts, block, monkeypatch):
+    monkeypatch.setattr(E, "FAN_IN", 3)  # several levels
     df, by = data
     prices = df.withColumns({"a": F.lit(1.0) + F.col("id") % 3, "b": F.lit(1.0) + F.col("id") % 5, "c": F.col("v") / 25 - 2})
-    got = {r.k: r for r in E.elasticity(prices, ["k"], "ts", "a", "b", "c", ["id"], lr=0.2, chunk_s=chunk, block=block).collect()}
+    got = {r.k: r for r in E.elasticity(prices, ["k"], "ts", "a", "b", "c", ["id"], lr=0.2, parts=parts, block=block).collect()}
     for k, rs in by.items():
         eta, n = -0.8, 0
         for i, _, _, _, v in rs:
@@ -79,10 +80,10 @@ def test_elasticity(data, chunk, block):
         assert got[k].elasticity == pytest.approx(eta) and got[k].updates == n
 
 
-@pytest.mark.parametrize("seconds,chunk", [(10, 10), (10, 25), (60, 3600), (90, 5)])
-def test_flash(data, seconds, chunk):
+@pytest.mark.parametrize("seconds,parts", [(10, 1), (10, 9), (60, 40), (90, 3)])
+def test_flash(data, seconds, parts):
     df, by = data
-    got = {r.id: r for r in E.flash_insight(df, ["k"], "ts", seconds, 4, ["id"], chunk).collect()}
+    got = {r.id: r for r in E.flash_insight(df, ["k"], "ts", seconds, 4, ["id"], parts).collect()}
     assert len(got) == 400
     for rs in by.values():
         for r in rs:
@@ -96,7 +97,7 @@ def test_flash(data, seconds, chunk):
 def test_rolling_outlier(data, monkeypatch):
     df, by = data
     monkeypatch.setattr(E, "row_blocks", lambda d, back: K.row_blocks(d, back, 25))
-    got = {r.id: r for r in E.rolling_outlier(df, ["k"], "ts", "v", 10, 0.2, ["id"], 100).collect()}
+    got = {r.id: r for r in E.rolling_outlier(df, ["k"], "ts", "v", 10, 0.2, ["id"], 7).collect()}
     for rs in by.values():
         for i, r in enumerate(rs):
             if i < 9:
@@ -110,7 +111,7 @@ def test_rolling_outlier(data, monkeypatch):
 def test_recent_error_confidence(data, monkeypatch):
     df, by = data
     monkeypatch.setattr(E, "row_blocks", lambda d, back: K.row_blocks(d, back, 17))
-    got = {r.id: r for r in E.recent_error_confidence(df, ["k"], "ts", "v", 8, 20.0, tie=["id"], chunk_s=50).collect()}
+    got = {r.id: r for r in E.recent_error_confidence(df, ["k"], "ts", "v", 8, 20.0, tie=["id"], parts=7).collect()}
     for rs in by.values():
         for i, r in enumerate(rs):
             past = [x[4] for x in rs[max(0, i - 8):i]]
@@ -123,8 +124,8 @@ def test_recent_error_confidence(data, monkeypatch):
                 assert g.confidence_score == pytest.approx(max(0.0, 1 - min(1.0, sd / 20 - 0.5)))
 
 
-@pytest.mark.parametrize("chunk", [20, 500, 86_400])
-def test_asof(data, chunk):
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_asof(data, parts):
     df, by = data
     # one fact per key and time
     facts = df.filter("ok").groupBy("k", "ts").agg(F.max("v").alias("fact"))
@@ -134,8 +135,8 @@ def test_asof(data, chunk):
         for r in rs:
             if r[3]:
                 known[k][r[2]] = max(r[4], known[k].get(r[2], -1e9))
-    got = {r.id: r for r in A.feature_asof(asked, facts, ["k"], "ts", chunk).collect()}
-    fresh = {r.id: r for r in A.weather_enrich(asked, facts, ["k"], "ts", 15, chunk).collect()}
+    got = {r.id: r for r in A.feature_asof(asked, facts, ["k"], "ts", parts=parts).collect()}
+    fresh = {r.id: r for r in A.weather_enrich(asked, facts, ["k"], "ts", 15, parts=parts).collect()}
     n = 0
     for k, rs in by.items():
         for r in rs:
@@ -181,3 +182,34 @@ def test_quantiles_and_drift_against_numpy(spark):
     assert r.wasserstein_distance == pytest.approx((gap[:-1] * np.diff(grid)).sum())
     z = np.sqrt(300 * 200 / 500) * gap.max()
     assert r.ks_pvalue == pytest.approx(2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * z * z) for k in range(1, 50)))
+
+
+def test_dense_keys_are_split_by_size(spark, monkeypatch):
+    """Nine rows in ten have one key and one hour; no window partition holds twice the mean."""
+    df = spark.range(40_000).selectExpr(
+        "id", "IF(id % 10 < 9, 'hot', 'k' || id % 7) AS k",
+        "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, IF(id % 10 < 9, id % 3600, id * 60)) AS ts",
+        "id % 3 = 0 AS ok", "CAST(id % 11 AS double) AS v", "1.0D AS a", "1.5D AS b",
+    ).repartition(6)
+    sizes = []
+    plain = K.range_chunks
+
+    def watched(rows, order, parts=None):
+        out = plain(rows, order, parts)
+        key = [c for c in order if c == "k"]
+        sizes.append([r["count"] for r in out.groupBy(*key, K.CHUNK).count().collect()] or [0])
+        sizes[-1].append(sum(sizes[-1]) / (parts or 1))
+        return out
+
+    for module in (K, E, A):
+        monkeypatch.setattr(module, "range_chunks", watched)
+    parts = 20
+    E.failed_access_streak(df, "k", "ts", "ok", ["id"], 3, parts).count()
+    E.elasticity(df, ["k"], "ts", "a", "b", "v", ["id"], parts=parts).count()
+    E.flash_insight(df, ["k"], "ts", 10, 5, ["id"], parts).count()
+    E.rolling_outlier(df, ["k"], "ts", "v", 10, 0.2, ["id"], parts).count()
+    E.recent_error_confidence(df, ["k"], "ts", "v", 8, tie=["id"], parts=parts).count()
+    A.feature_asof(df, df.select("k", "ts", "v").withColumnRenamed("v", "f").dropDuplicates(["k", "ts"]), ["k"], "ts", parts=parts).count()
+    assert len(sizes) == 6
+    for *each, mean in sizes:
+        assert max(each) < 2 * mean

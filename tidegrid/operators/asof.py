@@ -8,22 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidegrid.operators.chunks import (
-    CHUNK,
-    DAY,
-    HOME,
-    KIND,
-    RUNNING,
-    add_carry,
-    add_chunk,
-    with_halo,
-)
-
-
-def _packed(facts: DataFrame, key: Sequence[str], ts: str, ts_name: str) -> tuple[DataFrame, list[str]]:
-    rest = [c for c in facts.columns if c not in (*key, ts)]
-    body = F.struct(F.col(ts).alias(ts_name), *rest)
-    return facts.select(*key, ts, body.alias("_fact")), rest
+from tidegrid.operators.chunks import CHUNK, KIND, RUNNING, add_carry, range_chunks
 
 
 def feature_asof(
@@ -31,35 +16,28 @@ def feature_asof(
     features: DataFrame,
     key: Sequence[str],
     ts: str,
-    chunk_s: int = DAY,
     ts_name: str = "feature_ts",
+    parts: int | None = None,
 ) -> DataFrame:
     """For each request the newest feature row of its key at or before its time (null columns if
     there is none).
 
-    Both sides meet in (key, time chunk) pieces; the carry row of a piece is the last feature of
-    the pieces before it. One feature row per key and time is assumed.
+    Both sides meet in range chunks of (key, time); the carry row of a chunk is the last feature of
+    the chunks before it. One feature row per key and time is assumed; features without a time are
+    never found.
     """
-    facts, rest = _packed(features, key, ts, ts_name)
-    facts = add_chunk(facts, ts, chunk_s)
-    asked = add_chunk(requests, ts, chunk_s)
-    pieces = (
-        facts.groupBy(*key, CHUNK)
-        .agg(F.max_by("_fact", ts).alias("_fact"))
-        .withColumn("_asked", F.lit(False))
-        .unionByName(
-            asked.select(*key, CHUNK).distinct().withColumn("_asked", F.lit(True)),
-            allowMissingColumns=True,
-        )
+    rest = [c for c in features.columns if c not in (*key, ts)]
+    facts = features.filter(F.col(ts).isNotNull()).select(
+        *key, ts, F.struct(F.col(ts).alias(ts_name), *rest).alias("_fact"), F.lit(0).alias("_side")
     )
-    before = W.partitionBy(*key).orderBy(CHUNK).rangeBetween(W.unboundedPreceding, -1)
-    carry = (
-        pieces.withColumn("_fact", F.last("_fact", ignorenulls=True).over(before))
-        .filter("_asked")
-        .drop("_asked")
+    both = range_chunks(
+        requests.withColumn("_side", F.lit(1)).unionByName(facts, allowMissingColumns=True), [*key, ts, "_side"], parts
     )
-    both = asked.withColumn("_side", F.lit(1)).unionByName(
-        facts.withColumn("_side", F.lit(0)), allowMissingColumns=True
+    before = W.partitionBy(*key).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    carry = (
+        both.groupBy(*key, CHUNK)
+        .agg(F.max_by("_fact", F.when(F.col("_side") == 0, F.col(ts))).alias("_fact"))
+        .withColumn("_fact", F.last("_fact", ignorenulls=True).over(before))
     )
     order = W.partitionBy(*key, CHUNK).orderBy(KIND, ts, "_side").rowsBetween(*RUNNING)
     return (
@@ -76,27 +54,15 @@ def weather_enrich(
     key: Sequence[str],
     ts: str,
     max_age_s: int = 900,
-    chunk_s: int = DAY,
     ts_name: str = "weather_ts",
+    parts: int | None = None,
 ) -> DataFrame:
-    """As-of lookup that accepts a reading only while it is younger than ``max_age_s``.
-
-    The age limit bounds how far back a row can look, so readings near the end of a piece are
-    copied into the next one and nothing else crosses pieces.
-    """
-    facts, rest = _packed(weather, key, ts, ts_name)
-    readings = with_halo(facts, ts, max(chunk_s, max_age_s), max_age_s).drop(HOME)
-    asked = add_chunk(df, ts, max(chunk_s, max_age_s)).withColumn("_side", F.lit(1))
-    order = W.partitionBy(*key, CHUNK).orderBy(ts, "_side").rowsBetween(*RUNNING)
-    both = asked.unionByName(readings.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    age = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(
-        F.col(f"_fact.`{ts_name}`").cast("timestamp")
-    )
-    return (
-        both.withColumn("_fact", F.last("_fact", ignorenulls=True).over(order))
-        .filter(F.col("_side") == 1)
-        .withColumn("_fact", F.when(age < max_age_s * 1_000_000, F.col("_fact")))
-        .select(*df.columns, *[F.col(f"_fact.`{c}`") for c in (ts_name, *rest)])
+    """As-of lookup that accepts a reading only while it is younger than ``max_age_s``."""
+    found = feature_asof(df, weather, key, ts, ts_name, parts)
+    age = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(ts_name).cast("timestamp"))
+    added = [c for c in found.columns if c not in df.columns]
+    return found.withColumn("_fresh", age < max_age_s * 1_000_000).select(
+        *df.columns, *[F.when(F.col("_fresh"), F.col(c)).alias(c) for c in added]
     )
 
 

@@ -1,14 +1,16 @@
 """Ways to run ordered computations over a key without ever holding the whole key in one task.
 
-One key may own a third of all rows, so a window over the bare key is not safe on raw rows. The
-helpers here split a key into pieces and make each piece exact on its own:
-
-* **halo** - a window that looks back a bounded time needs only the tail of the piece before it,
-  so those rows are copied into the next piece and thrown away afterwards;
-* **carry row** - a running value needs one number from all pieces before it. That number comes
-  from a table of one row per piece, and is put in front of the piece as an extra row, so no join
-  is needed and null keys behave like any other key;
-* **range chunks** - order over the whole table: range partitions, fixed once by a durable copy.
+One key may own a third of all rows, and most of them in one hour, so a window over the bare key,
+or over a day of it, is not safe on raw rows. The helpers here split keys by size and make each
+piece exact on its own:
+
+* **range chunks** - range partitions of the order (key, time, tie), fixed once by a durable copy:
+  a chunk has about the same number of rows wherever the data is dense;
+* **carry row** - a running value needs one number from all chunks before it. That number comes
+  from a table of one row per key and chunk, and is put in front of the chunk as an extra row, so
+  no join is needed and null keys behave like any other key;
+* **row blocks** - a window over the last n rows needs only the tail of the block before it, so
+  those rows are copied into the next block and thrown away afterwards.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from pyspark.sql import Window as W
 from tidegrid.session import durable
 
 MICROS = 1_000_000
-DAY = 86_400
 
 CHUNK = "_chunk"
 KIND = "_kind"  # 0 carry row, 1 data row
@@ -31,36 +32,10 @@ HOME = "_home"
 RUNNING = (W.unboundedPreceding, W.currentRow)
 
 
-def chunk_index(micros: Column, chunk_s: int) -> Column:
-    size = F.lit(chunk_s * MICROS)
-    return ((micros - F.pmod(micros, size)) / size).cast("long")
-
-
 def micros_of(ts: str | Column) -> Column:
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
 
-def add_chunk(df: DataFrame, ts: str, chunk_s: int = DAY) -> DataFrame:
-    return df.withColumn(CHUNK, chunk_index(micros_of(ts), chunk_s))
-
-
-def with_halo(df: DataFrame, ts: str, chunk_s: int, back_s: int) -> DataFrame:
-    """Put each row into its time chunk and, if it still matters there, into the next one.
-
-    ``_home`` is true for the row's own chunk. ``back_s`` must not exceed ``chunk_s``.
-    """
-    if back_s > chunk_s:
-        raise ValueError("the look-back must fit into one chunk")
-    own = chunk_index(micros_of(ts), chunk_s)
-    reach = chunk_index(micros_of(ts) + F.lit(back_s * MICROS), chunk_s)
-    copies = F.when(reach > own, F.array(own, own + 1)).otherwise(F.array(own))
-    return df.withColumn("_copies", F.struct(own.alias("own"), copies.alias("all"))).select(
-        *df.columns,
-        F.col("_copies.own").alias("_own"),
-        F.explode("_copies.all").alias(CHUNK),
-    ).withColumn(HOME, F.col(CHUNK) == F.col("_own")).drop("_own")
-
-
 def add_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
     """Union data rows with one carry row per chunk; sort by ``_kind`` first to see it first."""
     return rows.withColumn(KIND, F.lit(1)).unionByName(
@@ -68,15 +43,13 @@ def add_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], ts: str, chunk_s: int = DAY
-) -> DataFrame:
+def number_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], parts: int | None = None) -> DataFrame:
     """Add ``_rn``, the exact 1-based position of a row inside its key.
 
-    Chunk sizes are counted with a partial aggregate; their prefix sums (one row per key and
-    chunk) become the carry rows.
+    Rows lie in range chunks, so how dense a key is does not matter. Chunk sizes are counted with a
+    partial aggregate; their prefix sums (one row per key and chunk) become the carry rows.
     """
-    rows = add_chunk(df, ts, chunk_s)
+    rows = range_chunks(df, [*key, *order], parts)
     before = F.sum("_w").over(
         W.partitionBy(*key).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     )

@@ -1,12 +1,13 @@
 """Exact distribution statistics over many columns: quantiles, KS, Wasserstein.
 
-All of them need values in order over the whole table. Equal values are counted first (a partial
+KS and Wasserstein need values in order over the whole table. Equal values are counted first (a partial
 aggregate, so a value that fills a third of the rows costs one row), then the distinct values are
 range-partitioned once, and running counts are finished inside each range with a carry row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,31 +65,101 @@ def running_counts(counts: DataFrame, names: Sequence[str], parts: int | None =
     )
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Linear-interpolation quantiles as (feature, prob, value), without gathering a column."""
-    counts = long_features(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    rows = running_counts(counts, ["n"])
-    probes = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    first = F.col("cum_n") - F.col("n")
-    position = F.col("prob") * (F.col("total_n") - 1)
-    low, high = F.floor(position), F.ceil(position)
-
-    def holds(rank: Column) -> Column:
-        return (first <= rank) & (rank < F.col("cum_n"))
-
-    picked = (
-        rows.select("*", probes)
-        .filter(holds(low) | holds(high))
-        .groupBy("feature", "prob")
-        .agg(
-            F.max(F.when(holds(low), F.col("value"))).alias("a"),
-            F.max(F.when(holds(high), F.col("value"))).alias("b"),
-            F.max(position - low).alias("w"),
-        )
-    )
-    return picked.select(
-        "feature", "prob", (F.col("a") + F.col("w") * (F.col("b") - F.col("a"))).alias("value")
-    )
+#: A bracket with no more values than this is sorted in one aggregate.
+FEW = 10_000
+#: Marks a sketch puts into a bracket to narrow it.
+MARKS = 200
+
+
+class _Rank:
+    """The value of one rank of a column, known to lie strictly between ``lo`` and ``hi`` (None: open)
+    unless a count says otherwise."""
+
+    def __init__(self, rank: int, marks: Sequence[float], n: int):
+        self.rank, self.value, self.before = rank, None, None
+        self.narrow(marks, (rank + 0.5) / n)
+
+    def narrow(self, marks: Sequence[float], share: float) -> None:
+        at = share * MARKS
+        low, high = math.floor(at) - 1, math.ceil(at) + 1
+        if low >= 0 or self.before is None:
+            self.lo = marks[low] if low >= 0 else None
+        if high <= MARKS or self.before is None:
+            self.hi = marks[high] if high <= MARKS else None
+
+    def inside(self, v: Column) -> Column:
+        out = v.isNotNull()
+        if self.lo is not None:
+            out = out & (v > self.lo)
+        return out & (v < self.hi) if self.hi is not None else out
+
+    def asks(self, v: Column) -> list[Column]:
+        none, all_ = F.lit(0).cast("long"), F.count(v)
+        return [
+            none if self.lo is None else F.count_if(v < self.lo),
+            none if self.lo is None else F.count_if(v <= self.lo),
+            F.count_if(self.inside(v)),
+            all_ if self.hi is None else F.count_if(v <= self.hi),
+            F.percentile_approx(F.when(self.inside(v), v), [i / MARKS for i in range(MARKS + 1)], 10_000),
+        ]
+
+    def learn(self, under_lo: int, upto_lo: int, inside: int, upto_hi: int, marks) -> None:
+        """Take the value, or a better bracket, from the counts; few values left set ``before``."""
+        self.before = None
+        if self.rank < under_lo:
+            self.lo, self.hi = None, self.lo
+        elif self.rank < upto_lo:
+            self.value = self.lo
+        elif self.rank < upto_lo + inside:
+            self.before = upto_lo
+            if inside > FEW:
+                self.narrow(marks, (self.rank + 0.5 - upto_lo) / inside)
+                self.before = None
+        elif self.rank < upto_hi:
+            self.value = self.hi
+        else:
+            self.lo, self.hi = self.hi, None
+
+
+def exact_quantiles(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], kind: str = "linear"
+) -> DataFrame:
+    """Quantiles as (feature, prob, value): linear between neighbours, or with ``kind="inverse"`` the
+    least value that at least the share ``prob`` of the values does not exceed.
+
+    No sort of a column and no shuffle of rows. A sketch brackets each rank; one aggregate counts what
+    lies below, at and between the ends of the bracket, which gives the value, a bracket some fifty
+    times narrower, or (if the sketch missed the rank) the other side; what few values are left are
+    sorted in an aggregate. All columns and probabilities share the scans.
+    """
+    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    even = [i / MARKS for i in range(MARKS + 1)]
+    first = df.agg(*[F.count(value[c]) for c in cols], *[F.percentile_approx(value[c], even, 10_000) for c in cols]).first()
+    wanted, ranks = [], {}
+    for i, c in enumerate(cols):
+        n, marks = first[i], first[len(cols) + i]
+        for p in map(float, probs if n else []):
+            at = p * (n - 1) if kind == "linear" else max(0, math.ceil(round(p * n, 6)) - 1)
+            low, high = math.floor(at), min(math.ceil(at), n - 1)
+            wanted.append((c, p, low, high, at - low))
+            for r in (low, high):
+                ranks.setdefault((c, r), _Rank(r, marks, n))
+    while todo := {k: r for k, r in ranks.items() if r.value is None}:
+        got = df.agg(*[x for (c, _), r in todo.items() for x in r.asks(value[c])]).first()
+        for i, r in enumerate(todo.values()):
+            r.learn(*got[5 * i : 5 * i + 5])
+        few = {k: r for k, r in todo.items() if r.value is None and r.before is not None}
+        if few:
+            rest = [
+                F.get(F.array_sort(F.collect_list(F.when(r.inside(value[c]), value[c]))), F.lit(r.rank - r.before))
+                for (c, _), r in few.items()
+            ]
+            for r, x in zip(few.values(), df.agg(*rest).first()):
+                r.value = x
+    rows = [
+        (c, p, ranks[c, low].value + w * (ranks[c, high].value - ranks[c, low].value)) for c, p, low, high, w in wanted
+    ]
+    return df.sparkSession.createDataFrame(rows, "feature string, prob double, value double")
 
 
 def cdf_pair(cur: DataFrame, base: DataFrame, cols: Sequence[str]) -> DataFrame:

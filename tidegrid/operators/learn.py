@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidegrid.operators.distribution import exact_quantiles
 from tidegrid.operators.monitor import metric_columns
 from tidegrid.session import durable, scratch_path
 
@@ -275,7 +276,9 @@ def isolation_forest(
     contamination: float = 0.05, seed: int = 42,
 ) -> DataFrame:
     """Add ``anomaly_score`` (near 1: isolated early) and ``is_outlier`` (the share
-    ``contamination`` with the highest scores).
+    ``contamination`` with the highest scores, cut at an exact rank).
+
+    ``sample`` rows per tree are part of the model, as is their number; every row is scored.
 
     Trees grow in parallel, one group of at most ``sample`` rows each. The grown forest has at
     most ``trees * 2 * sample`` nodes whatever the table size; it is shipped to the scoring tasks.
@@ -326,5 +329,5 @@ def isolation_forest(
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]
     # Written once: the cut and the result both read the scores, and scoring is the costly part.
     scored = durable(df.withColumn("anomaly_score", score(*filled)))
-    cut = scored.agg(F.percentile_approx("anomaly_score", 1.0 - contamination, 10_000)).scalar()
-    return scored.withColumn("is_outlier", F.col("anomaly_score") > cut)
+    cut = exact_quantiles(scored, ["anomaly_score"], [1.0 - contamination], "inverse").first()
+    return scored.withColumn("is_outlier", F.col("anomaly_score") > (cut["value"] if cut else 1.0))

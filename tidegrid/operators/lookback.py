@@ -8,6 +8,7 @@ shuffle, one sort and one window pass.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -118,7 +119,11 @@ def split_train_test(
     the key-major feature table does. (key, ts) must be unique.
     """
     cols = [ts, *key] if order == "time" else [*key, ts]
-    ranked = global_rank(df, cols)
-    total = ranked.agg(F.count(F.lit(1)).alias("n")).scalar()
-    held_out = F.ceil(F.lit(test) * total)
-    return ranked.withColumn("is_test", F.col("_rank") > total - held_out).drop("_rank")
+    ranked = global_rank(df.select(*cols), cols)  # keys only; the table itself is never moved
+    total = ranked.count()
+    kept = total - math.ceil(test * total)
+    if not 0 < kept < total:
+        return df.withColumn("is_test", F.lit(kept <= 0))
+    last = ranked.filter(F.col("_rank") == kept).first()
+    cut = F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in cols])
+    return df.withColumn("is_test", F.struct(*cols) > cut)

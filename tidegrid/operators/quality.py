@@ -344,7 +344,7 @@ def null_outliers_iqr(
 ) -> DataFrame:
     """Make values outside ``[q1 - k*iqr, q3 + k*iqr]`` null; no row is dropped.
 
-    Quartiles are exact and computed by distributed ranks; ``exact=False`` takes sketch
+    Quartiles are exact (counted, not sorted); ``exact=False`` takes sketch
     quantiles in one pass instead.
     """
     cols = list(cols or numeric_columns(df))

@@ -11,20 +11,20 @@ from pyspark.sql import Window as W
 
 from tidegrid.operators.chunks import (
     CHUNK,
-    DAY,
     HOME,
     KIND,
     MICROS,
     RUNNING,
     add_carry,
-    add_chunk,
-    chunk_index,
     micros_of,
     number_rows,
+    range_chunks,
     row_blocks,
-    with_halo,
 )
 
+#: How many folded pieces are folded into one at a time.
+FAN_IN = 256
+
 
 def failed_access_streak(
     df: DataFrame,
@@ -33,7 +33,7 @@ def failed_access_streak(
     ok: str,
     tie: Sequence[str] = (),
     limit: int = 3,
-    chunk_s: int = DAY,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add ``failed_attempts`` (failures in a row up to this one, 0 on success) and ``alert``.
 
@@ -41,7 +41,7 @@ def failed_access_streak(
     failures of the chunks before it, back to the last one that saw a success.
     """
     good = F.coalesce(F.col(ok), F.lit(False))
-    rows = add_chunk(df, ts, chunk_s).withColumn("_failed", F.when(good, 0).otherwise(1).cast("long"))
+    rows = range_chunks(df, [user, ts, *tie], parts).withColumn("_failed", F.when(good, 0).otherwise(1).cast("long"))
     inside = W.partitionBy(user, CHUNK).orderBy(KIND, ts, *tie).rowsBetween(*RUNNING)
 
     def counted(d: DataFrame) -> DataFrame:
@@ -86,23 +86,29 @@ def elasticity(
     lr: float = 0.01,
     lo: float = -2.5,
     hi: float = -0.1,
-    chunk_s: int = DAY,
     block: int = 1024,
+    parts: int | None = None,
 ) -> DataFrame:
     """Current price elasticity per key after all its price changes, in time order.
 
     One update is ``eta -> clamp(eta * (1 - lr) + lr * observed, lo, hi)``. Functions of the form
     ``clamp(a * eta + b, l, h)`` with ``a >= 0`` are closed under composition, so runs of updates
-    fold to four numbers: first blocks of ``block`` rows, then the blocks of a chunk, then the
-    chunks of a key. No array holds more than one such level.
+    fold to four numbers: first blocks of ``block`` rows of a range chunk, then ``FAN_IN`` of what
+    came out at a time, over and over. No array grows with the key. Changes that are not known
+    count for nothing.
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ratio = (F.col(new_price) - F.col(old_price)) / F.col(old_price)
     usable = (F.col(old_price) != 0) & (F.col(new_price) != 0) & F.col(change).isNotNull()
     steps = (
-        add_chunk(df.filter(usable), ts, chunk_s)
-        .withColumn("_ratio", ratio)
-        .filter(F.col("_ratio") != 0)
-        .withColumn("_b", F.lit(lr) * F.col(change) / F.col("_ratio"))
+        range_chunks(
+            df.filter(usable)
+            .withColumn("_ratio", ratio)
+            .filter(F.col("_ratio") != 0)
+            .select(*key, ts, *tie, (F.lit(lr) * F.col(change) / F.col("_ratio")).alias("_b")),
+            [*key, ts, *tie],
+            parts,
+        )
         .withColumn("_rn", F.row_number().over(W.partitionBy(*key, CHUNK).orderBy(ts, *tie)))
         .withColumn("_block", ((F.col("_rn") - 1) / block).cast("long"))
     )
@@ -149,8 +155,17 @@ def elasticity(
         .agg(rows.alias("_rows"))
         .select(*key, CHUNK, "_block", F.aggregate("_rows", nothing, then_step).alias("_f"))
     )
-    chunks = fold(blocks, [*key, CHUNK], "_block")
-    return fold(chunks, key, CHUNK).select(
+    # Chunks hold about the same number of rows, so a level more for every FAN_IN blocks or chunks.
+    largest = blocks.agg(F.max("_block")).first()[0] or 0
+    level = blocks
+    while largest:
+        level = fold(level.withColumn("_up", F.floor(F.col("_block") / FAN_IN)), [*key, CHUNK, "_up"], "_block")
+        level, largest = level.withColumnRenamed("_up", "_block"), largest // FAN_IN
+    level, chunks = level.drop("_block"), parts
+    while chunks > 1:
+        level = fold(level.withColumn("_up", F.floor(F.col(CHUNK) / FAN_IN)), [*key, "_up"], CHUNK)
+        level, chunks = level.withColumnRenamed("_up", CHUNK), -(-chunks // FAN_IN)
+    return level.select(
         *key,
         clamp(F.col("_f.a") * seed + F.col("_f.b"), F.col("_f.l"), F.col("_f.h")).alias("elasticity"),
         F.col("_f.n").alias("updates"),
@@ -164,51 +179,50 @@ def flash_insight(
     seconds: int = 10,
     threshold: int = 5,
     tie: Sequence[str] = (),
-    chunk_s: int = 3600,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add ``pulse_count`` (events of the key in the trailing ``seconds``, both ends included),
     ``insight_level`` and, when CRITICAL, ``window_start`` (time of the oldest counted event).
 
-    A sweep: each event enters at its time and leaves ``seconds`` later, and running sums over
-    enter and leave marks give the count. Cost does not grow with the events inside a window. Rows
-    without a time stand in no window: count 0, NORMAL.
+    A sweep: each event enters at its time and leaves ``seconds`` later, running sums over enter and
+    leave marks give the count, and the next event to leave is the oldest one inside. Cost does not
+    grow with the events inside a window, and marks lie in range chunks. Rows without a time stand
+    in no window: count 0, NORMAL.
     """
     timeless = df.filter(F.col(ts).isNull()).withColumns(
         {"pulse_count": F.lit(0).cast("long"), "insight_level": F.lit("NORMAL"), "window_start": F.col(ts)}
     )
-    placed = with_halo(df.filter(F.col(ts).isNotNull()), ts, max(chunk_s, seconds), seconds)
-    own = W.partitionBy(*key, CHUNK)
-    placed = placed.withColumn("_next", F.lead(ts).over(own.orderBy(ts, *tie)))
     micros = micros_of(ts)
-    leave = micros + F.lit(seconds * MICROS)
-    marks = F.array(
-        F.struct(F.lit(0).alias("_leaves"), micros.alias("_at")),
-        F.struct(F.lit(1).alias("_leaves"), leave.alias("_at")),
+    events = df.filter(F.col(ts).isNotNull())
+    enters = events.withColumns({"_at": micros, "_leaves": F.lit(0), "_w": F.lit(1).cast("long")})
+    leaves = events.select(
+        *key, (micros + F.lit(seconds * MICROS)).alias("_at"), F.lit(1).alias("_leaves"),
+        F.lit(-1).cast("long").alias("_w"), F.col(ts).alias("_oldest"),
     )
-    entering = F.col("_leaves") == 0
-    here = chunk_index(F.col("_at"), max(chunk_s, seconds)) == F.col(CHUNK)
-    sweep = own.orderBy("_at", "_leaves").rangeBetween(*RUNNING)
-    oldest = F.coalesce(
-        F.max(F.when(~entering, F.col("_next"))).over(sweep),
-        F.min(F.when(entering, F.col(ts))).over(sweep),
+    marks = range_chunks(enters.unionByName(leaves, allowMissingColumns=True), [*key, "_at", "_leaves"], parts)
+    by_chunk = W.partitionBy(*key).orderBy(CHUNK)
+    chunks = marks.groupBy(*key, CHUNK).agg(F.sum("_w").alias("_w"), F.min("_oldest").alias("_oldest"))
+    carry = chunks.select(
+        *key, CHUNK,
+        F.coalesce(F.sum("_w").over(by_chunk.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_w"),
     )
+    # The first to leave in the chunks behind, seen first when the chunk is read backwards.
+    behind = W.partitionBy(*key).orderBy(F.col(CHUNK).desc()).rowsBetween(W.unboundedPreceding, -1)
+    later = chunks.select(*key, CHUNK, F.min("_oldest").over(behind).alias("_oldest"), F.lit(2).alias(KIND))
+    rows = add_carry(marks, carry).unionByName(later, allowMissingColumns=True)
+    own = W.partitionBy(*key, CHUNK)
+    forward = own.orderBy(KIND, "_at", "_leaves").rangeBetween(*RUNNING)
+    backward = own.orderBy(F.col(KIND).desc(), F.col("_at").desc(), F.col("_leaves").desc()).rowsBetween(*RUNNING)
+    critical = F.col("pulse_count") >= threshold
     return (
-        placed.select("*", F.inline(marks))
-        .filter(entering | here)
-        .withColumns(
-            {
-                "pulse_count": F.sum(F.when(entering, 1).otherwise(-1)).over(sweep),
-                "window_start": oldest,
-            }
-        )
-        .filter(entering & F.col(HOME))
-        .withColumn(
-            "insight_level", F.when(F.col("pulse_count") >= threshold, "CRITICAL").otherwise("NORMAL")
-        )
-        .withColumn(
-            "window_start", F.when(F.col("insight_level") == "CRITICAL", F.col("window_start"))
-        )
-        .drop("_next", "_leaves", "_at", CHUNK, HOME)
+        rows.withColumns({
+            "pulse_count": F.sum("_w").over(forward),
+            "window_start": F.last("_oldest", ignorenulls=True).over(backward),
+        })
+        .filter((F.col(KIND) == 1) & (F.col("_leaves") == 0))
+        .withColumn("insight_level", F.when(critical, "CRITICAL").otherwise("NORMAL"))
+        .withColumn("window_start", F.when(critical, F.col("window_start")))
+        .select(*df.columns, "pulse_count", "insight_level", "window_start")
         .unionByName(timeless)
     )
 
@@ -221,11 +235,11 @@ def rolling_outlier(
     n: int = 100,
     contamination: float = 0.05,
     tie: Sequence[str] = (),
-    chunk_s: int = DAY,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add ``is_outlier``: outside the middle ``1 - contamination`` of the key's last ``n`` values
     (this one included); false until ``n`` values are there."""
-    numbered = number_rows(df, key, [ts, *tie], ts, chunk_s)
+    numbered = number_rows(df, key, [ts, *tie], parts)
     frame = W.partitionBy(*key, "_block").orderBy("_rn").rowsBetween(-(n - 1), 0)
     current = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
     full = F.col("_rn") >= n
@@ -271,11 +285,11 @@ def recent_error_confidence(
     hist_std: float = 5.0,
     level: float = 0.7,
     tie: Sequence[str] = (),
-    chunk_s: int = DAY,
+    parts: int | None = None,
 ) -> DataFrame:
     """Confidence in a prediction from the spread of the key's ``n`` errors before it. Fewer than
     five give 0.5 and MEDIUM. The score passes 1 when the spread is small."""
-    numbered = number_rows(df, key, [ts, *tie], ts, chunk_s)
+    numbered = number_rows(df, key, [ts, *tie], parts)
     frame = W.partitionBy(*key, "_block").orderBy("_rn").rowsBetween(-n, -1)
     enough = F.col("_n") >= 5
     score = F.greatest(
