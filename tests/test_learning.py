@@ -31,7 +31,7 @@ def test_importance(fitted):
     df, model = fitted
     out = {r.feature: r for r in T.feature_importance(model, COLS, df).collect()}
     assert out["a"].split_count > 0 and out["a"].gain_share > out["c"].gain_share
-    rise = {r.feature: r.rmse_rise for r in T.permutation_importance(df, model, COLS, "y", ["id"], bucket_rows=150).collect()}
+    rise = {r.feature: r.rmse_rise for r in T.permutation_importance(df, model, COLS, "y", ["id"], parts=4).collect()}
     assert rise["a"] > rise["b"] > rise["c"]
 
 
@@ -43,6 +43,18 @@ def test_contributions_add_up(fitted):
     for r in out:
         total = sum(r[f"{c}_contribution"] for c in COLS)
         assert total == pytest.approx(r.predicted - r.base_value)
+    mean = T.score_batch(df, model).agg(F.avg("predicted")).first()[0]
+    assert out[0].base_value == pytest.approx(mean)
+
+
+def test_save_and_load(fitted, tmp_path):
+    df, model = fitted
+    T.save_forecaster(model, f"{tmp_path}/m")
+    T.save_forecaster(model, f"{tmp_path}/m")
+    before, after = (
+        {r.id: r.predicted for r in T.score_batch(df, m).collect()} for m in (model, T.load_forecaster(f"{tmp_path}/m"))
+    )
+    assert before == after and len(before) == 600
 
 
 def test_search_is_repeatable(fitted):

@@ -6,6 +6,8 @@ from oracle_check import DATA, compare, duck
 import __spark_entry__ as entry
 
 SF = f"{DATA}/sf0.001"
+# These train the forecaster with all its rounds; tests/oracle_check.py runs them.
+LONG = {"i1_beats_the_mean", "i2_scored_after_loading", "i3_importance_sums", "i5_contributions_add_up"}
 FNS, SQLS = entry.queries(), entry.oracle_sql()
 
 
@@ -14,7 +16,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(SQLS))
+@pytest.mark.parametrize("name", sorted(set(SQLS) - LONG))
 def test_equals_sql(spark, con, name):
     assert compare(FNS[name](spark, SF), con, SQLS[name]) == ""
 

@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidegrid.operators.chunks import CHUNK, range_chunks
 from tidegrid.operators.distribution import exact_quantiles
 from tidegrid.operators.monitor import metric_columns
-from tidegrid.session import durable, scratch_path
+from tidegrid.session import durable, scratch_path, with_checkpoints
 
 # Training parameters of the forecaster.
 FORECASTER = {
@@ -43,11 +44,21 @@ def train_forecaster(
     df: DataFrame, cols: Sequence[str], label: str, params: Mapping[str, Any] | None = None
 ) -> PipelineModel:
     """Squared-error boosted trees over numeric columns. ``params`` overrides the defaults."""
+    with_checkpoints(df.sparkSession)  # else the plan grows with every round
     assemble = VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid="keep")
     learner = _learner(label, {**FORECASTER, **(params or {})})
     return Pipeline(stages=[assemble, learner]).fit(df.select(*cols, label))
 
 
+def save_forecaster(model: PipelineModel, path: str) -> None:
+    """Write the whole pipeline, replacing what ``path`` held."""
+    model.write().overwrite().save(path)
+
+
+def load_forecaster(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def score_batch(df: DataFrame, model: PipelineModel) -> DataFrame:
     """Add ``predicted``; works on streams as well."""
     return model.transform(df).drop("_features")
@@ -83,25 +94,30 @@ def feature_importance(model: PipelineModel, cols: Sequence[str], df: DataFrame)
 
 def permutation_importance(
     df: DataFrame, model: PipelineModel, cols: Sequence[str], label: str, key: Sequence[str],
-    bucket_rows: int = 10_000, seed: int = 42,
+    parts: int | None = None, seed: int = 42,
 ) -> DataFrame:
     """RMSE rise per feature when its values are swapped between rows.
 
-    Rows fall into hash buckets of about ``bucket_rows``, in hash order; each takes the value of
-    the row after it, the last one of the first. The number of buckets grows with the table. All
-    features are handled in one pass over rows times features.
+    Rows stand in a circle by the hash of their key, and each takes the value of the row after it.
+    They lie in range chunks; the last row of a chunk takes the first of the next, so the result
+    does not depend on how many there are. All features are handled in one pass over rows times
+    features.
     """
-    h = F.xxhash64(*key, F.lit(seed))
-    n = df.agg(F.count(F.lit(1))).scalar()
-    buckets = F.greatest(F.lit(1), F.ceil(n / F.lit(bucket_rows)).cast("long"))
-    order = W.partitionBy("_bucket").orderBy("_h", *key)
-    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     donor = F.struct(*cols)
-    paired = (
-        df.select(*key, *cols, label)
-        .withColumns({"_h": h, "_bucket": F.pmod(h, buckets)})
-        .withColumn("_d", F.coalesce(F.lead(donor).over(order), F.first(donor).over(whole)))
+    rows = range_chunks(
+        df.select(*key, *cols, label).withColumn("_h", F.xxhash64(*key, F.lit(seed))), ["_h", *key], parts
+    )
+    heads = rows.groupBy(CHUNK).agg(F.min_by(donor, F.struct("_h", *key)).alias("_head"))
+    circle = W.orderBy(CHUNK)  # one row per chunk
+    following = heads.select(
+        CHUNK,
+        F.coalesce(
+            F.lead("_head").over(circle),
+            F.first("_head").over(circle.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
+        ).alias("_following"),
     )
+    order = W.partitionBy(CHUNK).orderBy("_h", *key)
+    paired = rows.join(following, CHUNK).withColumn("_d", F.coalesce(F.lead(donor).over(order), F.col("_following")))
     swapped = F.explode(F.array(*[F.lit(c) for c in ("", *cols)])).alias("feature")
     probe = paired.select(label, *cols, "_d", swapped).select(
         label,
@@ -165,9 +181,9 @@ def attribution(
     """Additive contributions per feature by sampled Shapley values.
 
     Pair k walks from a background row to the explained row, one feature at a time in a random
-    order; a feature's contribution is the mean change when it is switched. Over all pairs the
-    contributions sum to ``predicted - base_value``, the base being the mean over the background
-    rows used. A step adds its prediction to the feature just switched and takes it from the one
+    order; a feature's contribution is the mean change when it is switched. What the mean of the
+    background rows used differs from the mean of the whole background is shared among the features, so
+    contributions sum to ``predicted - base_value`` with the base of all background rows. A step adds its prediction to the feature just switched and takes it from the one
     switched next, so one aggregate per row finishes it and no step looks for its neighbour.
     ``backgrounds`` rows (the smallest hashes) and ``permutations`` bound the extra work.
     """
@@ -202,10 +218,15 @@ def attribution(
         gain = F.when(F.col("_in") == j, y).otherwise(0.0) - F.when(F.col("_out") == j, y).otherwise(0.0)
         return F.sum(gain) / permutations
 
-    return score_batch(steps, model).groupBy(*key).agg(
+    whole = score_batch(background, model).agg(F.avg("predicted")).scalar()
+    parts = score_batch(steps, model).groupBy(*key).agg(
         F.avg(F.when(F.col("_s") == n, y)).alias("predicted"),
-        F.avg(F.when(F.col("_s") == 0, y)).alias("base_value"),
+        F.avg(F.when(F.col("_s") == 0, y)).alias("_used"),
         *[share(j).alias(f"{c}_contribution") for j, c in enumerate(cols)],
+    ).withColumn("base_value", whole)
+    off = (F.col("_used") - F.col("base_value")) / n
+    return parts.select(
+        *key, "predicted", "base_value", *[(F.col(f"{c}_contribution") + off).alias(f"{c}_contribution") for c in cols]
     )
 
 

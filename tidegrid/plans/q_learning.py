@@ -1,86 +1,156 @@
-"""Queries of the learned operators. Their results depend on the learner, so none has SQL; the
-tests check what must hold for any learner."""
+"""Queries of the learned operators.
 
-from __future__ import annotations
+Values depend on the learner, so the SQL twins hold what must be true for any learner. One forecaster with the
+full number of rounds is trained per session and data set, saved, and loaded by every query that needs one.
+"""
 
+from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tidegrid.operators import demand as D
 from tidegrid.operators import learn as T
-from tidegrid.operators.lookback import TARGET
+from tidegrid.operators.lookback import TARGET, split_train_test
 from tidegrid.plans.monitoring_run import performance_run, retraining_check
-from tidegrid.plans.registry import query
+from tidegrid.plans.registry import ORACLES, query
+from tidegrid.plans import q_features  # noqa: F401  (the feature view's SQL)
 from tidegrid.plans.training import train_and_evaluate
 from tidegrid.session import scratch_path
 from tidegrid.sources import tables as S
 
 WS = "feature_window_start"
 KEY = [*D.CELL, WS]
+OUTLIERS = ["demand_last_15min", "demand_last_60min", TARGET]
+SPACE = {
+    "maxDepth": {"type": "int", "low": 2, "high": 5},
+    "maxIter": {"type": "int", "low": 5, "high": 20, "step": 5},
+    "stepSize": {"type": "float", "low": 0.05, "high": 0.3, "log": True},
+    "subsamplingRate": {"type": "categorical", "choices": [0.7, 1.0]},
+}
+TRIALS = 10
+
+FEATURES_SQL = f"f AS (SELECT * FROM ({ORACLES['batch_features']}) WHERE {TARGET} IS NOT NULL)"
+KEY_SQL = ", ".join(KEY)
 
-# Fewer rounds than the default of 500 keep these checks short; the data is the whole table.
-ROUNDS = {"maxIter": 10}
+_SAVED: dict[tuple[str, str], tuple[str, list]] = {}
 
 
 def _features(spark, sf):
     return D.drop_unlabelled(S.features(spark, sf), TARGET)
 
 
-def _model(df):
-    return T.train_forecaster(df, S.FEATURES, TARGET, ROUNDS)
+def _trained(spark, sf):
+    """The forecaster of the earlier four fifths, from where it was saved, and its test metrics."""
+    known = (spark.sparkContext.applicationId, sf)
+    if known not in _SAVED:
+        model, metrics = train_and_evaluate(_features(spark, sf), S.FEATURES, TARGET, D.CELL, WS)
+        path = scratch_path(spark, "forecaster")
+        T.save_forecaster(model, path)
+        _SAVED[known] = path, metrics.collect()
+    path, metrics = _SAVED[known]
+    return T.load_forecaster(path), spark.createDataFrame(metrics)
 
 
 @query("i1_train_forecaster")
 def _(spark, sf):
-    return train_and_evaluate(_features(spark, sf), S.FEATURES, TARGET, D.CELL, WS, ROUNDS)[1]
+    return _trained(spark, sf)[1]
+
+
+@query("i1_beats_the_mean", f"""WITH {FEATURES_SQL} SELECT count(*) AS n, true AS better, true AS all_scored FROM f""")
+def _(spark, sf):
+    """Over all rows, the error is smaller than that of always saying the mean."""
+    scored = T.score_batch(_features(spark, sf), _trained(spark, sf)[0])
+    error = F.sum(F.pow(F.col(TARGET) - F.col("predicted"), 2))
+    spread = F.var_pop(TARGET) * F.count(TARGET)
+    return scored.agg(
+        F.count("*").alias("n"), (error < spread).alias("better"), (F.count("predicted") == F.count("*")).alias("all_scored")
+    )
 
 
 @query("monitoring_run")
 def _(spark, sf):
-    f = _features(spark, sf)
-    early, late = f.filter(F.dayofmonth(WS) <= 20), f.filter(F.dayofmonth(WS) > 20)
+    """The forecaster of the earlier days watched over all later rows."""
+    split = split_train_test(_features(spark, sf), D.CELL, WS)
+    early, late = split.filter("NOT is_test").drop("is_test"), split.filter("is_test").drop("is_test")
     history = scratch_path(spark, "history")
-    report = performance_run(late, _model(early), TARGET, D.CELL, WS, "2024-01-21", "2024-01-31", history)
+    report = performance_run(late, _trained(spark, sf)[0], TARGET, D.CELL, WS, "2024-01-01", "2024-02-01", history)
     return retraining_check(late, early, S.FEATURES, report, 60.0)
 
 
 @query("i2_score_batch")
 def _(spark, sf):
-    f = _features(spark, sf)
-    return T.score_batch(f, _model(f)).select(*KEY, TARGET, "predicted")
+    return T.score_batch(_features(spark, sf), _trained(spark, sf)[0]).select(*KEY, TARGET, "predicted")
+
+
+@query("i2_scored_after_loading", f"""WITH {FEATURES_SQL} SELECT {KEY_SQL}, true AS same FROM f""")
+def _(spark, sf):
+    """Saved again and loaded again, the model says the same about every row."""
+    model = _trained(spark, sf)[0]
+    path = scratch_path(spark, "copy")
+    T.save_forecaster(model, path)
+    once = T.score_batch(_features(spark, sf), model).withColumnRenamed("predicted", "before")
+    both = T.score_batch(once, T.load_forecaster(path))
+    return both.select(*KEY, (F.col("before") == F.col("predicted")).alias("same"))
 
 
 @query("i3_feature_importance")
 def _(spark, sf):
-    f = _features(spark, sf)
-    return T.feature_importance(_model(f), S.FEATURES, f)
+    return T.feature_importance(_trained(spark, sf)[0], S.FEATURES, _features(spark, sf))
+
+
+@query("i3_importance_sums", f"SELECT {len(S.FEATURES)}::bigint AS features, true AS gains_sum_to_one, true AS has_splits")
+def _(spark, sf):
+    out = T.feature_importance(_trained(spark, sf)[0], S.FEATURES, _features(spark, sf))
+    return out.agg(
+        F.count("*").alias("features"), (F.abs(F.sum("gain_share") - 1) < 1e-6).alias("gains_sum_to_one"),
+        (F.sum("split_count") > 0).alias("has_splits"),
+    )
 
 
 @query("i3_permutation_importance")
 def _(spark, sf):
-    f = _features(spark, sf)
-    return T.permutation_importance(f, _model(f), S.FEATURES, TARGET, KEY)
+    return T.permutation_importance(_features(spark, sf), _trained(spark, sf)[0], S.FEATURES, TARGET, KEY)
+
+
+def _search(spark, sf):
+    return T.random_search(_features(spark, sf), S.FEATURES, TARGET, SPACE, trials=TRIALS)
 
 
 @query("i4_random_search")
 def _(spark, sf):
-    space = {
-        "maxDepth": {"type": "int", "low": 2, "high": 5},
-        "stepSize": {"type": "float", "low": 0.05, "high": 0.3, "log": True},
-        "subsamplingRate": {"type": "categorical", "choices": [0.7, 1.0]},
-    }
-    return T.random_search(_features(spark, sf), S.FEATURES, TARGET, space, trials=3, params={"maxIter": 5})
+    return _search(spark, sf)
 
 
 @query("i5_attribution")
 def _(spark, sf):
     f = _features(spark, sf)
-    return T.attribution(f, _model(f), S.FEATURES, KEY, f, permutations=4, backgrounds=4)
+    return T.attribution(f, _trained(spark, sf)[0], S.FEATURES, KEY, f, permutations=4, backgrounds=4)
+
+
+@query("i5_contributions_add_up", f"""WITH {FEATURES_SQL} SELECT {KEY_SQL}, true AS adds_up FROM f""")
+def _(spark, sf):
+    f = _features(spark, sf)
+    out = T.attribution(f, _trained(spark, sf)[0], S.FEATURES, KEY, f, permutations=4, backgrounds=4)
+    total = sum((F.col(f"{c}_contribution") for c in S.FEATURES), F.lit(0.0))
+    return out.select(*KEY, (F.abs(total - (F.col("predicted") - F.col("base_value"))) < 1e-6).alias("adds_up"))
 
 
 @query("i6_isolation_forest")
 def _(spark, sf):
-    out = T.isolation_forest(_features(spark, sf), ["demand_last_15min", "demand_last_60min", TARGET], KEY)
-    return out.select(*KEY, "anomaly_score", "is_outlier")
+    return T.isolation_forest(_features(spark, sf), OUTLIERS, KEY).select(*KEY, "anomaly_score", "is_outlier")
 
 
+@query("i6_flagged_share", f"""WITH {FEATURES_SQL} SELECT count(*) AS n, true AS share_is_right, true AS scores_in_range FROM f""")
+def _(spark, sf):
+    """At most the twentieth with the highest scores, and all but ties at the cut of them."""
+    out = T.isolation_forest(_features(spark, sf), OUTLIERS, KEY)
+    cut = F.max(F.when(~F.col("is_outlier"), F.col("anomaly_score")))
+    flagged = F.count_if("is_outlier")
+    return out.groupBy().agg(
+        F.count("*").alias("n"), flagged.alias("flagged"), cut.alias("cut"),
+        F.min(F.when(F.col("is_outlier"), F.col("anomaly_score"))).alias("least"),
+        F.count_if((F.col("anomaly_score") > 0) & (F.col("anomaly_score") <= 1)).alias("fine"),
+    ).select(
+        "n", ((F.col("flagged") <= F.ceil(F.col("n") * 0.05)) & (F.coalesce("least", F.lit(2.0)) > F.col("cut"))).alias("share_is_right"),
+        (F.col("fine") == F.col("n")).alias("scores_in_range"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,6 +39,8 @@ def get_spark(app: str = "tidegrid", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+#: One process; ``local-cluster`` has executors of its own.
+LOCAL_MASTER = re.compile(r"local($|\[)")
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
@@ -50,7 +53,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not LOCAL_MASTER.match(spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
@@ -63,13 +66,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def with_checkpoints(spark: SparkSession) -> None:
+    """Make sure that checkpoints have a folder; iterative learners use it on their own."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage and cut its lineage there.
 
     Needed where a plan is non-deterministic when run again (sampled range bounds) or grows with
     every loop turn. Survives the loss of executors, unlike cached blocks.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+    with_checkpoints(df.sparkSession)
     return df.checkpoint()
