@@ -20,7 +20,7 @@ from tidegrid.llm.words import ids, mix64
 
 BLOCK_BYTES = 2 << 20
 #: Text a task gathers before it deals it out; larger pieces compress better and cost memory.
-FLUSH_BYTES, PACK_BYTES = 8 << 20, 32 << 20
+FLUSH_BYTES, PACK_BYTES = 8 << 20, 16 << 20
 
 
 def text_size(docs: DataFrame, text: str = "text") -> int:
