@@ -102,7 +102,10 @@ class _Streaks(InOrder):
             fails = 0 if ok else fails + 1
             if fails >= self.limit:
                 out.append((at, tie, fails))
-        self.value.update((fails,))
+        if fails:
+            self.value.update((fails,))
+        else:
+            self.value.clear()  # no open streak, nothing to remember of this key
         return pd.DataFrame(out, columns=["at", "tie", "failed_attempts"])
 
 
