@@ -1,5 +1,7 @@
 """Routing and operating decisions over joined tables."""
 
+# The upper-case names of decisions, recommendations, levels and stages in this module.
+
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence

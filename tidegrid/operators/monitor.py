@@ -42,6 +42,7 @@ def model_metrics(
     r2_min: float = R2_MIN,
 ) -> DataFrame:
     """Accuracy per group with ``status`` (ok, alert, no_data) and alert messages."""
+    # Alert texts and status names.
     high = F.format_string(
         f"RMSE (%.2f) exceeded threshold ({rmse_max}).", F.col("rmse")
     )
@@ -244,6 +245,7 @@ def retrain_decision(
     """Retrain where the drift score or the relative RMSE rise passes its limit. A group known to
     only one of the tables is judged by that one."""
     drop = (F.col(rmse) - F.col(baseline)) / F.col(baseline)
+    # Reason texts.
     reasons = F.array_compact(
         F.array(
             F.when(F.col(drift_score) > drift_limit, "Significant data drift detected."),

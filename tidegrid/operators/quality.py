@@ -173,6 +173,7 @@ def _column_value(df: DataFrame, name: str) -> _Value:
 def _violations(name: str, rule: Mapping[str, Any], v: _Value, bool_is_int: bool) -> list[str]:
     """SQL of the checks of one field, in order."""
 
+    # Rule names and message texts below.
     def error(when: str, kind: str, *message: str) -> str:
         text = ", ".join(message)
         return f"""CASE WHEN {when} THEN named_struct(
@@ -470,6 +471,7 @@ def breaking_changes(diff: DataFrame) -> DataFrame:
         & (F.col("new_value") != "removed")
         & (F.col("old_required") | F.col("new_required"))
     )
+    # Message texts.
     message = F.when(
         removed, F.concat(F.lit("Removed required feature: '"), F.col("feature"), F.lit("'"))
     ).when(

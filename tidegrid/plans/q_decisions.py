@@ -14,6 +14,8 @@ from tidegrid.plans import views as V
 from tidegrid.plans.q_monitoring import ELASTICITY_CTE, METRICS
 from tidegrid.plans.q_quality import rounded
 from tidegrid.plans.registry import query
+from tidegrid.plans.training import promote_stages
+from tidegrid.session import scratch_path
 from tidegrid.sources import tables as S
 
 WS = "feature_window_start"
@@ -108,7 +110,7 @@ def _(spark, sf):
     return rounded(out, ["predicted_demand", "demand_supply_gap_score"])
 
 
-@query("f7_champion_vs_candidate", f"""WITH {V.PREDICTIONS}, long AS (SELECT hour_of_day AS segment, v AS version, actual,
+_F7 = f"""WITH {V.PREDICTIONS}, long AS (SELECT hour_of_day AS segment, v AS version, actual,
     predicted * (0.7::double + 0.1::double * v) AS predicted FROM predictions, range(1, 5) t(v)),
   m AS (SELECT segment, version, CASE WHEN version = 3 THEN 'Production' ELSE 'None' END AS stage, {METRICS} FROM long GROUP BY ALL),
   c AS (SELECT *, min(rmse) FILTER (stage = 'Production') OVER (PARTITION BY segment) AS production_rmse FROM m),
@@ -118,16 +120,32 @@ def _(spark, sf):
   b AS (SELECT *, first_value(CASE WHEN promote THEN version END) OVER (PARTITION BY segment ORDER BY promote DESC, rmse, version) AS best FROM w)
   SELECT segment, version::int AS version, stage, round(rmse, 6) AS rmse, round(production_rmse, 6) AS production_rmse, decision, promote,
     CASE WHEN stage = 'Production' AND best IS NOT NULL THEN 'Archived' WHEN promote AND version = best THEN 'Production'
-      WHEN promote THEN 'Staging' ELSE stage END AS new_stage FROM b""")
-def _(spark, sf):
+      WHEN promote THEN 'Staging' ELSE stage END AS new_stage FROM b"""
+
+
+def _scored_versions(spark, sf):
     versions = F.explode(F.array(*[F.lit(v) for v in range(1, 5)])).alias("version")
     long = S.predictions(spark, sf).select(
         F.col("hour_of_day").alias("segment"), versions, "actual", "predicted",
     ).withColumn("predicted", F.col("predicted") * (F.lit(0.7) + F.lit(0.1) * F.col("version")))
-    scored = (long.groupBy("segment", "version").agg(*M.metric_columns("actual", "predicted"))
-              .withColumn("stage", F.when(F.col("version") == 3, "Production").otherwise("None"))
-              .select("segment", "version", "stage", "rmse"))
-    return rounded(R.champion_vs_candidate(scored), ["rmse", "production_rmse"])
+    return (long.groupBy("segment", "version").agg(*M.metric_columns("actual", "predicted"))
+            .withColumn("stage", F.when(F.col("version") == 3, "Production").otherwise("None"))
+            .select("segment", "version", "stage", "rmse"))
+
+
+@query("f7_champion_vs_candidate", _F7)
+def _(spark, sf):
+    return rounded(R.champion_vs_candidate(_scored_versions(spark, sf)), ["rmse", "production_rmse"])
+
+
+@query("f7_promoted_stages", f"""SELECT segment, version, rmse, CASE WHEN segment < 6 THEN stage ELSE new_stage END AS stage FROM ({_F7})""")
+def _(spark, sf):
+    """The registry table after a promotion that had metrics of the later segments only."""
+    path = scratch_path(spark, "registry")
+    scored = _scored_versions(spark, sf)
+    scored.write.partitionBy("segment").parquet(path)
+    promote_stages(scored.filter("segment >= 6"), path)
+    return rounded(spark.read.schema(scored.schema).parquet(path).select("segment", "version", "rmse", "stage"), ["rmse"])
 
 
 _EDGES = """edges AS (SELECT DISTINCT 'nation/' || s_nationkey AS src, 'supplier/' || s_suppkey AS dst, 'creation' AS kind FROM supplier

@@ -34,6 +34,8 @@ def get_spark(app: str = "tidegrid", master: str | None = None, **conf: str) ->
         builder = builder.master(master)
     for name, value in RUNTIME_CONF.items():
         builder = builder.config(name, value)
+    # Files of checkpoints nobody refers to any more go away; only a new session can be told so.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for name, value in conf.items():
         builder = builder.config(name.replace("_", "."), value)
     return builder.getOrCreate()
