@@ -189,7 +189,33 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(rows, rows.filter(F.col("vec_id") % 20 == 0))
 
 
-@query("op7_near_dedup")
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS a FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(a) >= 5 THEN [array_to_string(a[i:i + 4], ' ') FOR i IN range(1, len(a) - 3)]
+    WHEN len(a) > 0 THEN [array_to_string(a, ' ')] ELSE [] END) AS g FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), l AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+), k AS (
+  SELECT a, b FROM l JOIN n u ON u.doc_id = a JOIN n v ON v.doc_id = b WHERE 100 * m >= 75 * (u.n + v.n - m)
+), e AS (
+  SELECT a, b FROM k UNION ALL SELECT b, a FROM k
+), r AS (
+  SELECT doc_id AS id, doc_id AS root FROM d UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id
+), c AS (
+  SELECT id, min(root) AS component_id FROM r GROUP BY id
+)
+SELECT d.doc_id::BIGINT AS doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id::BIGINT AS component_id,
+  d.doc_id = c.component_id AS kept
+FROM d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
+@query("op7_near_dedup", NEAR_SQL)
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
     return near_dedup.near_groups(docs)
