@@ -93,7 +93,7 @@ def sigmoid(x):
 
 def thin(doc_id: Column, wanted: int, n: Column) -> Column:
     """Whether the hash of an id is among the least, a share that leaves about ``wanted`` of ``n`` rows."""
-    return F.xxhash64(doc_id).cast("double") <= F.lit(-(2.0**63)) + 2.0**64 * F.lit(float(wanted)) / n
+    return F.xxhash64(doc_id).cast("double") <= F.lit(-(2.0**63)) + 2.0**64 * F.lit(float(wanted)) / F.greatest(n, F.lit(1))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
