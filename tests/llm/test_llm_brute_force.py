@@ -69,6 +69,25 @@ def test_near_groups(spark, monkeypatch, block):
     assert got == {i: (len(sets[i]), c, c == i) for i, c in groups(sets).items()}
 
 
+def test_near_pairs_around_the_sketch_size(spark):
+    """One set is whole in its sketch, its partner is not: lone pairs, which only their own values bring together."""
+    texts = []
+    for n, m in itertools.product(range(44, 49), range(49, 65)):
+        for lost in (0, 1):  # words of the smaller set's end that the larger one lacks
+            if 100 * (n - lost) >= 75 * (m + lost):
+                for _ in range(6):
+                    i = len(texts)
+                    both = [f"p{i}w{j}" for j in range(n + 4 - lost)]
+                    texts.append(" ".join(both + [f"p{i}a{j}" for j in range(lost)]))
+                    texts.append(" ".join(both + [f"p{i}b{j}" for j in range(m - n + lost)]))
+    assert len(texts) > 800
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(docs).collect()}
+    assert got == {i: i - i % 2 for i in sets}
+    assert all(100 * len(sets[i] & sets[i + 1]) >= 75 * len(sets[i] | sets[i + 1]) for i in range(0, len(texts), 2))
+
+
 def test_near_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     sets = {r.doc_id: shingles(r.text) for r in docs}

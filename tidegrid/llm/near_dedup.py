@@ -5,9 +5,10 @@ sets is at least ``percent`` / 100; every link is confirmed on the full sets, an
 
 1. One pass gives each document its set's size, a 128-bit hash of the set, and the bottom-k sketch (the k
    least values of the one hash function). Equal sets become one class before anything else.
-2. Retained values form inverted lists. Two sets that link share at least ``need`` retained values (surely if
-   the sketch is the whole set, else but for five standard deviations), so they share one of the
-   k - need + 1 rarest of each: only these stay in the lists, and what is common everywhere drops out.
+2. Retained values form inverted lists. A set shares at least ``need`` retained values with whatever it links to
+   (surely if all its possible partners are whole in their sketches, else but for five standard deviations), so both
+   have one of the retained - need + 1 rarest in common: only these stay in the lists, and what is common
+   everywhere drops out.
 3. Lists that run side by side get one leader (twice over: the leader most of a list's members have for their longest
    list), and a class goes with its text to the leaders of its lists, once to each. Whoever shares a list shares its
    leader, so every candidate pair meets, and near copies that share a hundred lists meet once.
@@ -92,18 +93,36 @@ def sketches(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
     return docs.select(doc_id, text).mapInArrow(sketch, "id long, n long, h1 long, h2 long, sketch array<long>")
 
 
+def least_shared(n: int, k: int, percent: int) -> int:
+    """Retained values that a set of ``n`` shares at least with any set it links to.
+
+    A partner of at most k values is whole in its sketch and shares all of the overlap, at least percent of the larger
+    set. A larger partner of m values retains k of them, which the hash draws: of the overlap at least what is
+    more than the m - k that went, and the mean of the draw less five standard deviations.
+    """
+    share = percent / 100
+    if n > k:
+        return math.floor(k * share - 5 * math.sqrt(k * share * (1 - share)))
+    least = -(-n * percent // 100)
+    for m in range(k + 1, n * 100 // percent + 1):
+        both = -(-percent * (n + m) // (100 + percent))
+        spread = math.sqrt(k * both / m * (1 - both / m) * (m - k) / (m - 1))
+        least = min(least, max(both - (m - k), math.floor(k * both / m - 5 * spread)))
+    return least
+
+
 def rare_values(classes: DataFrame, k: int, percent: int) -> DataFrame:
     """``id, n, keys``: the retained values a class stands in the lists for, longest list first.
 
     A value that one class alone retains takes its place among the rarest but needs no list.
     """
-    share = percent / 100
-    need = math.floor(k * share - 5 * math.sqrt(k * share * (1 - share)))
-    places = F.when(F.col("n") <= k, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).otherwise(k - need + 1)
+    kept = F.least(F.col("n"), F.lit(k)).cast("int")
+    need = F.array(*[F.lit(least_shared(n, k, percent)) for n in range(1, k + 2)])
+    places = kept - F.get(need, F.least(F.col("n"), F.lit(k + 1)).cast("int") - 1) + 1
     rows = classes.select("id", "n", F.explode("sketch").alias("v"))
     lists = rows.groupBy("v").agg(F.count("*").alias("length")).filter("length > 1")
     shared = rows.join(lists, "v").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("length", "v"))).alias("l"))
-    left = places - (F.least(F.col("n"), F.lit(k)) - F.size("l"))
+    left = places - (kept - F.size("l"))
     keys = F.reverse(F.slice("l", 1, F.greatest(left, F.lit(0)).cast("int")))
     return shared.select("id", "n", F.transform(keys, lambda x: x["v"]).alias("keys")).filter(F.size("keys") > 0)
 
