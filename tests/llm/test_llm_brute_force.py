@@ -286,6 +286,19 @@ def test_other_layouts(name):
     assert html_extract.main_text(f"<html><head><title>t</title><style>p{{}}</style></head><body>{page}<footer>End.</footer></body>") == want
 
 
+def test_ratios_decide_outside_and_inside_of_articles():
+    s = SENTENCES.strip()
+    teaser = "<article class='{c}'><a href=/x>Another story of the day</a></article>"
+    for c in ("teaser", "card"):
+        body = f"<div class=body><h1>Title</h1><p>{s}</p><p>{s} {s}</p><p>{s}</p></div>"
+        for page in (teaser.format(c=c) + body, body + teaser.format(c=c)):
+            assert html_extract.main_text(f"<html><body>{page}</body></html>") == f"Title\n\n{s}\n\n{s} {s}\n\n{s}"
+    low = "".join(f"<div class=box>{x}</div>" for x in ("Print", "Mail", "Save", "Top", "More"))
+    page = f"<main><p>{s} {s}</p><p>{s}</p><p>{s} {s}</p>{low}</main><div class=line>Call us</div>"
+    got = html_extract.main_text(page).split("\n\n")
+    assert got[:3] == [f"{s} {s}", s, f"{s} {s}"] and not {"Save", "Top", "More", "Call us"} & set(got)
+
+
 def test_broken_markup_ends():
     for page in ("<", "a < b", "<p", "<!--", "<a href='", "</", "<p><b>x</i></p></div>", "<![CDATA[x]]>", "<" * 2000, "<p a='" * 2000, "<div>" * 3000 + "x"):
         html_extract.main_text(page)

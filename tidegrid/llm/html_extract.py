@@ -7,10 +7,11 @@ of a ``div`` or ``section``, so that what a template repeats shares a path. Then
    whose class, id or role says advert, menu, sidebar, notice, share, related or comment;
 2. for every remaining path the text ratio (characters of text per text block) and the punctuation ratio (sentence
    marks per text block) are summed over all its blocks, link text counting against it;
-3. both, scaled by the page's largest, are fused and smoothed along the page with a small Gaussian, so a short paragraph
-   or a heading between long ones keeps its place;
-4. blocks whose value reaches the threshold, a share of the page's standard deviation, are content. Inside ``article``
-   or ``main`` elements the page itself says what is content, and all that step 1 leaves there is kept.
+3. both, scaled by the page's largest, are fused. What stands outside of ``article`` and ``main`` elements weighs less, the
+   less the more of the page's text stands inside (down to half). Values are smoothed along the page with a small
+   Gaussian, not across the border of such elements, so a short paragraph or a heading between long ones keeps its place;
+4. blocks whose value reaches the threshold, a share of the page's standard deviation, are content, unless they are
+   mostly links.
 
 Character references are decoded, white space inside a block becomes one space, blocks join in page order by an empty
 line. Pages come one by one, in Arrow batches, on whatever tasks read them: no shuffle, no state between pages.
@@ -194,9 +195,18 @@ def path_values(found: list[Block], radius: int = 2, sigma: float = 1.0) -> np.n
     marks = np.bincount(at, [len(MARKS.findall(b.text)) for b in found]) / n
     scale = lambda x: np.log1p(x) / max(np.log1p(x).max(), 1e-9)
     fused = (scale(chars) * (1 + scale(marks)) / 2)[at]
-    weights = np.exp(-0.5 * (np.arange(-radius, radius + 1) / sigma) ** 2)
-    total = np.convolve(fused, weights, "full")[radius : radius + len(fused)]
-    return total / np.convolve(np.ones(len(fused)), weights, "full")[radius : radius + len(fused)]
+    own = np.array([b.own for b in found])
+    plain = np.array([max(0, len(b.text) - b.links) for b in found])
+    fused = np.where(own, fused, fused * (1 - plain[own].sum() / max(plain.sum(), 1) / 2))
+    run = np.append(0, np.cumsum(own[1:] != own[:-1]))
+    total, weight = fused.copy(), np.ones(len(fused))
+    for d in range(1, min(radius + 1, len(fused))):
+        w = np.exp(-0.5 * (d / sigma) ** 2) * (run[d:] == run[:-d])
+        total[d:] += w * fused[:-d]
+        total[:-d] += w * fused[d:]
+        weight[d:] += w
+        weight[:-d] += w
+    return total / weight
 
 
 def main_text(page: str | None, share: float = 1.0) -> str:
@@ -205,16 +215,10 @@ def main_text(page: str | None, share: float = 1.0) -> str:
     if not found:
         return ""
     values = path_values(found)
-    own = np.array([b.own for b in found])
-    if own.any():
-        # The page marks its content; ratios then only drop link lists inside it.
-        kept = own & np.array([2 * b.links <= len(b.text) or v >= values.mean() for b, v in zip(found, values)])
-        kept = kept if kept.any() else own
-    else:
-        kept = values >= share * values.std()
-        kept &= np.array([b.links < 0.8 * len(b.text) for b in found])
-        if not kept.any():
-            kept = values >= values.max()
+    kept = values >= share * values.std()
+    kept &= np.array([b.links < 0.8 * len(b.text) for b in found])
+    if not kept.any():
+        kept = values >= values.max()
     return "\n\n".join(b.text for b, k in zip(found, kept) if k)
 
 
