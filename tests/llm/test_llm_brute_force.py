@@ -299,6 +299,28 @@ def test_ratios_decide_outside_and_inside_of_articles():
     assert got[:3] == [f"{s} {s}", s, f"{s} {s}"] and not {"Save", "Top", "More", "Call us"} & set(got)
 
 
+@pytest.mark.parametrize("frame", [
+    "<div class='elementor-widget elementor-widget-text-editor'>{}</div>", "<section id=discussion>{}</section>",
+    "<section id=search>{}</section>", "<div class='alert alert-info'>{}</div>", "<div class=responses>{}</div>",
+    "<div id=notifications>{}</div>", "<div class=tags>{}</div>", "<section id=navigation>{}</section>",
+])
+def test_doubtful_names_do_not_lose_text(frame):
+    s = SENTENCES.strip()
+    inner = f"<h2>Title</h2><p>{s}</p><p>{s}</p>"
+    want = f"Title\n\n{s}\n\n{s}"
+    assert html_extract.main_text(f"<html><body><nav>Home</nav>{frame.format(inner)}</body></html>") == want
+    part = frame.format(f"<p>{s}</p>")
+    for around in ("<article>{}</article>", "<div>{}</div>"):
+        page = around.format(f"<h2>Title</h2><p>{s}</p>{part}<p>{s}</p>")
+        assert html_extract.main_text(page) == f"Title\n\n{s}\n\n{s}\n\n{s}"
+
+
+def test_doubtful_names_with_little_text_go():
+    s = SENTENCES.strip()
+    page = f"<div><p>{s} {s}</p><p>{s}</p></div><div class=widget><div>Hot</div></div><div role=search><p>{s}</p></div>"
+    assert html_extract.main_text(page) == f"{s} {s}\n\n{s}"
+
+
 def test_broken_markup_ends():
     for page in ("<", "a < b", "<p", "<!--", "<a href='", "</", "<p><b>x</i></p></div>", "<![CDATA[x]]>", "<" * 2000, "<p a='" * 2000, "<div>" * 3000 + "x"):
         html_extract.main_text(page)

@@ -4,12 +4,13 @@ A page is cut into text blocks, each with its tag path: the open block elements
 of a ``div`` or ``section``, so that what a template repeats shares a path. Then, per page,
 
 1. paths that cannot hold main text go: navigation, page headers and footers, asides, forms, dialogs, and elements
-   whose class, id or role says advert, menu, sidebar, notice, share, related or comment;
+   whose class, id or role says advert, menu, sidebar, cookie or comment. Names that main text has too (widget, search,
+   alert, discussion, tags, related and the like) leave it in, but its paths weigh half;
 2. for every remaining path the text ratio (characters of text per text block) and the punctuation ratio (sentence
    marks per text block) are summed over all its blocks, link text counting against it;
 3. both, scaled by the page's largest, are fused. What stands outside of ``article`` and ``main`` elements weighs less, the
    less the more of the page's text stands inside (down to half). Values are smoothed along the page with a small
-   Gaussian, not across the border of such elements, so a short paragraph or a heading between long ones keeps its place;
+   Gaussian, not across the border of such or doubtful elements, so a short paragraph or a heading between long ones keeps its place;
 4. blocks whose value reaches the threshold, a share of the page's standard deviation, are content, unless they are
    mostly links.
 
@@ -49,11 +50,19 @@ CLOSED_BY = {
 WALLS = set("table td th article main section div body html".split())
 #: Words in class, id or role that name what is not main text.
 ASIDE_WORDS = set(
-    "ad ads advert adverts advertisement advertising adsense banner banners breadcrumb breadcrumbs comment comments "
-    "commentlist cookie cookies consent copyright dialog disclaimer disqus footer gdpr header masthead menu menus modal nav "
-    "navbar navigation newsletter notice notices notification notifications pager pagination popup promo promos promoted "
-    "promotion recommended related replies reply share sharing sidebar sidebars signup social sponsor sponsored subscribe "
-    "subscription tags toolbar topbar widget widgets complementary contentinfo search alert responses discussion".split()
+    "ad ads advert adverts advertisement advertising adsense breadcrumb breadcrumbs comment comments commentlist cookie "
+    "cookies disqus footer gdpr header masthead menu menus nav navbar newsletter pager pagination popup promo promos "
+    "sidebar sidebars signup sponsored subscribe topbar".split()
+)
+#: Roles of the ARIA standard that say it.
+ASIDE_ROLES = set(
+    "alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split()
+)
+#: Words that may also name main text, as page builders, papers and manuals do.
+DOUBTFUL_WORDS = set(
+    "alert banner banners complementary consent contentinfo copyright dialog disclaimer discussion modal navigation notice "
+    "notices notification notifications promoted promotion recommended related replies reply responses search share "
+    "sharing social sponsor subscription tags toolbar widget widgets".split()
 )
 #: Words that say it of an ``article`` too: readers' comments and teasers are often articles of their own.
 ASIDE_ARTICLES = set("ad advert comment comments promo related replies reply sponsored".split())
@@ -71,15 +80,15 @@ HEADINGS = re.compile(r"h[1-6]$")
 
 
 class Block:
-    __slots__ = ("path", "text", "links", "own")
+    __slots__ = ("path", "text", "links", "own", "doubt")
 
-    def __init__(self, path, text, links, own):
-        self.path, self.text, self.links, self.own = path, text, links, own
+    def __init__(self, path, text, links, own, doubt):
+        self.path, self.text, self.links, self.own, self.doubt = path, text, links, own, doubt
 
 
-def _words(name: str, attrs: str) -> tuple[set[str], str, bool]:
-    """Words of class, id and role; the class; whether the element is hidden."""
-    found, css, hidden = set(), "", False
+def _words(name: str, attrs: str) -> tuple[set[str], set[str], str, bool]:
+    """Words of class, id and role; the roles; the class; whether the element is hidden."""
+    found, roles, css, hidden = set(), set(), "", False
     for key, a, b, c in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), a or b or c
         if key in ("class", "id", "role", "itemprop"):
@@ -87,6 +96,8 @@ def _words(name: str, attrs: str) -> tuple[set[str], str, bool]:
                 parts = [w for w in re.split(r"[\W_]+", one) if w]
                 if parts and parts[0] not in LAYOUT:
                     found.update(parts)
+            if key == "role":
+                roles.update(value.lower().split())
             if key == "class":
                 css = " ".join(sorted(value.lower().split()))
         elif key == "aria-hidden" and value.lower() == "true":
@@ -95,24 +106,24 @@ def _words(name: str, attrs: str) -> tuple[set[str], str, bool]:
             hidden = True
     if re.search(r"(?:^|\s)hidden(?:\s|$)", ATTRIBUTE.sub(" ", attrs), re.I):
         hidden = True
-    return found, css, hidden
+    return found, roles, css, hidden
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks of a page in order, without those of step 1."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # name, path so far, left out, inside article or main
+    stack: list[tuple[str, str, bool, bool, bool]] = []  # name, path so far, left out, inside article or main, doubtful
     text: list[str] = []
     links, in_link = 0, 0
 
     def end_block() -> None:
         nonlocal links
         if text:
-            path, gone, own = (stack[-1][1], stack[-1][2], stack[-1][3]) if stack else ("", False, False)
+            path, gone, own, doubt = stack[-1][1:] if stack else ("", False, False, False)
             if not gone:
                 whole = SPACE.sub(" ", html.unescape("".join(text))).strip()
                 if whole:
-                    out.append(Block(path, whole, links, own))
+                    out.append(Block(path, whole, links, own, doubt))
             text.clear()
         links = 0
 
@@ -172,16 +183,18 @@ def blocks_of(page: str) -> list[Block]:
             continue
         while stack and name in CLOSED_BY.get(stack[-1][0], ()):
             stack.pop()
-        parent = stack[-1] if stack else ("", "", False, False)
-        words, css, hidden = _words(name, token["attrs"] or "")
+        parent = stack[-1] if stack else ("", "", False, False, False)
+        words, roles, css, hidden = _words(name, token["attrs"] or "")
         own = parent[3] or name in OWN or "articlebody" in words
         gone = parent[2] or hidden or name in SKIPPED
         gone = gone or (name in ("header", "footer") and not (name == "header" and parent[3]))
+        doubt = parent[4]
         if name not in ("html", "body", "main") and not HEADINGS.match(name):
             named = words & (ASIDE_ARTICLES if name == "article" else ASIDE_WORDS)
-            gone = gone or bool(named - {"header", "masthead"} if parent[3] else named)
+            gone = gone or bool(roles & ASIDE_ROLES) or bool(named - {"header", "masthead"} if parent[3] else named)
+            doubt = doubt or (name != "article" and bool(words & DOUBTFUL_WORDS))
         step = f"{name}.{css}" if css and name in ("div", "section", "td") else name
-        stack.append((name, f"{parent[1]}/{step}", gone, own))
+        stack.append((name, f"{parent[1]}/{step}{'?' if doubt else ''}", gone, own, doubt))
     end_block()
     return out
 
@@ -196,9 +209,11 @@ def path_values(found: list[Block], radius: int = 2, sigma: float = 1.0) -> np.n
     scale = lambda x: np.log1p(x) / max(np.log1p(x).max(), 1e-9)
     fused = (scale(chars) * (1 + scale(marks)) / 2)[at]
     own = np.array([b.own for b in found])
+    doubt = np.array([b.doubt for b in found])
+    fused = np.where(doubt, fused / 2, fused)
     plain = np.array([max(0, len(b.text) - b.links) for b in found])
     fused = np.where(own, fused, fused * (1 - plain[own].sum() / max(plain.sum(), 1) / 2))
-    run = np.append(0, np.cumsum(own[1:] != own[:-1]))
+    run = np.append(0, np.cumsum((own[1:] != own[:-1]) | (doubt[1:] != doubt[:-1])))
     total, weight = fused.copy(), np.ones(len(fused))
     for d in range(1, min(radius + 1, len(fused))):
         w = np.exp(-0.5 * (d / sigma) ** 2) * (run[d:] == run[:-d])
