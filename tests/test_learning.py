@@ -47,6 +47,25 @@ def test_contributions_add_up(fitted):
     assert out[0].base_value == pytest.approx(mean)
 
 
+def test_contributions_are_exact_over_the_whole_background(spark, fitted):
+    df, _ = fitted
+    some = df.limit(30).withColumn("b", F.when(F.col("id") % 5 > 0, F.col("b"))).withColumn("c", F.lit(0.5)).localCheckpoint()
+    model = T.train_forecaster(df.withColumn("c", F.lit(0.5)), COLS, "y", {"maxIter": 12, "stepSize": 0.3, "maxDepth": 4})
+    back = df.withColumn("c", F.col("id") / 600)
+    got = {r.id: r for r in T.attribution(some.filter("id % 3 = 0 or id % 5 = 0"), model, COLS, ["id"], back).collect()}
+    assert got and all(r.c_contribution == 0 for r in got.values())  # no tree can test it
+    x, z = some.alias("x"), back.alias("z")
+    pick = lambda side, c: F.col(f"{side}.{c}").alias(c)
+    f = {}
+    for a, b in ("xx", "xz", "zx", "zz"):
+        mixed = x.crossJoin(z).select(F.col("x.id"), pick(a, "a"), pick(b, "b"), pick("z", "c"))
+        f[a + b] = {r.id: r.v for r in T.score_batch(mixed, model).groupBy("id").agg(F.avg("predicted").alias("v")).collect()}
+    for i, r in got.items():
+        xx, xz, zx, zz = (f[k][i] for k in ("xx", "xz", "zx", "zz"))
+        assert r.a_contribution == pytest.approx(((xz - zz) + (xx - zx)) / 2, abs=1e-9)
+        assert r.b_contribution == pytest.approx(((zx - zz) + (xx - xz)) / 2, abs=1e-9)
+
+
 def test_save_and_load(fitted, tmp_path):
     df, model = fitted
     T.save_forecaster(model, f"{tmp_path}/m")

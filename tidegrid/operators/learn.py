@@ -174,59 +174,136 @@ def random_search(
     return df.sparkSession.createDataFrame(rows, "trial int, params string, rmse double, is_best boolean")
 
 
+def _leaves(model: PipelineModel, df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Leaves of all trees: value times the tree's weight, and for each feature tested on the way its index and the
+    bounds of what passes, above ``low`` up to ``high``.
+
+    Node data is read back from the saved model. Rows are filled up with a feature that does not exist and always passes.
+    """
+    learner = model.stages[-1]
+    path = scratch_path(df.sparkSession, "learner")
+    learner.write().overwrite().save(path)
+    nodes = df.sparkSession.read.parquet(f"{path}/data").select(
+        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
+        "nodeData.split.featureIndex", "nodeData.split.numCategories",
+        F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("cut"),
+    ).collect()
+    at = {(r.treeID, r.id): r for r in nodes}
+    found: list[tuple[float, dict[int, tuple[float, float]]]] = []
+    for tree, weight in enumerate(learner.treeWeights):
+        todo: list[tuple[int, dict[int, tuple[float, float]]]] = [(0, {})]
+        while todo:
+            node, tested = todo.pop()
+            r = at[tree, node]
+            if r.leftChild < 0:
+                found.append((weight * r.prediction, tested))
+                continue
+            if r.numCategories >= 0:
+                raise ValueError("attribution needs numeric features; this model has categorical splits")
+            low, high = tested.get(r.featureIndex, (-np.inf, np.inf))
+            todo.append((r.leftChild, {**tested, r.featureIndex: (low, min(high, r.cut))}))
+            todo.append((r.rightChild, {**tested, r.featureIndex: (max(low, r.cut), high)}))
+    width = max(1, max(len(t) for _, t in found))
+    if width > 12:
+        raise ValueError(f"a leaf tests {width} features; its table has 2^{width} entries, which is kept to 2^12")
+    feature = np.full((len(found), width), -1)
+    low, high = np.full(feature.shape, -np.inf), np.full(feature.shape, np.inf)
+    for i, (_, tested) in enumerate(found):
+        for j, (f, (lo, hi)) in enumerate(tested.items()):
+            feature[i, j], low[i, j], high[i, j] = f, lo, hi
+    return np.array([v for v, _ in found]), feature, low, high
+
+
+def _passes(x: np.ndarray, feature: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which tests of one leaf each row passes, one bit per test. Unknown values go right, as the learner sends them."""
+    bits = np.zeros(len(x), np.int64)
+    for j, f in enumerate(feature.tolist()):
+        if f < 0:
+            bits |= 1 << j
+        else:
+            bits |= ((x[:, f] > low[j]) & (x[:, f] <= high[j])).astype(np.int64) << j
+    return bits
+
+
+def _shapley_weights(width: int) -> np.ndarray:
+    """Shapley value of each test (last axis) in the game of one leaf of value 1, by the tests that the explained row
+    (first axis) and the background row (second axis) pass."""
+    codes = np.arange(1 << width)
+    x, z = (codes[:, None] >> np.arange(width) & 1).astype(bool)[:, None], (codes[:, None] >> np.arange(width) & 1).astype(bool)[None]
+    a, b = (x & ~z).sum(-1), (~x & z).sum(-1)
+    fact = np.array([math.factorial(i) for i in range(width + 1)], float)
+    alive = (x | z).all(-1)
+    gain = np.where(alive & (a > 0), fact[np.maximum(a - 1, 0)] * fact[b] / fact[a + b], 0.0)
+    loss = np.where(alive & (b > 0), fact[a] * fact[np.maximum(b - 1, 0)] / fact[a + b], 0.0)
+    return gain[..., None] * (x & ~z) - loss[..., None] * (~x & z)
+
+
+def _values(pdf: pd.DataFrame, cols: Sequence[str]) -> np.ndarray:
+    x = pdf[list(cols)].to_numpy(dtype=float)
+    return np.asfortranarray(np.where(np.isnan(x), np.inf, np.maximum(x, -np.finfo(float).max)))
+
+
 def attribution(
     df: DataFrame, model: PipelineModel, cols: Sequence[str], key: Sequence[str],
-    background: DataFrame, permutations: int = 16, backgrounds: int = 8, seed: int = 42,
+    background: DataFrame, permutations: int | None = None, backgrounds: int | None = None, seed: int = 42,
 ) -> DataFrame:
-    """Additive contributions per feature by sampled Shapley values.
-
-    Pair k walks from a background row to the explained row, one feature at a time in a random
-    order; a feature's contribution is the mean change when it is switched. What the mean of the
-    background rows used differs from the mean of the whole background is shared among the features, so
-    contributions sum to ``predicted - base_value`` with the base of all background rows. A step adds its prediction to the feature just switched and takes it from the one
-    switched next, so one aggregate per row finishes it and no step looks for its neighbour.
-    ``backgrounds`` rows (the smallest hashes) and ``permutations`` bound the extra work.
+    """Additive contributions per feature: exact Shapley values of the trees against every background row.
+
+    For the explained row and one background row, a leaf is a game whose Shapley values depend only on which of
+    the leaf's tests either row passes. So one pass over the background counts, leaf by leaf, its rows by the tests they
+    pass, and every explained row is held against these counts: the work is rows plus background times leaves, and nothing
+    is drawn. Contributions sum to ``predicted - base_value``, the mean over the background, and a feature that no
+    tree tests gets 0. The counts are bounded by the model (leaves times two to the power of the tests of a leaf).
+
+    ``permutations``, ``backgrounds`` and ``seed`` steered a sampled version and change nothing.
     """
-    n = len(cols)
-    rng = np.random.default_rng(seed)
-    orders = [rng.permutation(n).tolist() for _ in range(permutations)]
-    place = [[o.index(j) for j in range(n)] for o in orders]
-    pick = background.select(*cols).orderBy(F.xxhash64(*cols, F.lit(seed))).limit(backgrounds)
-    bg = pick.agg(F.array_sort(F.collect_list(F.struct(*cols)))).scalar()
-    order_lit = F.array(*[F.array(*[F.lit(j) for j in o]) for o in orders])
-    place_lit = F.array(*[F.array(*[F.lit(j) for j in p]) for p in place])
-    steps = (
-        df.select(*key, *cols)
-        .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
-        .withColumn("_bg", bg)
-        .withColumn("_b", F.col("_bg")[F.pmod(F.col("_k"), F.size("_bg"))])
-        .withColumns({"_order": order_lit[F.col("_k")], "_place": place_lit[F.col("_k")]})
-        .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n))))
-        .select(
-            *key, "_s",
-            F.try_element_at("_order", F.when(F.col("_s") > 0, F.col("_s"))).alias("_in"),
-            F.try_element_at("_order", F.when(F.col("_s") < n, F.col("_s") + 1)).alias("_out"),
-            *[
-                F.when(F.col("_place")[j] < F.col("_s"), F.col(c)).otherwise(F.col(f"_b.`{c}`")).alias(c)
-                for j, c in enumerate(cols)
-            ],
-        )
+    n, cols = len(cols), list(cols)
+    value, feature, low, high = _leaves(model, df)
+    width = feature.shape[1]
+    context = df.sparkSession.sparkContext
+    tests = context.broadcast((feature, low, high))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        feature, low, high = tests.value
+        seen = np.zeros((len(feature), 1 << width), np.int64)
+        for pdf in batches:
+            x = _values(pdf, cols)
+            for i in range(len(feature)):
+                seen[i] += np.bincount(_passes(x, feature[i], low[i], high[i]), minlength=1 << width)
+        leaf, passed = np.nonzero(seen)
+        yield pd.DataFrame({"leaf": leaf, "passed": passed, "n": seen[leaf, passed]})
+
+    doubles = lambda t, *more: t.select(*more, *[F.col(c).cast("double").alias(c) for c in cols])
+    counts = doubles(background).mapInPandas(count, "leaf long, passed long, n long").groupBy("leaf", "passed").agg(F.sum("n").alias("n")).toPandas()
+    share = np.zeros((len(feature), 1 << width))
+    share[counts["leaf"].to_numpy(dtype=int), counts["passed"].to_numpy(dtype=int)] = counts["n"].to_numpy(dtype=float)
+    share *= (value / np.maximum(share.sum(1), 1))[:, None]
+    shares = context.broadcast(share)
+    given = [f"_x{j}" for j in range(n)]
+    out = [f"_c{j}" for j in range(n)]
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        feature, low, high = tests.value
+        weights = _shapley_weights(width).transpose(1, 2, 0).reshape(1 << width, -1)  # by background pattern
+        for pdf in batches:
+            x = _values(pdf, given)
+            total = np.zeros((n + 1, len(x)))  # the last row takes what fills up short leaves
+            for i in range(len(feature)):
+                table = (shares.value[i] @ weights).reshape(width, -1)
+                passed = _passes(x, feature[i], low[i], high[i])
+                for j, f in enumerate(feature[i].tolist()):
+                    if f >= 0:
+                        total[f] += table[j][passed]
+            yield pdf.drop(columns=given).assign(**{c: total[j] for j, c in enumerate(out)})
+
+    base = score_batch(background, model).agg(F.avg("predicted")).scalar()
+    scored = score_batch(df.select(*dict.fromkeys([*key, *cols])), model).select(
+        *key, "predicted", *[F.col(c).cast("double").alias(g) for c, g in zip(cols, given)]
     )
-    y = F.col("predicted")
-
-    def share(j: int) -> Column:
-        gain = F.when(F.col("_in") == j, y).otherwise(0.0) - F.when(F.col("_out") == j, y).otherwise(0.0)
-        return F.sum(gain) / permutations
-
-    whole = score_batch(background, model).agg(F.avg("predicted")).scalar()
-    parts = score_batch(steps, model).groupBy(*key).agg(
-        F.avg(F.when(F.col("_s") == n, y)).alias("predicted"),
-        F.avg(F.when(F.col("_s") == 0, y)).alias("_used"),
-        *[share(j).alias(f"{c}_contribution") for j, c in enumerate(cols)],
-    ).withColumn("base_value", whole)
-    off = (F.col("_used") - F.col("base_value")) / n
-    return parts.select(
-        *key, "predicted", "base_value", *[(F.col(f"{c}_contribution") + off).alias(f"{c}_contribution") for c in cols]
+    kept = scored.select(*key, "predicted").schema
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{c} double" for c in out)])
+    return scored.mapInPandas(explain, schema).select(
+        *key, "predicted", base.alias("base_value"), *[F.col(o).alias(f"{c}_contribution") for o, c in zip(out, cols)]
     )
 
 

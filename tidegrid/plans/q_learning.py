@@ -124,13 +124,13 @@ def _(spark, sf):
 @query("i5_attribution")
 def _(spark, sf):
     f = _features(spark, sf)
-    return T.attribution(f, _trained(spark, sf)[0], S.FEATURES, KEY, f, permutations=4, backgrounds=4)
+    return T.attribution(f, _trained(spark, sf)[0], S.FEATURES, KEY, f)
 
 
 @query("i5_contributions_add_up", f"""WITH {FEATURES_SQL} SELECT {KEY_SQL}, true AS adds_up FROM f""")
 def _(spark, sf):
     f = _features(spark, sf)
-    out = T.attribution(f, _trained(spark, sf)[0], S.FEATURES, KEY, f, permutations=4, backgrounds=4)
+    out = T.attribution(f, _trained(spark, sf)[0], S.FEATURES, KEY, f)
     total = sum((F.col(f"{c}_contribution") for c in S.FEATURES), F.lit(0.0))
     return out.select(*KEY, (F.abs(total - (F.col("predicted") - F.col("base_value"))) < 1e-6).alias("adds_up"))
 
