@@ -86,6 +86,19 @@ def test_search_is_repeatable(fitted):
     assert sum(r.is_best for r in out) == 1 and min(out, key=lambda r: r.rmse).is_best
 
 
+def test_search_query_draws_from_the_full_ranges(fitted):
+    from tidegrid.plans import q_learning as Q
+
+    draws = T.draw_params(Q.SPACE, 500, 1)
+    assert {d["maxIter"] for d in draws} == {50, 100, 150, 200} and {d["maxDepth"] for d in draws} == set(range(3, 10))
+    assert Q.TRIALS >= 10
+    learner = T._learner("y", T.FORECASTER)
+    for d in draws:
+        learner.copy({learner.getParam(n): v for n, v in d.items()})
+    one = {n: {"type": "categorical", "choices": [v]} for n, v in {**draws[0], "maxIter": 3, "featureSubsetStrategy": "1.0"}.items()}
+    assert len(T.random_search(fitted[0], COLS, "y", one, trials=1).collect()) == 1
+
+
 def test_planted_outliers_rank_first(spark):
     rng = np.random.default_rng(42)
     x = np.vstack([rng.normal(0, 1, (490, 4)), rng.normal(0, 1, (10, 4)) + 12])

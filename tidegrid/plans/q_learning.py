@@ -22,10 +22,11 @@ WS = "feature_window_start"
 KEY = [*D.CELL, WS]
 OUTLIERS = ["demand_last_15min", "demand_last_60min", TARGET]
 SPACE = {
-    "maxDepth": {"type": "int", "low": 2, "high": 5},
-    "maxIter": {"type": "int", "low": 5, "high": 20, "step": 5},
-    "stepSize": {"type": "float", "low": 0.05, "high": 0.3, "log": True},
-    "subsamplingRate": {"type": "categorical", "choices": [0.7, 1.0]},
+    "maxDepth": {"type": "int", "low": 3, "high": 9},
+    "maxIter": {"type": "int", "low": 50, "high": 200, "step": 50},
+    "stepSize": {"type": "float", "low": 0.01, "high": 0.3, "log": True},
+    "subsamplingRate": {"type": "float", "low": 0.6, "high": 1.0},
+    "featureSubsetStrategy": {"type": "categorical", "choices": ["0.6", "0.7", "0.8", "0.9", "1.0"]},
 }
 TRIALS = 10
 
