@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegrid.llm import (
-    chat, decontaminate, html_extract, language_id, line_dedup, mixing, near_dedup, quality, substring_dedup, topk_search,
+    chat, clustering, decontaminate, html_extract, language_id, line_dedup, mixing, near_dedup, quality, substring_dedup,
+    token_alignment, token_files, topk_search,
 )
+from tidegrid.session import scratch_path
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -250,3 +252,65 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenizer(name: str) -> str:
+    """Where this machine keeps a public vocabulary; the operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return token_alignment.align(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def _cluster_sql(k: int = 40, rounds: int = 5) -> str:
+    parts = [f"""v AS MATERIALIZED (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), w) - 1)::INTEGER AS cluster, w
+  FROM v WHERE vec_id IS NOT NULL QUALIFY cluster < {k}
+)"""]
+    for r in range(rounds + 1):
+        parts.append(f"""d{r} AS (
+  SELECT v.vec_id, v.w, c.cluster, list_sum([(v.w[i] - c.w[i]) * (v.w[i] - c.w[i]) FOR i IN range(1, 65)])::BIGINT AS distance
+  FROM v CROSS JOIN c{r} c
+), a{r} AS MATERIALIZED (
+  SELECT row_id, any_value(vec_id) AS vec_id, any_value(w) AS w, min(distance) AS distance,
+    arg_min(cluster, distance * {k}::HUGEINT + cluster) AS cluster
+  FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY vec_id, w) AS row_id FROM d{r}) GROUP BY row_id
+)""")
+        if r < rounds:
+            parts.append(f"""m{r} AS (
+  SELECT cluster, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(w) AS x, unnest(range(1, 65)) AS i FROM a{r}) GROUP BY cluster, i
+), c{r + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(n.w, c.w) AS w FROM c{r} c LEFT JOIN (
+    SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS w FROM m{r} GROUP BY cluster
+  ) n ON n.cluster = c.cluster
+)""")
+    return f"""WITH {", ".join(parts)}
+SELECT a.vec_id::BIGINT AS vec_id, a.cluster, a.distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+  (sum(a.distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.w, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.cluster"""
+
+
+@query("op12_centroid_clustering", _cluster_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = clustering.cluster(clustering.kept_vectors(table(spark, sf_dir, "embeddings")))
+    digest = F.sha2(F.concat_ws(",", F.transform("centroid", lambda x: x.cast("string"))), 256)
+    few = centroids.select("cluster", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))  # a row per centroid
+    return assigned.join(F.broadcast(few), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+@query("op13_token_files")
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "tokens")
+    token_files.write_tokens(docs, path, tokenizer("word_bpe_49k.json"))
+    return token_files.digests(token_files.read_tokens(spark, path))
