@@ -321,6 +321,46 @@ def test_doubtful_names_with_little_text_go():
     assert html_extract.main_text(page) == f"{s} {s}\n\n{s}"
 
 
+@pytest.mark.parametrize("frame", [
+    "<div id=page class='site sidebar-right header-fixed'>{}</div>", "<div class='post comments-open'>{}</div>",
+    "<div class='content ad-free'>{}</div>", "<main><div class='menu-collapsed'>{}</div></main>", "<form id=aspnetForm>{}</form>",
+    "<div class=sidebar>{}</div>", "<form><div class='site header-fixed'><div class='content ad-free'>{}</div></div></form>",
+])
+@pytest.mark.parametrize("around", [
+    "", "<nav><a href=/>Home</a></nav><footer>End</footer>",
+    "<div class=sidebar><p>One, two, three.</p></div><div class=comments><p>I like it. {s}</p></div><form><label>Mail</label><input></form>",
+])
+def test_no_page_goes_by_a_name_alone(frame, around):
+    s = SENTENCES.strip()
+    inner = f"<h1>Title</h1><p>{s}</p><p>{s} {s}</p><p>{s}</p><p>{s}</p>"
+    page = f"<html><body>{frame.format(inner)}{around.replace('{s}', s)}</body></html>"
+    assert html_extract.main_text(page) == f"Title\n\n{s}\n\n{s} {s}\n\n{s}\n\n{s}"
+
+
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<div class=body>{}</div>", "{}"])
+@pytest.mark.parametrize("part,want", [
+    ("<p>The mass is <math><mi>m</mi><mo>=</mo><mn>5</mn></math>, which is much.</p>", "The mass is m=5, which is much."),
+    ("<p>A<svg/>BC</p><p>{s}</p><svg><text>no</text></svg>", "ABC\n\n{s}"),
+    ("<table><tr><td>Year</td><td>2001</td></tr></table>", "Year\n\n2001"),
+    ("<ul><li>one</li><li>two</li></ul>", "one\n\ntwo"), ("<p><a href=/x>{s}</a></p>", "{s}"),
+])
+def test_nothing_of_an_article_goes(frame, part, want):
+    s = SENTENCES.strip()
+    inner = f"<h1>Title</h1><p>{s}</p>{part}<p>{s} {s}</p><p>{s}</p>".replace("{s}", s)
+    page = f"<html><body>{frame.format(inner)}<footer>End</footer></body></html>"
+    assert html_extract.main_text(page) == f"Title\n\n{s}\n\n{want}\n\n{s} {s}\n\n{s}".replace("{s}", s)
+
+
+def test_long_comments_and_sidebars_go():
+    s = SENTENCES.strip()
+    many = f"<div class=comment><p>{s} {s}</p></div>" * 12
+    for name in ("id=comments", "class=sidebar", "class='post-comments'"):
+        page = f"<div class=x><h1>Title</h1><p>{s}</p><p>{s} {s}</p></div><div {name}>{many}</div>"
+        assert html_extract.main_text(page) == f"Title\n\n{s}\n\n{s} {s}"
+    advert = f"<div class=ad>{s} {s} {s} {s}</div><article><h1>T</h1><p>Short, this one.</p></article>"
+    assert html_extract.main_text(advert) == "T\n\nShort, this one."
+
+
 def test_broken_markup_ends():
     for page in ("<", "a < b", "<p", "<!--", "<a href='", "</", "<p><b>x</i></p></div>", "<![CDATA[x]]>", "<" * 2000, "<p a='" * 2000, "<div>" * 3000 + "x"):
         html_extract.main_text(page)
