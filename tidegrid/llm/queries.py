@@ -35,12 +35,16 @@ WITH c AS (
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, text,
+    coalesce(role, '') IN ('system', 'user', 'assistant') AND coalesce(CASE lag(coalesce(role, '')) OVER w WHEN 'system' THEN role = 'user'
+      WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role = 'user' END,
+      row_number() OVER w = 1 AND role IN ('system', 'user'), false) AS ok,
+    row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AND role = 'assistant' AS ends,
     length(replace(replace(replace(text, '\', '\\'), '### ', '#\## '), '</turn>', '<\/turn>')) + 8
     + CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15
       ELSE 9 + 2 + length(replace(replace(replace(replace(coalesce(role, ''), '\', '\\'), '### ', '#\## '), '</turn>', '<\/turn>'), ': ', ':\ ')) END AS n
-  FROM c
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, ''), text)
 )
-SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns, bool_and(ok) AND bool_or(ends) AS valid,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
@@ -61,7 +65,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
     return out.select(
         "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
+        F.size("turns").cast("long").alias("n_turns"), "valid",
         F.sha2(digest.cast("binary"), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
