@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -233,10 +234,9 @@ def test_tiles_equal_plain_greedy_tiling():
     for _ in range(60):
         item = [rng.choice("abcdefgh") for _ in range(rng.randrange(4, 30))]
         doc = [rng.choice("abcdefgh") for _ in range(20)] + item[len(item) // 2 :] + ["z"] + item[: len(item) // 2 + 2]
-        items = decontaminate.Items([1], [" ".join(item)], 4)
-        found = list(decontaminate.found_in(pa.array([" ".join(doc)]), items, 0.01))
-        want = brute_tiles(doc, item, 4)
-        assert (found[0][3] if found else 0) == want
+        cut = lambda words: decontaminate.tokens(pa.array([" ".join(words)]))[0]
+        got = decontaminate.Document(cut(doc), 4).cover(cut(item), np.ones(len(item), bool), 0.01)
+        assert (got[0] if got else 0) == brute_tiles(doc, item, 4)
 
 
 def test_reordered_passages_are_caught(spark):
@@ -250,15 +250,60 @@ def test_reordered_passages_are_caught(spark):
     assert [(r.doc_id, r.n_tiles, round(r.coverage, 2)) for r in found] == [(1, 3, 0.6)]
 
 
-def test_benchmark_blocks_change_nothing(spark, monkeypatch):
+def test_a_crowded_bit_table_changes_nothing(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(tuple, decontaminate.leaks(docs, items).collect()))
-    monkeypatch.setattr(decontaminate, "BLOCK_SEEDS", 1500)
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 1 << 10)
+    monkeypatch.setattr(decontaminate, "PAGE_BITS", 7)
     assert sorted(map(tuple, decontaminate.leaks(docs, items).collect())) == whole and whole
     plain = {(d.doc_id, i.item_id) for d in docs.collect() for i in items.collect() if i.text in d.text}
     assert plain <= {r[:2] for r in whole}
 
 
+def test_tokens_of_any_script():
+    def cut(text):
+        words, first = decontaminate.tokens(pa.array(["x", text, None, text, "x"]))
+        assert words[first[1] : first[2]].tolist() == words[first[3] : first[4]].tolist() and first[2] == first[3]
+        return words[first[1] : first[2]].tolist()
+
+    same = ["“Don’t—stop,” he said…", "\"don't stop\" HE-SAID", "don t\nstop he…said"]
+    assert len({tuple(cut(t)) for t in same}) == 1 and len(cut(same[0])) == 5
+    assert len(cut("法国的首都是哪里？")) == 8 and len(cut("ภาษาไทย")) == 7 and len(cut("naïve é１２ abc_def")) == 4
+    assert cut("…—“”") == []
+
+
+def test_contamination_in_any_script(spark):
+    items = spark.createDataFrame(
+        [(1, "法国的首都是哪座城市？"), (2, "\"It's the well-known answer,\" she said - 'to all questions'."), (3, "Forty two"), (4, "x")],
+        "item_id long, text string",
+    )
+    docs = spark.createDataFrame([
+        (1, "有人问：法国的首都是哪座城市？没有人知道。"), (2, "“It’s the well—known answer,” she said – ‘to all questions’."),
+        (3, "The answer is forty-two, x."), (4, "首都是哪里？forty and two it is"), (5, None),
+    ], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in decontaminate.leaks(docs, items).collect()) == [(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0)]
+    assert sorted(r.doc_id for r in decontaminate.keep_clean(docs, items).collect()) == [4, 5]
+
+
+def test_a_common_stem_opens_nothing(spark):
+    stem = "which of the following statements is true about"
+    own = lambda i: f"thing{i} and its part{i} made in{i}"
+    items = spark.range(10_000).selectExpr(
+        "id AS item_id", f"concat('{stem} thing', id, ' and its part', id, ' made in', id, '?') AS text"
+    )
+    rows = [(1, f"Now, {stem} {own(77)}, said he"), (2, f"{stem} nothing at all. " * 30), (3, f"{stem} {own(1)}. {stem} {own(2)}. {own(9_999)}"),
+            (4, f"{stem} thing5 but no more")] + [(10 + i, f"{stem} cats number{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    begin = time.time()
+    found = decontaminate.leaks(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 77), (3, 1), (3, 2), (3, 9_999)]
+    assert time.time() - begin < 60
+    # Items that are nothing but a stem are found all the same, each copy and each variant.
+    same = spark.createDataFrame([(i, stem) for i in range(50)] + [(100 + i, f"{stem} w{i}") for i in range(50)], "item_id long, text string")
+    found = decontaminate.leaks(spark.createDataFrame([(1, f"a {stem} b")], "doc_id long, text string"), same).collect()
+    assert {r.item_id for r in found} == set(range(50))
+
+
 def test_pages_give_their_article(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for r in entry.queries()["op1_html_extraction"](spark, SF).collect():
