@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidegrid.operators import boost as B
 from tidegrid.operators import decide as R
 from tidegrid.operators import learn as T
 from tidegrid.operators.monitor import metric_columns
@@ -38,7 +39,7 @@ def test_importance(fitted):
 def test_contributions_add_up(fitted):
     df, model = fitted
     some = df.filter("id < 40")
-    out = T.attribution(some, model, COLS, ["id"], df, permutations=6, backgrounds=3).collect()
+    out = T.attribution(some, model, COLS, ["id"], df).collect()
     assert len(out) == 40
     for r in out:
         total = sum(r[f"{c}_contribution"] for c in COLS)
@@ -49,7 +50,7 @@ def test_contributions_add_up(fitted):
 
 def test_contributions_are_exact_over_the_whole_background(spark, fitted):
     df, _ = fitted
-    some = df.limit(30).withColumn("b", F.when(F.col("id") % 5 > 0, F.col("b"))).withColumn("c", F.lit(0.5)).localCheckpoint()
+    some = df.limit(30).withColumn("b", F.when(F.col("id") % 5 > 0, F.col("b"))).withColumn("c", F.lit(0.5)).checkpoint()
     model = T.train_forecaster(df.withColumn("c", F.lit(0.5)), COLS, "y", {"maxIter": 12, "stepSize": 0.3, "maxDepth": 4})
     back = df.withColumn("c", F.col("id") / 600)
     got = {r.id: r for r in T.attribution(some.filter("id % 3 = 0 or id % 5 = 0"), model, COLS, ["id"], back).collect()}
@@ -92,11 +93,81 @@ def test_search_query_draws_from_the_full_ranges(fitted):
     draws = T.draw_params(Q.SPACE, 500, 1)
     assert {d["maxIter"] for d in draws} == {50, 100, 150, 200} and {d["maxDepth"] for d in draws} == set(range(3, 10))
     assert Q.TRIALS >= 10
-    learner = T._learner("y", T.FORECASTER)
-    for d in draws:
-        learner.copy({learner.getParam(n): v for n, v in d.items()})
-    one = {n: {"type": "categorical", "choices": [v]} for n, v in {**draws[0], "maxIter": 3, "featureSubsetStrategy": "1.0"}.items()}
-    assert len(T.random_search(fitted[0], COLS, "y", one, trials=1).collect()) == 1
+    assert len({d["columnShare"] for d in draws}) > 400 and all(0.6 <= d["columnShare"] <= 1 for d in draws)
+    assert all(T._trial(d).rounds == d["maxIter"] for d in draws)
+    with pytest.raises(ValueError):
+        T._trial({"numTrees": 3})
+
+
+def plain_boost(x, y, rounds, rate, depth, penalty=1.0):
+    """Trees over all rows and columns by trying every cut."""
+    score = np.full(len(y), y.mean())
+
+    def split(rows, level):
+        g = score[rows] - y[rows]
+        value = -g.sum() / (len(rows) + penalty)
+        best = (1e-9, None, None)
+        for f in range(x.shape[1]) if level < depth else ():
+            for cut in np.unique(x[rows, f])[:-1]:
+                left = x[rows, f] <= cut
+                gain = g[left].sum() ** 2 / (left.sum() + penalty) + g[~left].sum() ** 2 / ((~left).sum() + penalty) - g.sum() ** 2 / (len(rows) + penalty)
+                if gain > best[0] + 1e-9:
+                    best = (gain, f, cut)
+        if best[1] is None:
+            out[rows] = value
+            return
+        left = x[rows, best[1]] <= best[2]
+        split(rows[left], level + 1)
+        split(rows[~left], level + 1)
+
+    for _ in range(rounds):
+        out = np.zeros(len(y))
+        split(np.arange(len(y)), 0)
+        score = score + rate * out
+    return score
+
+
+@pytest.mark.parametrize("block_rows,fan_in,keep", [(1 << 16, 64, 20), (50, 2, 2)])
+def test_trees_equal_plain_boosting(spark, monkeypatch, block_rows, fan_in, keep):
+    for name, value in (("BLOCK_ROWS", block_rows), ("FAN_IN", fan_in), ("KEEP", keep)):
+        monkeypatch.setattr(B, name, value)
+    rng = np.random.default_rng(4)
+    x = np.stack([rng.integers(0, 12, 300), rng.integers(0, 5, 300), rng.integers(-3, 4, 300)], axis=1).astype(float)
+    y = (x[:, 0] * 2 + (x[:, 1] > 2) * x[:, 2] * 5 + rng.normal(0, 0.1, 300)).round(3)
+    df = spark.createDataFrame([(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))], "id int, a double, b double, c double, y double")
+    params = {"maxIter": 7, "stepSize": 0.3, "maxDepth": 3, "subsamplingRate": 1.0, "columnShare": 1.0}
+    model = T.train_forecaster(df.repartition(5), COLS, "y", params)
+    got = {r.id: r.predicted for r in T.score_batch(df, model).collect()}
+    assert [got[i] for i in range(300)] == pytest.approx(plain_boost(x, y, 7, 0.3, 3).tolist(), abs=1e-6)
+
+
+def test_trials_grow_as_they_would_alone(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(float(a), None if i % 7 == 0 else float(b), float(2 * a + (b if i % 7 else 3))) for i, (a, b) in enumerate(rng.uniform(0, 1, (500, 2)))]
+    df = spark.createDataFrame([*rows, (0.5, 0.5, None), (float("nan"), 0.5, 1.0)], "a double, b double, y double").repartition(3)
+    some = [(5, 0.3, 2, 0.8, 0.5, 1), (9, 0.1, 4, 1.0, 1.0, 2), (2, 0.5, 1, 0.6, 1.0, 3), (3, 0.2, 0, 1.0, 1.0, 4)]
+    errors = {}
+    for size in (1 << 16, 100):
+        monkeypatch.setattr(B, "BLOCK_ROWS", size)
+        together = [B.Trial(*t) for t in some]
+        B.grow(df, ["a", "b"], "y", together, held_out=0.25)
+        for t, given in zip(together, some):
+            alone = B.Trial(*given)
+            B.grow(df, ["a", "b"], "y", [alone], held_out=0.25)
+            assert [len(t.trees), len(t.errors)] == [given[0], given[0] + 1]
+            assert t.errors == pytest.approx(alone.errors)
+        errors[size] = [t.errors[-1] for t in together]
+        assert together[1].errors[-1] < together[1].errors[0]
+    with pytest.raises(ValueError):
+        B.grow(df.limit(0), ["a", "b"], "y", [B.Trial(*some[0])])
+
+
+def test_unknown_values_go_right(spark):
+    rows = [(None if i % 3 else float(i % 2), 10.0 if i % 3 else float(i % 2)) for i in range(300)]
+    df = spark.createDataFrame(rows, "a double, y double")
+    model = T.train_forecaster(df, ["a"], "y", {"maxIter": 40, "stepSize": 0.5, "maxDepth": 2, "subsamplingRate": 1.0, "columnShare": 1.0})
+    out = {r.a: r.predicted for r in T.score_batch(df, model).distinct().collect()}
+    assert out[None] == pytest.approx(10, abs=0.1) and out[0.0] == pytest.approx(0, abs=0.1) and out[1.0] == pytest.approx(1, abs=0.1)
 
 
 def test_planted_outliers_rank_first(spark):

@@ -9,45 +9,50 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidegrid.operators.boost import Trial, as_spark_model, grow
 from tidegrid.operators.chunks import CHUNK, range_chunks
 from tidegrid.operators.distribution import exact_quantiles
 from tidegrid.operators.monitor import metric_columns
-from tidegrid.session import durable, scratch_path, with_checkpoints
+from tidegrid.session import durable, scratch_path
 
-# Training parameters of the forecaster.
+# Training parameters of the forecaster; rows and columns are drawn once per tree.
 FORECASTER = {
     "maxIter": 500,
     "stepSize": 0.05,
     "maxDepth": 6,
     "subsamplingRate": 0.7,
-    "featureSubsetStrategy": "0.7",
+    "columnShare": 0.7,
     "seed": 42,
 }
 
 
-def _learner(label: str, params: Mapping[str, Any]) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="_features", labelCol=label, predictionCol="predicted", **params
+def _trial(params: Mapping[str, Any]) -> Trial:
+    p = {**FORECASTER, **params}
+    unknown = set(p) - set(FORECASTER)
+    if unknown:
+        raise ValueError(f"unknown training parameters: {sorted(unknown)}")
+    return Trial(
+        int(p["maxIter"]), float(p["stepSize"]), int(p["maxDepth"]), float(p["subsamplingRate"]), float(p["columnShare"]), int(p["seed"])
     )
 
 
 def train_forecaster(
     df: DataFrame, cols: Sequence[str], label: str, params: Mapping[str, Any] | None = None
 ) -> PipelineModel:
-    """Squared-error boosted trees over numeric columns. ``params`` overrides the defaults."""
-    with_checkpoints(df.sparkSession)  # else the plan grows with every round
-    assemble = VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid="keep")
-    learner = _learner(label, {**FORECASTER, **(params or {})})
-    return Pipeline(stages=[assemble, learner]).fit(df.select(*cols, label))
+    """Squared-error boosted trees over numeric columns. ``params`` overrides the defaults.
+
+    Trees grow from shared histograms (``boost``); the model is Spark ML's own, so it is saved, loaded and scored as such.
+    """
+    trial, spark = _trial(params or {}), df.sparkSession
+    edges, start = grow(df, cols, label, [trial])
+    model = as_spark_model(spark, trial, edges, start, "_features", label, "predicted")
+    return PipelineModel([VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid="keep"), model])
 
 
 def save_forecaster(model: PipelineModel, path: str) -> None:
@@ -151,28 +156,22 @@ def draw_params(space: Mapping[str, Mapping[str, Any]], trials: int, seed: int)
 
 def random_search(
     df: DataFrame, cols: Sequence[str], label: str, space: Mapping[str, Mapping[str, Any]],
-    trials: int = 50, seed: int = 42, train_ratio: float = 0.8, parallelism: int = 4,
-    params: Mapping[str, Any] | None = None,
+    trials: int = 50, seed: int = 42, train_ratio: float = 0.8, params: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """Trials table (trial, params JSON, rmse, is_best) of random draws, validated on held-out
-    rows. Each trial trains on the cluster; ``parallelism`` of them run at a time."""
-    with_checkpoints(df.sparkSession)  # else the plan grows with every round
-    assembled = VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid="keep")
-    data = assembled.transform(df.select(*cols, label)).select("_features", label)
-    learner = _learner(label, {**FORECASTER, **(params or {})})
+    """Trials table (trial, params JSON, rounds, rmse, is_best) of random draws, validated on held-out rows.
+
+    All trials grow together over one set of bins (``boost.grow``), so a pass over the rows serves all of them; each has all of
+    its rounds. ``rmse`` is over the rows kept aside, the same for every trial. Of equals the first is best.
+    """
     draws = draw_params(space, trials, seed)
-    search = TrainValidationSplit(
-        estimator=learner,
-        estimatorParamMaps=[{learner.getParam(n): v for n, v in d.items()} for d in draws],
-        evaluator=RegressionEvaluator(labelCol=label, predictionCol="predicted", metricName="rmse"),
-        trainRatio=train_ratio,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    scores = search.fit(data).validationMetrics
+    grown = [_trial({**(params or {}), **d}) for d in draws]
+    grow(df, cols, label, grown, held_out=1.0 - train_ratio, seed=seed)
+    scores = [t.errors[-1] for t in grown]
     best = int(np.argmin(scores))
-    rows = [(i, json.dumps(d, sort_keys=True), float(m), i == best) for i, (d, m) in enumerate(zip(draws, scores))]
-    return df.sparkSession.createDataFrame(rows, "trial int, params string, rmse double, is_best boolean")
+    rows = [
+        (i, json.dumps(d, sort_keys=True), len(t.trees), float(m), i == best) for i, (d, t, m) in enumerate(zip(draws, grown, scores))
+    ]
+    return df.sparkSession.createDataFrame(rows, "trial int, params string, rounds int, rmse double, is_best boolean")
 
 
 def _leaves(model: PipelineModel, df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -246,7 +245,7 @@ def _values(pdf: pd.DataFrame, cols: Sequence[str]) -> np.ndarray:
 
 def attribution(
     df: DataFrame, model: PipelineModel, cols: Sequence[str], key: Sequence[str],
-    background: DataFrame, permutations: int | None = None, backgrounds: int | None = None, seed: int = 42,
+    background: DataFrame,
 ) -> DataFrame:
     """Additive contributions per feature: exact Shapley values of the trees against every background row.
 
@@ -255,8 +254,6 @@ def attribution(
     pass, and every explained row is held against these counts: the work is rows plus background times leaves, and nothing
     is drawn. Contributions sum to ``predicted - base_value``, the mean over the background, and a feature that no
     tree tests gets 0. The counts are bounded by the model (leaves times two to the power of the tests of a leaf).
-
-    ``permutations``, ``backgrounds`` and ``seed`` steered a sampled version and change nothing.
     """
     n, cols = len(cols), list(cols)
     value, feature, low, high = _leaves(model, df)
