@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
@@ -97,16 +98,39 @@ def test_alignment_query(spark):
 
 def test_groups_equal_set_intersection():
     rng = random.Random(5)
-    sizes = [0, 1, 2, 3, 4]
     for _ in range(300):
         n = rng.randrange(1, 30)
-        cut = lambda: [y - x for x, y in zip([0, *c], [*c, n])] if (c := sorted(rng.sample(range(1, n), rng.randrange(n)))) else [n]
-        a, b = ([s for x in cut() for s in [4] * (x // 4) + [x % 4] * (x % 4 > 0)] for _ in range(2))
-        both = set(np.cumsum(a)) & set(np.cumsum(b))
-        groups = token_alignment.shared_groups(a, b, sizes, sizes)
-        assert len(groups) == len(both)
-        assert [sum(x) for x, _ in groups] == [sum(y) for _, y in groups]
-        assert sum((x for x, _ in groups), []) == a and sum((y for _, y in groups), []) == b
+        cut = lambda: np.diff([0, *sorted(rng.sample(range(1, n), rng.randrange(n))), n])
+        a, b = cut(), cut()
+        m, k = token_alignment.shared_groups(a, b)
+        both = sorted(set(np.cumsum(a)) & set(np.cumsum(b)))
+        assert np.cumsum(a)[np.cumsum(m) - 1].tolist() == both == np.cumsum(b)[np.cumsum(k) - 1].tolist()
+
+
+@pytest.mark.parametrize("large", [0, 4, 1 << 16])
+def test_links_of_groups(monkeypatch, large):
+    monkeypatch.setattr(token_alignment, "LARGE_GROUP", large)
+    rng = np.random.default_rng(2)
+    m, n = rng.integers(1, 6, 40), rng.integers(1, 6, 40)
+    a, b = rng.integers(0, 9, m.sum()), rng.integers(0, 9, n.sum())
+    got = collections.Counter()
+    for g, key, times in zip(*(x.tolist() for x in token_alignment.group_links(a, b, m, n))):
+        got[g, key >> 32, key & 0xFFFFFFFF] += times
+    want, i, j = collections.Counter(), 0, 0
+    for g, (x, y) in enumerate(zip(m, n)):
+        want.update((g, p, q) for p in a[i : i + x].tolist() for q in b[j : j + y].tolist())
+        i, j = i + x, j + y
+    assert got == want
+
+
+def test_byte_level_ids_equal_the_library():
+    side = token_alignment.ByteLevel(A)
+    assert side.fast is not None
+    points = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b {c}{c} {c}1{c} 's{c} .{c}\n {c}" for c in points[::7]] + [t for t in TEXTS if t] + ["x" * 3000, " " * 3000 + "y"]
+    fast = side.encode(texts)
+    side.fast = None
+    assert side.encode(texts) == fast
 
 
 def plain_tokens(rows):
@@ -131,7 +155,11 @@ def test_words_encode_like_texts(whole):
     rng = random.Random(3)
     letters = [" ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", " ", "　", "́", "̧", "e", "E", "'", "s", "Σ", "İ", "한", "ᄒ", "ᅡ", ".", "7", "中", "<|endoftext|>"]
     texts = [t or "" for t in TEXTS[:-4]] + ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(500)]
-    ids, counts = encoder(texts)
+    latin = [chr(c) for c in [*range(33, 127), *range(0xA1, 0x250)]]
+    texts += [f"{c}a {c.upper()}b1{c}{c}c a{c}'s {c}\u0301" for c in latin]
+    texts += ["".join(rng.choices(latin, k=rng.randrange(1, 12))) for _ in range(2000)]
+    ids, counts = encoder(pa.array([*texts, None]))
+    texts.append("")
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [encode(t, add_special_tokens=False).ids for t in texts]
 
 

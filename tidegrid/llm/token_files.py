@@ -16,7 +16,8 @@ touches the pages that hold it, and metadata is read without any token column. `
 folder has one row per part: how many ids lie before it. A document's position in the whole corpus is that plus ``begin``.
 
 Words between ASCII white space are encoded once per worker while they are remembered: no normaliser step, split or merge of
-a tokenizer that drops white space before it splits reaches across it. ``whole=True`` encodes texts in one go, for
+a tokenizer that drops white space before it splits reaches across it. Plain texts are split further, by the tokenizer's own
+pattern, and only its model is asked about new pieces. ``whole=True`` encodes texts in one go, for
 tokenizers of any other kind.
 
 Defined cases: null and empty texts hold the end id alone; a null ``doc_id`` comes before all others; rows with one id are
@@ -26,26 +27,39 @@ further columns are not stored. A very long text is one row; encoding it by word
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cache, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from tidegrid.llm.blocks import text_size
-from tidegrid.llm.words import slices
+from tidegrid.llm.words import slices, text_bytes
 
 SCHEMA = "part int, doc_id long, begin long, n_tokens long, ids array<int>"
 PARTS = "part int, before long, n long"
 #: Text of one file, and the least that makes a further file worth while on few documents.
 FILE_BYTES, LEAST_BYTES = 64 << 20, 1 << 20
-#: Bytes of remembered words after which a worker starts to remember anew.
-MEMO_BYTES = 128 << 20
+#: Text that a task encodes at a time.
+SLICE_BYTES = 2 << 20
+#: Fixed value: the split of the word tokenizer, in which white space falls away and letters, digits and signs are tokens apart.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts of printable ASCII, white space and Latin letters and signs: composing changes none of them, lower case goes letter by letter.
+PLAIN = "^[\t-\r -~\u00a1-\u012f\u0131-\u017f]*$"
+#: Code points that plain texts may hold, as white space (0), letters (1), numbers (2) and signs (3).
+KINDS = np.array([0 if chr(c).isspace() else {"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 3) for c in range(0x250)], np.uint8)
+#: Bytes of remembered words or pieces after which a worker starts to remember anew.
+MEMO_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -74,20 +88,91 @@ class Layout:
         }
 
 
-class WordCodes(dict):
-    """Number of each word seen; new ones wait in ``new`` until they are encoded."""
+class Codes(dict):
+    """Number of each string seen; new ones wait in ``new`` until they are encoded."""
 
     def __init__(self):
         super().__init__()
-        self.new: list[bytes] = []
+        self.new: list = []
         self.size = 0
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = code = len(self)
-        self.new.append(word)
-        self.size += len(word) + 100
+    def __missing__(self, string: bytes | str) -> int:
+        self[string] = code = len(self)
+        self.new.append(string)
+        self.size += len(string) + 100
         return code
 
+    def numbers(self, strings: Iterable[bytes | str], n: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, strings), np.int64, n)
+
+
+class Known:
+    """Strings with their token ids, one after the other."""
+
+    def __init__(self):
+        self.codes, self.flat, self.counts = Codes(), np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def learn(self, flat: np.ndarray, counts: np.ndarray) -> None:
+        """The ids of the strings in ``codes.new``."""
+        self.codes.new.clear()
+        self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
+
+    def ids(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        counts = self.counts[codes]
+        return runs(self.flat, (np.cumsum(self.counts) - self.counts)[codes], counts), counts
+
+
+def group_sums(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive groups of ``sizes`` counts."""
+    total = np.concatenate([[0], np.cumsum(counts)])
+    edge = np.concatenate([[0], np.cumsum(sizes)])
+    return total[edge[1:]] - total[edge[:-1]]
+
+
+def flat_lists(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(counts.sum())), counts
+
+
+@cache
+def byte_of_letter() -> dict[str, int]:
+    """Byte-level vocabularies write printable bytes as themselves and the others, in order, as letters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def plain_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Plain texts in lower case, split as ``SPLIT`` does: all pieces one after the other, and how many each text has."""
+    lower = pc.utf8_lower(texts)
+    data, _ = text_bytes(lower)
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    edge = np.concatenate([[0], np.cumsum(pc.utf8_length(lower).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    kind = KINDS[points]
+    first = np.zeros(len(points) + 3, bool)  # of a text; behind the last one too
+    first[edge] = True
+    first[len(points) :] = True
+    fresh = first[: len(points)].copy()
+    fresh[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    # 's and the like: an apostrophe that no sign stands before takes one or two letters along.
+    mark = np.flatnonzero((points == ord("'")) & fresh)
+    ahead = np.concatenate([points, np.zeros(3, np.uint32)])
+    one, two = ahead[mark + 1], ahead[mark + 2]
+    short = np.isin(one, list(map(ord, "stmd"))) & ~first[mark + 1]
+    pair = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    pair &= ~first[mark + 1] & ~first[mark + 2]
+    fresh[mark[short | pair] + 1] = False
+    behind = np.concatenate([mark[short] + 2, mark[pair] + 3])
+    fresh[behind[behind < len(points)]] = True
+    kept = kind > 0
+    starts = np.flatnonzero(fresh & kept)
+    width = np.cumsum(np.where(points[kept] < 0x80, 1, 2))
+    body = points[kept].tobytes().decode("utf-32-le").encode()
+    before = np.concatenate([[0], width])
+    offsets = np.append(before[(np.cumsum(kept) - 1)[starts]], len(body)).astype(np.int64)
+    pieces = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+    return pieces, np.diff(np.searchsorted(starts, edge))
+
 
 class Encoder:
     """Token ids of texts, as one flat array and the number of ids of each text."""
@@ -97,34 +182,59 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.whole = Tokenizer.from_file(tokenizer), whole
-        self._forget()
-
-    def _forget(self) -> None:
-        self.codes, self.flat, self.counts = WordCodes(), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        about = json.loads(self.tokenizer.to_str())
+        before = (about["pre_tokenizer"] or {}).get("pretokenizers", [])
+        split = [x.get("pattern", {}).get("Regex") for x in before]
+        byte_level = any(x["type"] == "ByteLevel" and not x.get("use_regex") for x in before)
+        cases = [x["type"] for x in (about["normalizer"] or {}).get("normalizers", [])]
+        self.splits = split[:1] == [SPLIT] and byte_level and cases[-1:] == ["Lowercase"] and about["post_processor"] is None
+        self.special = [t["content"] for t in about["added_tokens"]]
+        self.letters = {b: c for c, b in byte_of_letter().items()}
+        self.words, self.pieces = Known(), Known()
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.int32, int(counts.sum())), counts
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flat_lists([e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)])
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """What the tokenizer's own split gives goes straight to its model."""
+        spelt = (p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in pieces)
+        model = self.tokenizer.model
+        return flat_lists([[t.id for t in model.tokenize(p)] if p else [] for p in spelt])
+
+    def _plain(self, texts: pa.Array) -> np.ndarray:
+        """Texts that may be split here, the way the tokenizer does it."""
+        if not self.splits:
+            return np.zeros(len(texts), bool)
+        out, lower = pc.match_substring_regex(texts, PLAIN), pc.utf8_lower(texts)
+        for word in self.special:
+            out = pc.and_not(out, pc.or_(pc.match_substring(texts, word), pc.match_substring(lower, word)))
+        return out.to_numpy(zero_copy_only=False)
+
+    def _by_parts(self, parts: pa.Array, n: np.ndarray, known: Known, encode) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that come as ``n`` strings each."""
+        distinct = parts.dictionary_encode()
+        codes = known.codes.numbers(distinct.dictionary.to_pylist(), len(distinct.dictionary))
+        if known.codes.new:
+            known.learn(*encode(known.codes.new))
+        ids, counts = known.ids(codes[distinct.indices.to_numpy()])
+        return ids, group_sums(counts, n)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pc.fill_null(texts, "")
         if self.whole:
-            return self._encode(texts)
-        if self.codes.size > MEMO_BYTES:
-            self._forget()
-        split = [t.encode().split() for t in texts]  # bytes split at ASCII white space only
-        n_words = np.fromiter(map(len, split), np.int64, len(split))
-        look = self.codes.__getitem__
-        codes = np.fromiter((look(w) for words in split for w in words), np.int64, int(n_words.sum()))
-        if self.codes.new:
-            flat, counts = self._encode([w.decode() for w in self.codes.new])
-            self.codes.new.clear()
-            self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
-        begins = np.cumsum(self.counts) - self.counts
-        ids = runs(self.flat, begins[codes], self.counts[codes])
-        total = np.concatenate([[0], np.cumsum(self.counts[codes])])
-        edge = np.concatenate([[0], np.cumsum(n_words)])
-        return ids, total[edge[1:]] - total[edge[:-1]]
+            return self._encode(texts.to_pylist())
+        if self.words.codes.size > MEMO_BYTES:
+            self.words = Known()
+        if self.pieces.codes.size > MEMO_BYTES:
+            self.pieces = Known()
+        plain = self._plain(texts)
+        ids, n = self._by_parts(*plain_pieces(texts.filter(pa.array(plain))), self.pieces, self._encode_pieces)
+        words = pc.ascii_split_whitespace(texts.filter(pa.array(~plain)))
+        more, n_more = self._by_parts(words.flatten(), pc.list_value_length(words).to_numpy(), self.words, self._encode)
+        flat, counts, begins = np.concatenate([ids, more]), np.empty(len(plain), np.int64), np.empty(len(plain), np.int64)
+        counts[plain], counts[~plain] = n, n_more
+        begins[plain], begins[~plain] = np.cumsum(n) - n, len(ids) + np.cumsum(n_more) - n_more
+        return runs(flat, begins, counts), counts
 
 
 @lru_cache(maxsize=1)
@@ -162,8 +272,8 @@ def write_tokens(
     def encode(batches):
         encoder, part, before = encoder_of(tokenizer, whole), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece in slices(batch):
-                ids, counts = with_end(*encoder([t or "" for t in piece.column("text").to_pylist()]), end)
+            for piece in slices(batch, "text", SLICE_BYTES):
+                ids, counts = with_end(*encoder(piece.column("text")), end)
                 edge = np.concatenate([[0], np.cumsum(counts)])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(piece.num_rows, part, np.int32)), piece.column("doc_id"), pa.array(before + edge[:-1]),
