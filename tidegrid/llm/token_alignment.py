@@ -23,9 +23,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from array import array
-from collections import Counter
-from functools import cache, lru_cache
+import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,25 +33,19 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tidegrid.llm.blocks import from_bytes, gathered, to_bytes
-from tidegrid.llm.token_files import runs
+from tidegrid.llm.token_files import Codes, byte_of_letter, flat_lists, group_sums, runs
 from tidegrid.llm.words import slices
 from tidegrid.session import scratch_path
 
 BLOCK_BYTES, SLICE_BYTES = 4 << 20, 1 << 19
 #: Bytes of remembered windows after which a worker starts anew with its next block.
 MEMO_BYTES = 160 << 20
+#: Token pairs of a group from which its distinct ids are multiplied instead.
+LARGE_GROUP = 1 << 16
 BLOCKS = "block long, pairs array<struct<a: int, b: int, n: int>>, body binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-@cache
-def byte_of_letter() -> dict[str, int]:
-    """Byte-level vocabularies write printable bytes as themselves and the others, in order, as letters from 256 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Side:
     """One tokenizer: ids of texts, and each id's bytes."""
 
@@ -60,11 +53,23 @@ class Side:
 
     def _measure(self) -> None:
         self.sizes = np.array([len(p) for p in self.pieces], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(self.pieces), np.uint8)
         self.spaced = np.array([p.startswith(b" ") for p in self.pieces])
 
 
+#: Fixed value: how byte-level vocabularies of this family split a text before they merge.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Pieces that long are left to the library whose merging does not slow down with their length.
+LONG_PIECE = re.compile(r"\S{1000}|\s{1000}")
+
+
 class ByteLevel(Side):
-    """A byte-level tokenizer of the tokenizers library, asked for a space and the text."""
+    """A byte-level tokenizer of the tokenizers library, asked for a space and the text.
+
+    Where ids are in the order of the merges and texts are split in the usual way, the same vocabulary runs in tiktoken, which
+    gives the same ids several times faster.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread; Spark runs several
@@ -72,15 +77,35 @@ class ByteLevel(Side):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        special = {t["id"]: t["content"].encode() for t in json.loads(self.tokenizer.to_str())["added_tokens"]}
+        about = json.loads(self.tokenizer.to_str())
+        special = {t["id"]: t["content"].encode() for t in about["added_tokens"]}
         letter = byte_of_letter()
         self.pieces = [b""] * self.tokenizer.get_vocab_size()
         for word, i in self.tokenizer.get_vocab().items():
             self.pieces[i] = special[i] if i in special else bytes(letter[c] for c in word)
         self._measure()
+        self.fast = self._fast(about, special)
+
+    def _fast(self, about: dict, special: dict[int, bytes]):
+        vocabulary, merges = about["model"].get("vocab"), about["model"].get("merges") or []
+        before = about["pre_tokenizer"] or {}
+        usual = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        joined = ("".join(m.split(" ") if isinstance(m, str) else m) for m in merges)
+        if about["normalizer"] or not usual or any(vocabulary.get(w) != 256 + i for i, w in enumerate(joined)):
+            return None
+        import tiktoken
+
+        ranks = {p: i for i, p in enumerate(self.pieces) if i not in special}
+        return tiktoken.Encoding("byte level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([f" {t}" for t in texts], add_special_tokens=False)]
+        texts = [f" {t}" for t in texts]
+        slow = [i for i, t in enumerate(texts) if self.fast is None or LONG_PIECE.search(t)]
+        found = [e.ids for e in self.tokenizer.encode_batch([texts[i] for i in slow], add_special_tokens=False)]
+        out = [[] if self.fast is None or i in set(slow) else self.fast(t) for i, t in enumerate(texts)] if slow else list(map(self.fast, texts))
+        for i, ids in zip(slow, found):
+            out[i] = ids
+        return out
 
 
 class Pieces(Side):
@@ -101,68 +126,127 @@ class Pieces(Side):
         return self.model.encode(texts, num_threads=1)
 
 
-def shared_groups(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> list[tuple[list[int], list[int]]]:
-    """Cut two encodings of the same bytes wherever a token of both ends."""
-    out, i, j, from_a, from_b = [], 1, 1, 0, 0
-    ahead = sizes_a[a[0]] - sizes_b[b[0]]
-    while True:
-        if ahead < 0:
-            ahead += sizes_a[a[i]]
-            i += 1
-        elif ahead:
-            ahead -= sizes_b[b[j]]
-            j += 1
-        else:
-            out.append((a[from_a:i], b[from_b:j]))
-            if i == len(a):
-                return out
-            from_a, from_b = i, j
-            ahead = sizes_a[a[i]] - sizes_b[b[j]]
-            i, j = i + 1, j + 1
-
-
-class Windows(dict):
-    """Aligned windows by their two id tuples (as bytes): the value is the window's number."""
+class Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.buffer, self.n = np.zeros(1 << 16, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.buffer):
+            self.buffer = np.concatenate([self.buffer[: self.n], np.zeros(self.n + len(values), self.buffer.dtype)])
+        self.buffer[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.buffer[: self.n]
+
+
+class Lists:
+    """Lists of values, one after the other."""
+
+    def __init__(self, *kinds: type):
+        self.columns, self.counts = [Growing(k) for k in kinds], Growing(np.int64)
+
+    def add(self, counts: np.ndarray, *columns: np.ndarray) -> None:
+        self.counts.add(counts)
+        for old, new in zip(self.columns, columns):
+            old.add(new)
+
+    def of(self, which: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The lists ``which``, one after the other, and their lengths."""
+        counts = self.counts.values
+        begin = (np.cumsum(counts) - counts)[which]
+        return (*(runs(c.values, begin, counts[which]) for c in self.columns), counts[which])
+
+
+def places(counts: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """``begin``, ``begin + 1``, ... for each count."""
+    return np.arange(int(counts.sum())) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
+
+
+def shared_groups(sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cut two encodings of the same bytes wherever a token of both ends: tokens of either side in each group."""
+    ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+    shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    return np.diff(np.searchsorted(ends_a, shared) + 1, prepend=0), np.diff(np.searchsorted(ends_b, shared) + 1, prepend=0)
+
+
+def digits(ids: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal ids with a sign behind each as bytes, and how many bytes each takes."""
+    powers = 10 ** np.arange(len(str(int(ids.max(initial=0)))) - 1, -1, -1)
+    out = np.empty((len(ids), len(powers) + 1), np.uint8)
+    out[:, :-1] = ids[:, None] // powers % 10 + 48
+    out[:, -1] = signs
+    shown = np.ones(out.shape, bool)
+    shown[:, :-2] = ids[:, None] >= powers[:-1]
+    return out[shown], shown.sum(axis=1)
+
+
+class Windows:
+    """Aligned windows by their two id tuples (as bytes, with -1 between): text of the groups, links, sums."""
 
     def __init__(self, a: Side, b: Side):
-        super().__init__()
-        self.sizes_a, self.sizes_b = a.sizes.tolist(), b.sizes.tolist()
-        self.text: list[str] = []
-        self.groups, self.links, self.edge = array("q"), array("q"), array("q", [0])
-        self.keys, self.times = array("q"), array("q")  # links of all windows, one after the other
-        self.size = 0
-
-    def __missing__(self, window: tuple[bytes, bytes]) -> int:
-        a, b = (array("i", ids).tolist() for ids in window)
-        if len(a) == 1 or len(b) == 1:
-            groups = [(a, b)]
-        else:
-            groups = shared_groups(a, b, self.sizes_a, self.sizes_b)
-        links: dict[int, int] = {}
-        for x, y in groups:
-            if len(x) == 1 and len(y) == 1:
-                link = x[0] << 32 | y[0]
-                links[link] = links.get(link, 0) + 1
-                continue
-            ys = Counter(y).items()
-            for i, n in Counter(x).items():
-                for j, m in ys:
-                    link = i << 32 | j
-                    links[link] = links.get(link, 0) + n * m
-        self[window] = code = len(self.text)
-        self.text.append(";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups]))
-        self.groups.append(len(groups))
-        self.links.append(sum(links.values()))
-        self.keys.extend(links)
-        self.times.extend(links.values())
-        self.edge.append(len(self.keys))
-        self.size += 400 + 10 * (len(a) + len(b)) + 16 * len(links)
-        return code
-
-
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for ids in lists for i in ids), np.int32, int(counts.sum())), counts
+        self.a, self.b, self.codes = a, b, Codes()
+        self.text, self.links = Lists(np.uint8), Lists(np.int64, np.int64)
+        self.n_groups, self.n_links = Growing(np.int64), Growing(np.int64)
+
+    @property
+    def size(self) -> int:
+        return self.codes.size + self.text.columns[0].n + 16 * self.links.columns[0].n + 40 * self.n_groups.n
+
+    def numbers(self, windows: pa.Array) -> np.ndarray:
+        """The number of each window; those not seen before are aligned."""
+        distinct = windows.dictionary_encode()
+        codes = self.codes.numbers(distinct.dictionary.to_pylist(), len(distinct.dictionary))
+        if self.codes.new:
+            self._align(self.codes.new)
+            self.codes.new.clear()
+        return codes[distinct.indices.to_numpy()]
+
+    def _align(self, new: list[bytes]) -> None:
+        flat = np.frombuffer(b"".join(new), np.int32)
+        window = np.repeat(np.arange(len(new)), np.fromiter(map(len, new), np.int64, len(new)) // 4)
+        middle = flat < 0
+        behind = np.cumsum(middle) > window  # the sign between the sides of this window has passed
+        a, b = flat[~behind].astype(np.int64), flat[behind & ~middle].astype(np.int64)
+        ends = np.cumsum(np.bincount(window[~behind], minlength=len(new)))
+        m, n = shared_groups(self.a.sizes[a], self.b.sizes[b])
+        of = np.searchsorted(ends, np.cumsum(m))  # the window of each group
+        # The text: A's ids of a group, then B's.
+        first = np.cumsum(m + n) - (m + n)
+        ids, signs = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        ids[places(m, first)], ids[places(n, first + m)] = a, b
+        signs[first + m - 1], signs[first + m + n - 1] = ord("|"), ord(";")
+        body, width = digits(ids, signs)
+        self.text.add(np.bincount(np.repeat(of, m + n), width, len(new)).astype(np.int64), body)
+        self.n_groups.add(np.bincount(of, minlength=len(new)))
+        self.n_links.add(np.bincount(of, m * n, len(new)).astype(np.int64))
+        owner, keys, times = group_links(a, b, m, n)
+        owner = of[owner]
+        order = np.lexsort((keys, owner))
+        owner, keys, times = owner[order], keys[order], times[order]
+        head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])]))
+        self.links.add(np.bincount(owner[head], minlength=len(new)), keys[head], np.add.reduceat(times, head))
+
+
+def group_links(a: np.ndarray, b: np.ndarray, m: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Group, pair and occurrences of all links; a pair may come up again. Large groups go by their distinct ids."""
+    from_a, from_b = np.cumsum(m) - m, np.cumsum(n) - n
+    large = m * n > LARGE_GROUP
+    count = np.where(large, 0, m * n)
+    owner = np.repeat(np.arange(len(m)), count)
+    at = places(count, np.zeros(len(m), np.int64))
+    keys = [a[from_a[owner] + at // n[owner]] << 32 | b[from_b[owner] + at % n[owner]]]
+    owners, times = [owner], [np.ones(len(owner), np.int64)]
+    for g in np.flatnonzero(large).tolist():
+        x, of_x = np.unique(a[from_a[g] : from_a[g] + m[g]], return_counts=True)
+        y, of_y = np.unique(b[from_b[g] : from_b[g] + n[g]], return_counts=True)
+        keys.append((x[:, None] << 32 | y).ravel())
+        times.append((of_x[:, None] * of_y).ravel())
+        owners.append(np.full(len(keys[-1]), g))
+    return np.concatenate(owners), np.concatenate(keys), np.concatenate(times)
 
 
 def _anchors(side: Side, ids: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -174,7 +258,7 @@ def _anchors(side: Side, ids: np.ndarray, ends: np.ndarray, counts: np.ndarray)
 
 
 class Aligner:
-    """Both tokenizers and the windows seen, within one task."""
+    """Both tokenizers and the windows seen, within one worker."""
 
     def __init__(self, byte_level: str, pieces: str):
         self.a, self.b = ByteLevel(byte_level), Pieces(pieces)
@@ -184,56 +268,59 @@ class Aligner:
         if self.windows.size > MEMO_BYTES:
             self.windows = Windows(self.a, self.b)
 
-    def windows_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _encoded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and their number per text, of both sides; none for texts that a side does not give back."""
+        want = [f" {t}".encode() if t else b"" for t in texts]
+        sides, fine = [], np.array([bool(w) for w in want])
+        for side in (self.a, self.b):
+            ids, n = flat_lists([x if w else [] for x, w in zip(side.encode([t or "" for t in texts]), want)])
+            raw = memoryview(runs(side.bytes, side.begins[ids], side.sizes[ids]))
+            edge = np.concatenate([[0], np.cumsum(group_sums(side.sizes[ids], n))]).tolist()
+            fine &= np.fromiter((raw[i:j] == w for i, j, w in zip(edge[:-1], edge[1:], want)), bool, len(want))
+            sides.append((ids, n))
+        return tuple(x for ids, n in sides for x in (ids[np.repeat(fine, n)], np.where(fine, n, 0)))
+
+    def windows_of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Window numbers of all texts one after the other, and per text its windows, A tokens and B tokens."""
-        encoded = [(x, y) if t and self._whole(t, x, y) else ([], []) for t, x, y in self._both(texts)]
-        a, n_a = _flat([x for x, _ in encoded])
-        b, n_b = _flat([y for _, y in encoded])
-        ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
+        a, n_a, b, n_b = self._encoded(texts)
         if not len(a):
             return np.zeros(0, np.int64), n_a, n_a, n_b
+        ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
         marks = np.intersect1d(
             _anchors(self.a, a, ends_a, n_a[n_a > 0]), _anchors(self.b, b, ends_b, n_b[n_b > 0]), assume_unique=True
         )
-        to_a, to_b = np.searchsorted(ends_a, marks) + 1, np.searchsorted(ends_b, marks) + 1
-        at_a, at_b = (np.concatenate([[0], 4 * x]).tolist() for x in (to_a, to_b))
-        raw_a, raw_b, look = a.tobytes(), b.tobytes(), self.windows.__getitem__
-        codes = np.fromiter(
-            (look((raw_a[i:j], raw_b[k:m])) for i, j, k, m in zip(at_a[:-1], at_a[1:], at_b[:-1], at_b[1:])), np.int64, len(marks)
-        )
+        to_a = np.searchsorted(ends_a, marks) + 1
+        in_a, in_b = np.diff(to_a, prepend=0), np.diff(np.searchsorted(ends_b, marks) + 1, prepend=0)
+        size = in_a + in_b + 1
+        first = np.cumsum(size) - size
+        tuples = np.full(int(size.sum()), -1, np.int32)
+        tuples[places(in_a, first)], tuples[places(in_b, first + in_a + 1)] = a, b
+        edge = (4 * np.concatenate([[0], np.cumsum(size)])).astype(np.int64)
+        keys = pa.Array.from_buffers(pa.large_binary(), len(marks), [None, pa.py_buffer(edge), pa.py_buffer(tuples)])
         last = np.searchsorted(to_a, np.cumsum(n_a), side="right")
-        return codes, np.diff(last, prepend=0), n_a, n_b
-
-    def _both(self, texts: list[str]):
-        given = [t or "" for t in texts]
-        return zip(texts, self.a.encode(given), self.b.encode(given))
-
-    def _whole(self, text: str, a: list[int], b: list[int]) -> bool:
-        want = f" {text}".encode()
-        return b"".join(map(self.a.pieces.__getitem__, a)) == want == b"".join(map(self.b.pieces.__getitem__, b))
+        return self.windows.numbers(keys), np.diff(last, prepend=0), n_a, n_b
 
-    def block(self, batch: pa.RecordBatch) -> tuple[list[dict], bytes]:
+    def block(self, batch: pa.RecordBatch) -> tuple[pa.Array, bytes]:
         """Pairs of a block of documents with their number of documents, and the documents with their links."""
         parts, hashes = [], []
         for piece in slices(batch, "text", SLICE_BYTES):
             codes, n, n_a, n_b = self.windows_of(piece.column("text").to_pylist())
-            edge = np.concatenate([[0], np.cumsum(n)]).tolist()
-            texts = list(map(self.windows.text.__getitem__, codes.tolist()))
-            for i, j in zip(edge[:-1], edge[1:]):
-                hashes.append(hashlib.sha256(";".join(texts[i:j]).encode()).hexdigest() if j > i else "")
+            text, width = self.windows.text.of(codes)
+            raw = memoryview(text)
+            edge = np.concatenate([[0], np.cumsum(group_sums(width, n))]).tolist()
+            for i, j in zip(edge[:-1], edge[1:]):  # without the last group's sign
+                hashes.append(hashlib.sha256(raw[i : j - 1]).hexdigest() if j > i else "")
             parts.append((codes, n, n_a, n_b))
         codes, n, n_a, n_b = (np.concatenate(x) for x in zip(*parts))
-        size, doc = len(n), np.repeat(np.arange(len(n)), n)
-        total = lambda values: np.bincount(doc, np.array(values)[codes], size).astype(np.int64)
-        links = self.links(doc, codes)
-        pairs, at = np.unique(links[1], return_inverse=True)
+        size = len(n)
+        doc, key, times = self.links(np.repeat(np.arange(size), n), codes)
+        pairs, at = np.unique(key, return_inverse=True)
         n_docs = np.bincount(at, minlength=len(pairs))
-        edge = np.concatenate([[0], np.cumsum(np.bincount(links[0], minlength=size))])
-        offsets = pa.array(edge, pa.int32())
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=size))]), pa.int32())
         body = pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array(n_a), pa.array(n_b), pa.array(total(self.windows.groups)),
-            pa.array(total(self.windows.links)), pa.array(hashes, pa.string()),
-            pa.ListArray.from_arrays(offsets, pa.array(at, pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(links[2])),
+            batch.column("doc_id"), pa.array(n_a), pa.array(n_b), pa.array(group_sums(self.windows.n_groups.values[codes], n)),
+            pa.array(group_sums(self.windows.n_links.values[codes], n)), pa.array(hashes, pa.string()),
+            pa.ListArray.from_arrays(offsets, pa.array(at, pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(times)),
         ], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pair", "times"])
         found = pa.StructArray.from_arrays(
             [pa.array(pairs >> 32, pa.int32()), pa.array(pairs & 0xFFFFFFFF, pa.int32()), pa.array(n_docs, pa.int32())],
@@ -243,16 +330,12 @@ class Aligner:
 
     def links(self, doc: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Document, pair and occurrences of every linked pair, each pair once a document, in document order."""
-        w = self.windows
         if not len(codes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        used, times = np.unique(doc * len(w.text) + codes, return_counts=True)
-        doc, codes = used // len(w.text), used % len(w.text)
-        edge, keys, every = (np.frombuffer(x, np.int64) for x in (w.edge, w.keys, w.times))
-        begin, count = edge[codes], edge[codes + 1] - edge[codes]
-        keys = runs(keys, begin, count)
-        times = np.repeat(times, count) * runs(every, begin, count)
-        doc = np.repeat(doc, count)
+            return (np.zeros(0, np.int64),) * 3
+        many = self.windows.n_groups.n
+        used, often = np.unique(doc * many + codes, return_counts=True)
+        keys, times, count = self.windows.links.of(used % many)
+        doc, times = np.repeat(used // many, count), np.repeat(often, count) * times
         order = np.lexsort((keys, doc))
         doc, keys, times = doc[order], keys[order], times[order]
         new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (keys[1:] != keys[:-1])]))
