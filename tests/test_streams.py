@@ -11,6 +11,7 @@ from tidegrid.operators import sequence as E
 from tidegrid.operators.quality import DEMAND_CONTRACT
 from tidegrid.sources import files as A
 from tidegrid.sources import streams as R
+from tidegrid.streaming import late as L
 from tidegrid.streaming import stateful as J
 from tidegrid.streaming import windows as K
 from tidegrid.streaming.run import run_available
@@ -88,7 +89,7 @@ def test_demand_and_lookbacks(spark, parts):
     from tidegrid.operators.demand import demand_per_cell
     from tidegrid.operators.lookback import lookback_trailing
 
-    got = run_available(J.stream_lookbacks(K.stream_demand(stream(spark, box), ["k"], "ts", "v"), ["k"]), "t")
+    got = run_available(J.stream_lookbacks(K.stream_demand(stream(spark, box), ["k"], "ts", "v", with_time=True), ["k"]), "t")
     want = lookback_trailing(demand_per_cell(batch, ["k"], "ts", "v", "5 minutes"), ["k"], "feature_window_start", "demand_sum")
     cols = ["k", "feature_window_start", *[F.round(f"demand_last_{m}min", 6) for m in (15, 30, 60, 1440)]]
     assert as_set(got.select(*cols)) == as_set(want.select(*cols))
@@ -155,3 +156,69 @@ def test_rewrites_only_given_dates(spark, tmp_path):
     A.write_features(df, path)
     A.write_features(df.filter("v = 2").withColumn("v", F.lit(9)), path)
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 9]
+
+
+def test_rows_without_time_or_tie(spark, tmp_path):
+    box = str(tmp_path / "in")
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    rows = [(None, "a", at(1), False, 1.0), (2, "a", at(1), False, 1.0), (3, "a", None, False, 1.0), (4, None, at(2), False, 1.0), (9, "z", at(900), True, 0.0)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(box)
+    got = run_available(J.stream_failed_access(stream(spark, box), "k", "ts", "ok", "id", limit=1), "t")
+    assert as_set(got.select("k", "id", "failed_attempts")) == sorted(map(repr, [("a", None, 1), ("a", 2, 2), (None, 4, 1)]))
+    out = run_available(J.stream_entity_state(stream(spark, box), "k", "ok", "v", "ts", "id", ttl_s=60), "t")
+    assert {(r.k, r.kind) for r in out.collect()} == {("a", "updated"), ("a", "expired"), (None, "updated"), (None, "expired"), ("z", "updated")}
+
+
+def _late_box(spark, tmp_path):
+    box = tmp_path / "in"
+    for minutes in ([0, 120], [1, 121, 112], [2, 130, 500], [111, 600]):
+        rows = [(m, "a", T0 + dt.timedelta(minutes=m), False, 1.0) for m in minutes] + [(-1, "a", None, False, 1.0)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(box))
+    return str(box)
+
+
+def test_late_rows_are_kept_and_counted(spark, tmp_path):
+    box, out = _late_box(spark, tmp_path), str(tmp_path / "late")
+    given = stream(spark, box)
+    L.stream_late_rows(given, "ts", out, str(tmp_path / "c")).awaitTermination()
+    kept = {(r.batch_id, r.id, r.reason) for r in L.late_rows(given, out).collect()}
+    assert {k for k in kept if k[2] == "late"} == {(1, 1, "late"), (2, 2, "late"), (3, 111, "late")}
+    assert sum(k[2] == "no time" for k in kept) == 4
+    counts = {r.batch_id: (r.n_rows, r.n_late, r.n_no_time) for r in L.batches(spark, out).collect()}
+    assert counts == {0: (3, 0, 1), 1: (4, 1, 1), 2: (4, 1, 1), 3: (3, 1, 1)}
+    used = run_available(J.stream_failed_access(stream(spark, box), "k", "ts", "ok", "id", limit=1), "t")
+    assert {r.id for r in used.collect()} == {0, 112, 120, 121, 130, 500}  # 600 is still held back
+    # Run again from nothing, the batches overwrite what they wrote.
+    L.stream_late_rows(given, "ts", out, str(tmp_path / "again")).awaitTermination()
+    assert {(r.batch_id, r.id, r.reason) for r in L.late_rows(given, out).collect()} == kept
+
+
+def test_windows_close_a_batch_later(spark, tmp_path):
+    box, out = _late_box(spark, tmp_path), str(tmp_path / "late")
+    given = stream(spark, box)
+    L.stream_late_rows(given, "ts", out, str(tmp_path / "c"), width="5 minutes").awaitTermination()
+    late = {r.id for r in L.late_rows(given, out).filter("reason = 'late'").collect()}
+    used = run_available(K.stream_demand(stream(spark, box), ["k"], "ts", "v"), "t")
+    assert late == {2} and used.agg(F.sum("raw_demand_count")).first()[0] == 10 - 2  # 600 is open yet, 2 is late
+
+
+def test_state_of_a_silent_cell_ends(spark, tmp_path):
+    box = tmp_path / "in"
+    for day, key in ((0, "a"), (1, "b"), (3, "b"), (4, "b"), (5, "b")):
+        rows = [(day, key, T0 + dt.timedelta(days=day), False, 1.0)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(box))
+    state = str(tmp_path / "state")
+    demand = K.stream_demand(stream(spark, str(box)), ["k"], "ts", "v", with_time=True)
+    query = J.stream_lookbacks(demand, ["k"]).writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True)
+    query.start(str(tmp_path / "out")).awaitTermination()
+    ring = spark.read.format("statestore").option("path", state).option("operatorId", 0).option("stateVarName", "ring").load()
+    assert {r.key.k for r in ring.collect()} <= {"b"} and ring.count() <= 1
+    assert spark.read.parquet(str(tmp_path / "out")).count() >= 4
+
+
+def test_waiting_rows_lie_in_time_buckets(spark, parts, monkeypatch):
+    box, batch = parts
+    monkeypatch.setattr(J, "BUCKET_MS", 7_000)
+    got = run_available(J.stream_failed_access(stream(spark, box), "k", "ts", "ok", "id"), "t")
+    want = E.failed_access_streak(batch, "k", "ts", "ok", ["id"]).filter("alert")
+    assert as_set(got.select("id", "failed_attempts")) == as_set(want.select("id", "failed_attempts"))

@@ -18,27 +18,103 @@ from tidegrid.sources import tables as S
 from tidegrid.sources.streams import read_event_stream, write_event_stream
 from tidegrid.streaming import stateful as J
 from tidegrid.streaming import windows as K
+from tidegrid.streaming.late import batches, late_rows, stream_late_rows
 from tidegrid.streaming.run import run_available
 
 
-_ARRIVED: dict[tuple[str, str], str] = {}
+_ARRIVED: dict[tuple[str, str, str], str] = {}
 
 
 def event_stream(spark, sf, at_once=False):
-    """The events as three files that arrived one after the other, a micro-batch each, or all at once
-    for what reports once per micro-batch."""
+    """The events as three arrivals, one after the other, a micro-batch each, or all at once for what reports once
+    per micro-batch. Events without a time come with the last."""
     events = S.table(spark, sf, "events")
     if at_once:
         where = {"path": sf, "pathGlobFilter": "events.parquet"}
         return S.ride_events(spark, sf, read_event_stream(spark, "parquet", events.schema, where))
-    known = (spark.sparkContext.applicationId, sf)
+    day = F.dayofmonth("ts")
+    return S.ride_events(spark, sf, _arrivals(spark, sf, "in order", F.when(day <= 10, 1).when(day <= 20, 2).otherwise(3)))
+
+
+#: Files of an arrival; a micro-batch takes as many.
+FILES = 4
+
+
+def _arrivals(spark, sf, name, part):
+    """The events as a stream, in the micro-batches 1 to 3 that ``part`` says."""
+    events = S.table(spark, sf, "events")
+    known = (spark.sparkContext.applicationId, sf, name)
     if known not in _ARRIVED:
         _ARRIVED[known] = path = scratch_path(spark, "arrived")
-        day = F.dayofmonth("ts")
-        for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
-            events.filter(part).coalesce(1).write.mode("append").parquet(path)
-    raw = read_event_stream(spark, "parquet", events.schema, {"path": _ARRIVED[known]}, max_per_trigger=1)
-    return S.ride_events(spark, sf, raw)
+        for i in (1, 2, 3):
+            events.filter(part == i).repartition(FILES).write.mode("append").parquet(path)
+    return read_event_stream(spark, "parquet", events.schema, {"path": _ARRIVED[known]}, max_per_trigger=FILES)
+
+
+# Late arrivals: each 7th event comes two arrivals after its day, each 11th of the others has lost its time.
+LATE_PART = F.when(F.dayofmonth("ts") <= 10, 1).when(F.dayofmonth("ts") <= 20, 2).otherwise(3)
+
+
+def _late_stream(spark, sf):
+    """Events of which some come after their time and some have none."""
+    part = F.when(F.col("event_id") % 7 == 0, F.lit(3)).otherwise(LATE_PART)
+    raw = _arrivals(spark, sf, "late", part)
+    return raw.withColumn("ts", F.when((F.col("event_id") % 7 == 0) | (F.col("event_id") % 11 != 0), F.col("ts")))
+
+
+_LATE = """timed AS (SELECT event_id, user_id, event_type, "value", CASE WHEN event_id % 7 = 0 OR event_id % 11 <> 0 THEN ts END AS ts,
+    CASE WHEN event_id % 7 = 0 THEN 3 WHEN day(ts) <= 10 THEN 1 WHEN day(ts) <= 20 THEN 2 ELSE 3 END AS part FROM events),
+  marks AS (SELECT p.part, coalesce((SELECT max(epoch_ms(t.ts)) FROM timed t WHERE t.part < p.part) - 600000, 0) AS mark_ms,
+    coalesce((SELECT max(epoch_ms(t.ts)) FROM timed t WHERE t.part < p.part - 1) - 600000, 0) AS before_ms
+    FROM (SELECT unnest([1, 2, 3]) AS part) p)"""
+
+
+def _left_out(spark, sf, width=None):
+    path, given = scratch_path(spark, "late"), _late_stream(spark, sf)
+    stream_late_rows(given, "ts", path, scratch_path(spark, "late-state"), width=width).awaitTermination()
+    return late_rows(given, path), batches(spark, path)
+
+
+@query("j1_late_rows", f"""WITH {_LATE} SELECT event_id, part - 1 AS batch_id, CASE WHEN ts IS NULL THEN 'no time' ELSE 'late' END AS reason
+  FROM timed JOIN marks USING (part) WHERE ts IS NULL OR epoch_ms(time_bucket(interval 5 minute, ts) + interval 5 minute) <= before_ms""")
+def _(spark, sf):
+    """What the 5-minute windows of a stream with late and untimed events leave out."""
+    return _left_out(spark, sf, "5 minutes")[0].select("event_id", F.col("batch_id").cast("int").alias("batch_id"), "reason")
+
+
+@query("j4_late_rows", f"""WITH {_LATE} SELECT event_id, part - 1 AS batch_id, CASE WHEN ts IS NULL THEN 'no time' ELSE 'late' END AS reason
+  FROM timed JOIN marks USING (part) WHERE ts IS NULL OR epoch_ms(ts) <= mark_ms""")
+def _(spark, sf):
+    """What a stream with state per key leaves out."""
+    return _left_out(spark, sf)[0].select("event_id", F.col("batch_id").cast("int").alias("batch_id"), "reason")
+
+
+@query("j4_late_counts", f"""WITH {_LATE} SELECT part - 1 AS batch_id, mark_ms, count(*) AS n_rows, count(*) FILTER (ts IS NULL) AS n_no_time,
+  count(*) FILTER (epoch_ms(ts) <= mark_ms) AS n_late FROM timed JOIN marks USING (part) GROUP BY part, mark_ms""")
+def _(spark, sf):
+    out = _left_out(spark, sf)[1].filter("n_rows > 0")
+    return out.select(F.col("batch_id").cast("int").alias("batch_id"), "mark_ms", "n_rows", "n_no_time", "n_late")
+
+
+@query("j1_demand_without_late_rows", f"""WITH {_LATE} SELECT time_bucket(interval 5 minute, ts) AS feature_window_start, user_id,
+    count("value") AS raw_demand_count FROM timed JOIN marks USING (part)
+  WHERE epoch_ms(time_bucket(interval 5 minute, ts) + interval 5 minute) > before_ms
+    AND epoch_ms(time_bucket(interval 5 minute, ts) + interval 5 minute) <= (SELECT max(epoch_ms(ts)) FROM timed) - 600000 GROUP BY ALL""")
+def _(spark, sf):
+    """Windows over what is left: what the side table holds and what the stream used are all events."""
+    out = K.stream_demand(_late_stream(spark, sf), ["user_id"], "ts", "value")
+    return run_available(out, "late-demand").select("feature_window_start", "user_id", "raw_demand_count")
+
+
+@query("j4_streaks_without_late_rows", f"""WITH {_LATE}, e AS (SELECT timed.* FROM timed JOIN marks USING (part)
+    WHERE epoch_ms(ts) > mark_ms AND epoch_ms(ts) <= (SELECT max(epoch_ms(ts)) FROM timed) - 600000),
+  g AS (SELECT *, sum((event_type <> 'error')::int) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM e),
+  s AS (SELECT *, count(*) FILTER (event_type = 'error') OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS n FROM g)
+  SELECT user_id, ts, event_id, n AS failed_attempts FROM s WHERE event_type = 'error' AND n >= 2""")
+def _(spark, sf):
+    """Streaks over what is left: what the side table holds and what the stream used are all events."""
+    e = _late_stream(spark, sf).withColumn("ok", F.col("event_type") != "error")
+    return run_available(J.stream_failed_access(e, "user_id", "ts", "ok", "event_id", limit=2), "late-streaks")
 
 
 CLOSED = "(SELECT max(ts) FROM events) - interval 10 minute"
@@ -49,9 +125,9 @@ _SLOTS = f"""{V.GRID}, slots AS (SELECT grid_id_latitude, grid_id_longitude, tim
     FROM grid WHERE time_bucket(interval 5 minute, ts) + interval 5 minute <= {CLOSED} GROUP BY ALL)"""
 
 
-def _demand(spark, sf):
+def _demand(spark, sf, with_time=False):
     cells = grid_cell(event_stream(spark, sf), "lat", "lon")
-    return K.stream_demand(cells, D.CELL, "ts", "demand")
+    return K.stream_demand(cells, D.CELL, "ts", "demand", with_time=with_time)
 
 
 @query("j1_stream_demand", f"""WITH {_SLOTS} SELECT * REPLACE (round(demand_avg, 6) AS demand_avg),
@@ -63,7 +139,7 @@ def _(spark, sf):
 @query("j2_stream_lookbacks", f"""WITH {_SLOTS} SELECT {V.CELL_KEY}, feature_window_start,
   demand_current_5min::double AS demand_current_5min, {V.trailing(V.CELL_KEY, 'feature_window_start', 'demand_current_5min')} FROM slots""")
 def _(spark, sf):
-    return run_available(J.stream_lookbacks(_demand(spark, sf), D.CELL), "lookbacks")
+    return run_available(J.stream_lookbacks(_demand(spark, sf, with_time=True), D.CELL), "lookbacks")
 
 
 @query("j3_stream_flash_insight", f"""WITH {V.RIDES}, placed AS (SELECT zone, ts, time_bucket(interval 600 second, ts) AS tick FROM rides),

@@ -20,41 +20,60 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidegrid.functions.columns import event_time
 
 
+#: Width of the time buckets that rows wait in.
+BUCKET_MS = 60_000
+#: Stands for a tie that is null: before all others.
+NO_TIE = -(2**63)
+
+
 class InOrder(StatefulProcessor):
-    """Buffer rows, release them in order of (time, tie), hand them to ``apply``."""
+    """Hold rows back, release them in order of (time, tie), hand them to ``apply``.
+
+    Rows wait in time buckets and a timer knows its bucket, so what a timer costs depends on the rows of that bucket and not on
+    all that wait. Timers of a key come in order of time.
+    """
 
     def __init__(self, key: Sequence[str], payload: str, state: str):
         self.key, self.payload, self.state = list(key), payload, state
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", f"at long, tie long, {self.payload}")
+        fields = [f.split() for f in self.payload.split(",")]
+        self.columns = ["at", "tie", *(f[0] for f in fields)]
+        lists = ", ".join(f"{name} array<{kind}>" for name, kind in [("at", "long"), ("tie", "long"), *fields])
+        self.waiting = handle.getMapState("waiting", "bucket long", lists)
         self.value = handle.getValueState("value", self.state)
-        self.columns = [f.split()[0] for f in self.payload.split(",")]
+
+    def _put(self, bucket: int, rows: list[tuple]) -> None:
+        self.waiting.updateValue((bucket,), tuple(list(c) for c in zip(*rows)))
+        self.handle.registerTimer(min(r[0] for r in rows) // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
-        fresh = []
+        fresh: dict[int, list[tuple]] = {}
         for pdf in rows:
-            pdf = pdf[pdf["at"] // 1000 > mark]
-            fresh += zip(*[pdf[c].tolist() for c in ("at", "tie", *self.columns)])
-        if fresh:
-            self.waiting.appendList(fresh)
-            self.handle.registerTimer(min(r[0] for r in fresh) // 1000)
+            pdf = pdf[pdf["at"] // 1000 > mark]  # stream_late_rows keeps the others
+            for row in zip(*[pdf[c].tolist() for c in self.columns]):
+                fresh.setdefault(row[0] // 1000 // BUCKET_MS, []).append(row)
+        for bucket, new in fresh.items():
+            if self.waiting.containsKey((bucket,)):
+                new = [*zip(*self.waiting.getValue((bucket,))), *new]
+            self._put(bucket, new)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        bucket = expiredTimerInfo.getExpiryTimeInMs() // BUCKET_MS
+        if not self.waiting.containsKey((bucket,)):
+            return
         mark = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(self.waiting.get()) if self.waiting.exists() else []
+        rows = sorted(zip(*self.waiting.getValue((bucket,))))
         due = [r for r in rows if r[0] // 1000 <= mark]
-        later = rows[len(due):]
         if not due:
             return
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(later[0][0] // 1000)
+        if len(due) < len(rows):
+            self._put(bucket, rows[len(due):])
         else:
-            self.waiting.clear()
+            self.waiting.removeKey((bucket,))
         out = self.apply(due)
         for i, k in enumerate(self.key):
             out.insert(i, k, key[i])
@@ -62,6 +81,7 @@ class InOrder(StatefulProcessor):
             yield out
 
     def apply(self, rows: list[tuple]) -> pd.DataFrame:
+        """Take in rows that are next in order; the rows to send."""
         raise NotImplementedError
 
     def close(self) -> None:
@@ -74,20 +94,22 @@ def _in_order(
 ) -> DataFrame:
     rows = (
         df.withColumn(ts, event_time(ts))
+        .filter(F.col(ts).isNotNull())  # stream_late_rows keeps these
         .withWatermark(ts, watermark)
         .select(
-            *key, ts, F.unix_micros(ts).alias("at"), F.col(tie).cast("long").alias("tie"),
+            *key, ts, F.unix_micros(ts).alias("at"), F.coalesce(F.col(tie).cast("long"), F.lit(NO_TIE)).alias("tie"),
             *[c.alias(n) for n, c in payload.items()],
         )
     )
     keys = T.StructType([rows.schema[k] for k in key])
     schema = T.StructType(keys.fields + T._parse_datatype_string(output).fields)
-    return (
+    out = (
         rows.groupBy(*key)
         .transformWithStateInPandas(processor, schema, "Append", "EventTime")
         .withColumn(ts, F.timestamp_micros("at"))
         .drop("at")
     )
+    return out.withColumn("tie", F.nullif("tie", F.lit(NO_TIE))) if "tie" in out.columns else out
 
 
 class _Streaks(InOrder):
@@ -186,14 +208,19 @@ def stream_outlier(
 
 class _Lookbacks(StatefulProcessor):
     """Ring of (window start, sum) over the longest horizon. The windows that arrive are final and
-    later batches bring later windows, so sorting inside a batch is enough."""
+    later batches bring later windows, so sorting inside a batch is enough. A timer at the end of the horizon
+    clears the ring of a cell that has fallen silent."""
 
     def __init__(self, key, minutes):
         self.key, self.minutes = list(key), list(minutes)
 
     def init(self, handle):
+        self.handle = handle
         self.ring = handle.getValueState("ring", "starts array<long>, sums array<double>")
 
+    def _end(self, start_s: int) -> int:
+        return (start_s + 60 * max(self.minutes)) * 1000
+
     def handleInputRows(self, key, rows, timerValues):
         pdf = pd.concat(list(rows)).sort_values("start_s", kind="stable").reset_index(drop=True)
         starts, sums = self.ring.get() if self.ring.exists() else ([], [])
@@ -207,23 +234,32 @@ class _Lookbacks(StatefulProcessor):
             low = np.searchsorted(t, t[here] - 60 * m)
             out[f"demand_last_{m}min"] = upto[here] - upto[low]
         keep = t > t[-1] - 60 * max(self.minutes)
+        if old:
+            self.handle.deleteTimer(self._end(starts[-1]))
+        self.handle.registerTimer(self._end(int(t[-1])))
         self.ring.update((t[keep].tolist(), v[keep].tolist()))
         for i, k in enumerate(self.key):
             out.insert(i, k, key[i])
         yield out
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.ring.exists() and self._end(self.ring.get()[0][-1]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.ring.clear()
+        return iter(())
+
     def close(self):
         pass
 
 
 def stream_lookbacks(
     demand: DataFrame, key: Sequence[str], start: str = "feature_window_start",
-    value: str = "demand_current_5min", minutes: Sequence[int] = (15, 30, 60, 1440),
+    value: str = "demand_current_5min", minutes: Sequence[int] = (15, 30, 60, 1440), closed: str = "window_time",
 ) -> DataFrame:
     """Trailing sums over the final windows of ``stream_demand``. A key brings one row per window,
-    however many events it has."""
+    however many events it has. ``closed`` is the windows' event time (``stream_demand(..., with_time=True)``), by which
+    the state of a key ends the longest horizon after its last window."""
     rows = demand.select(
-        *key, start, F.unix_seconds(start).alias("start_s"), F.col(value).cast("double").alias("demand")
+        *key, closed, F.unix_seconds(start).alias("start_s"), F.col(value).cast("double").alias("demand")
     )
     fields = [rows.schema[k] for k in key] + [
         T.StructField("start_s", T.LongType()), T.StructField("demand", T.DoubleType()),
@@ -231,7 +267,7 @@ def stream_lookbacks(
     ]
     return (
         rows.groupBy(*key)
-        .transformWithStateInPandas(_Lookbacks(key, minutes), T.StructType(fields), "Append", "None")
+        .transformWithStateInPandas(_Lookbacks(key, minutes), T.StructType(fields), "Append", "EventTime")
         .withColumn(start, F.timestamp_seconds("start_s"))
         .withColumnRenamed("demand", value)
         .drop("start_s")
@@ -290,10 +326,11 @@ def stream_entity_state(
     an entity expires. ``state`` is JSON text component -> value."""
     rows = (
         df.withColumn(ts, event_time(ts))
+        .filter(F.col(ts).isNotNull())  # stream_late_rows keeps these
         .withWatermark(ts, watermark)
         .select(
             entity, ts, F.col(component).alias("component"), F.col(value).cast("string").alias("value"),
-            F.unix_micros(ts).alias("at"), F.col(tie).cast("long").alias("tie"),
+            F.unix_micros(ts).alias("at"), F.coalesce(F.col(tie).cast("long"), F.lit(NO_TIE)).alias("tie"),
         )
     )
     schema = T.StructType(

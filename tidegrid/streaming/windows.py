@@ -20,10 +20,12 @@ def stream_demand(
     value: str,
     width: str = "5 minutes",
     watermark: str = "10 minutes",
+    with_time: bool = False,
 ) -> DataFrame:
     """Demand per key and tumbling window: sum, count, average. Partial sums are made before the
     shuffle into the state. The calendar flags follow from the window, so they are added after
-    the aggregate and need no place in the state key."""
+    the aggregate and need no place in the state key. ``with_time`` adds ``window_time``, the event time that a
+    stateful operator after this one needs."""
     agg = (
         df.withColumn(ts, event_time(ts))
         .withWatermark(ts, watermark)
@@ -42,6 +44,7 @@ def stream_demand(
         "demand_current_5min",
         "raw_demand_count",
         "demand_avg",
+        *([F.window_time("window").alias("window_time")] if with_time else []),
     )
 
 
