@@ -139,13 +139,13 @@ def exact_quantiles(
     No sort of a column and no shuffle of rows. A sketch of a draw brackets each rank; one aggregate counts
     what lies below, at and between the ends of the bracket, which gives the value, a bracket some sixty
     times narrower, or (if the draw missed the rank) the other side. Once a bracket should hold few
-    values they are fetched with the counts. All columns and probabilities share the scans: three up to
-    some 600,000 rows, one more for every factor of sixty.
+    values they are fetched with the counts. All columns and probabilities share the scans: two up to
+    some 600,000 rows (and a count of rows), one more for every factor of sixty.
     """
     value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
-    sizes = df.agg(*[F.count(value[c]) for c in cols]).first()
+    rows = df.count()  # a file scan answers this from its footers; values that are unknown only make the draw smaller
     df = df.select(*cols, F.rand(1).alias(DRAW))
-    first = [*sizes, *df.agg(*[_marks(value[c], n) for c, n in zip(cols, sizes)]).first()]
+    first = df.agg(*[F.count(value[c]) for c in cols], *[_marks(value[c], rows) for c in cols]).first()
     wanted, ranks = [], {}
     for i, c in enumerate(cols):
         n, marks = first[i], first[len(cols) + i]

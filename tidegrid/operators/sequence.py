@@ -21,6 +21,7 @@ from tidegrid.operators.chunks import (
     range_chunks,
     row_blocks,
 )
+from tidegrid.session import durable
 
 #: How many folded pieces are folded into one at a time.
 FAN_IN = 256
@@ -150,7 +151,8 @@ def elasticity(
         return level.groupBy(*by).agg(parts.alias("_parts")).select(*by, whole.alias("_f"))
 
     rows = F.array_sort(F.collect_list(F.struct(F.col("_rn").alias("o"), F.col("_b").alias("b"))))
-    blocks = (
+    # A row per block, written once: its number of blocks and the levels above are read from it.
+    blocks = durable(
         steps.groupBy(*key, CHUNK, "_block")
         .agg(rows.alias("_rows"))
         .select(*key, CHUNK, "_block", F.aggregate("_rows", nothing, then_step).alias("_f"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidegrid.operators import asof as A
 from tidegrid.operators import decide as R
@@ -170,6 +171,24 @@ def _(spark, sf):
     return N.lineage_impact(N.lineage_edges(S.lineage_events(spark, sf)), "supplier/1")
 
 
+@query("f9_lineage_deep", """WITH o AS (SELECT o_orderkey, o_custkey, row_number() OVER w AS rn, count(*) OVER (PARTITION BY o_custkey) AS n
+    FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+  most AS (SELECT o_custkey FROM o ORDER BY n DESC, o_custkey LIMIT 1)
+  SELECT 'order/' || o_orderkey AS node, (rn - 1)::int AS depth FROM o JOIN most USING (o_custkey) WHERE rn > 1""")
+def _(spark, sf):
+    """Each order follows the one before of its customer; what follows the first order of the customer with the most."""
+    orders = S.table(spark, sf, "orders")
+    order = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    name = lambda c: F.concat(F.lit("order/"), F.col(c).cast("string"))
+    edges = orders.withColumn("next", F.lead("o_orderkey").over(order)).filter("next IS NOT NULL").select(
+        name("o_orderkey").alias("src"), name("next").alias("dst")
+    )
+    most = orders.groupBy("o_custkey").agg(
+        F.count("*").alias("n"), F.min_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("first")
+    ).orderBy(F.desc("n"), "o_custkey").first()
+    return N.lineage_impact(edges, f"order/{most['first']}" if most else "")
+
+
 @query("f9_lineage_upstream", _closure("customer/1", "dst", "src"))
 def _(spark, sf):
     return N.lineage_impact(N.lineage_edges(S.lineage_events(spark, sf)), "customer/1", "upstream")
