@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import time
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidegrid.llm import (
-    chat, components, decontaminate, html_extract, line_dedup, mixing, near_dedup, queries, quality, substring_dedup, topk_search, words,
+    chat, components, decontaminate, html_extract, language_id, line_dedup, mixing, near_dedup, queries, quality, substring_dedup, topk_search, words,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -426,6 +427,105 @@ def test_language_held_out(spark):
     assert len(out) > 200 and np.mean([r.lang_pred == r.lang for r in out]) > 0.97
 
 
+def plain_vector(text):
+    """Counted one- and two-word sequences and repeats of a text of plain words, as a unit vector."""
+    w = text.split()
+    count = collections.Counter([(x,) for x in w] + list(zip(w, w[1:])))
+    for back in (1, 2):
+        count["again", back, None] = sum(x == y for x, y in zip(w, w[back:]))
+    values = {k: math.log1p(n) for k, n in count.items() if n}
+    length = math.sqrt(sum(v * v for v in values.values()))
+    return {k: v / length for k, v in values.items()}
+
+
+def plain_leader(rows, rounds=3, alpha=0.5, beta=1.0, l1=0.01, l2=0.1):
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(k):
+        if abs(z[k]) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    for _ in range(rounds):
+        for text, label in rows:
+            x = plain_vector(text) | {"bias": 1.0}
+            old = {k: weight(k) for k in x}
+            miss = 1 / (1 + math.exp(-sum(old[k] * v for k, v in x.items()))) - label
+            for k, v in x.items():
+                g = miss * v
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / alpha * old[k]
+                n[k] += g * g
+    return lambda text: 1 / (1 + math.exp(-sum(weight(k) * v for k, v in (plain_vector(text) | {"bias": 1.0}).items())))
+
+
+def test_quality_equals_a_plain_learner(spark):
+    rng = random.Random(8)
+    good, bad = [f"good{chr(97 + i)}" for i in range(5)], [f"bad{chr(97 + i)}" for i in range(5)]
+    rows = []
+    for i in range(80):
+        label = i % 2
+        rows.append((i, " ".join(rng.choice(good + (bad if rng.random() < 0.3 else []) if label else bad + good[:3]) for _ in range(rng.randrange(1, 40))), label))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(3)
+    weights = quality.train(quality.labelled_sample(docs.drop("label"), docs.drop("text")))
+    got = {r.doc_id: r.score for r in quality.score(docs, weights).collect()}
+    plain = plain_leader([(t, y) for _, t, y in sorted(rows, key=lambda r: quality._order({"doc_id": r[0]}))])
+    for i, text, _ in rows:
+        assert got[i] == pytest.approx(plain(text), abs=1e-4)
+
+
+def plain_language(model, text, bits):
+    """Family, then votes of its pairs, by loops over the text's letter trigrams."""
+    clean = "".join(chr(b) if 97 <= b < 123 or b >= 128 else " " for b in f" {text.lower()} ".encode())
+    codes = [[ord(c) for c in clean[i : i + 3]] for i in range(len(clean) - 2) if clean[i : i + 3] != "   "]
+    bins = collections.Counter(((a << 16 | b << 8 | c) * 0x9E3779B1 % 2**32) >> (32 - bits) for a, b, c in codes)
+    sums = [sum(n * float(w[b]) for b, n in bins.items()) * language_id.SCALE / max(1, len(codes)) + float(w[-1]) for w in model.weights.T]
+    chance = lambda m: 1 / (1 + math.exp(-2 * m))
+    likely = [chance(m) for m in sums[: len(model.families)]]
+    family = max(range(len(likely)), key=lambda i: likely[i])
+    own = [i for i, f in enumerate(model.of) if f == model.families[family]]
+    votes, belief, met = collections.Counter(), collections.Counter(), collections.Counter()
+    for (i, j), m in zip(model.pairs, sums[len(model.families) :]):
+        votes[i if m > 0 else j] += 1
+        for x, p in ((i, chance(m)), (j, 1 - chance(m))):
+            votes[x] += 1e-6 * p
+            belief[x] += p
+            met[x] += 1
+    best = max(own, key=lambda i: (votes[i], -i))
+    share = likely[family] / sum(likely) if len(likely) > 1 else 1.0
+    return model.languages[best], share * (belief[best] / met[best] if met[best] else 1.0)
+
+
+def test_language_equals_plain_votes(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.train(language_id.language_sample(docs, 30))
+    got = language_id.identify(docs, model).collect()
+    for r in got:
+        if r.text and any(c.isalpha() for c in r.text):
+            lang, score = plain_language(model, r.text, language_id.BITS)
+            assert (r.lang_pred, pytest.approx(r.score, abs=1e-6)) == (lang, score)
+
+
+def test_separating_planes_equal_a_plain_descent():
+    rng = np.random.default_rng(0)
+    rows = [(np.sort(rng.choice(12, 4, replace=False)), rng.random(4)) for _ in range(40)]
+    labels = np.where([v[0] > 0.4 for _, v in rows], 1.0, -1.0)
+    w = language_id.fit_svm(rows, labels, 12, rounds=2)
+    dense, dual = np.array([np.append(np.bincount(b, v, 12), 1.0) for b, v in rows]), np.zeros(40)
+    cap = {1.0: (labels < 0).mean(), -1.0: (labels > 0).mean()}
+    for _ in range(2):
+        for i in np.random.default_rng(0).permutation(40):
+            margin = labels[i] * ((dual * labels) @ dense @ dense[i])
+            dual[i] = min(max(dual[i] - (margin - 1) / (dense[i] @ dense[i]), 0.0), cap[labels[i]])
+    assert w == pytest.approx((dual * labels) @ dense)
+
+
+def test_language_ties():
+    model = language_id.Model(["de", "en", "es", "fr"], np.zeros((3, 4)))
+    assert model.families == ["germanic", "romance"] and model.pairs == [(0, 1), (2, 3)]
+    found, _ = model.predict(np.array([[0.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [1.0, 1.0, 0.5, -1.0], [1.0, 0.0, -0.1, 0.0]]))
+    assert found == ["en", "fr", "de", "en"]
+
+
 def test_held_out_rows(spark):
     import zlib
 

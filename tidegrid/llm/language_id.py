@@ -9,7 +9,8 @@ fixed order in one task. The model has one column of ``2 ** BITS`` weights per c
 weights per text, in Arrow batches, without a shuffle.
 
 Defined cases: ``und`` with score 0 if the text is null or has no letter, or nothing could be learned; texts without
-a known trigram fall to the largest bias; documents without a language are not learned from; repeated rows get the same
+a known trigram fall to the largest bias; of equally likely families the first by name is taken, of equal votes within it
+the first language by code, and a pair whose margin is 0 votes for the later of its two; documents without a language are not learned from; repeated rows get the same
 answer; an empty table gives no rows; further columns stay, except that ``lang_pred`` and ``score`` are replaced.
 """
 
