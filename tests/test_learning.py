@@ -127,7 +127,7 @@ def plain_boost(x, y, rounds, rate, depth, penalty=1.0):
     return score
 
 
-@pytest.mark.parametrize("block_rows,fan_in,keep", [(1 << 16, 64, 20), (50, 2, 2)])
+@pytest.mark.parametrize("block_rows,fan_in,keep", [(1 << 17, 64, 20), (50, 2, 2)])
 def test_trees_equal_plain_boosting(spark, monkeypatch, block_rows, fan_in, keep):
     for name, value in (("BLOCK_ROWS", block_rows), ("FAN_IN", fan_in), ("KEEP", keep)):
         monkeypatch.setattr(B, name, value)
@@ -147,7 +147,7 @@ def test_trials_grow_as_they_would_alone(spark, monkeypatch):
     df = spark.createDataFrame([*rows, (0.5, 0.5, None), (float("nan"), 0.5, 1.0)], "a double, b double, y double").repartition(3)
     some = [(5, 0.3, 2, 0.8, 0.5, 1), (9, 0.1, 4, 1.0, 1.0, 2), (2, 0.5, 1, 0.6, 1.0, 3), (3, 0.2, 0, 1.0, 1.0, 4)]
     errors = {}
-    for size in (1 << 16, 100):
+    for size in (1 << 17, 100):
         monkeypatch.setattr(B, "BLOCK_ROWS", size)
         together = [B.Trial(*t) for t in some]
         B.grow(df, ["a", "b"], "y", together, held_out=0.25)

@@ -38,7 +38,7 @@ from tidegrid.session import scratch_path
 KEEP = 20
 #: Tasks whose sums the driver adds itself; sums of more are combined on executors first.
 FAN_IN = 64
-BLOCK_ROWS = 1 << 16
+BLOCK_ROWS = 1 << 17
 BLOCKS = "block long, n int, bins binary, label binary, test binary, score binary"
 #: Bytes of predictions that a worker keeps from pass to pass; what it does not have it works out again.
 CACHE_BYTES = 128 << 20
@@ -181,21 +181,32 @@ def packed_blocks(df: DataFrame, cols: Sequence[str], label: str, edges: list[np
     """Rows in blocks of ``BLOCKS`` (without scores); in a block they stand in the order of a hash of their values."""
     width = np.uint8 if max(map(len, edges)) < 254 else np.uint16
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done = TaskContext.get().partitionId(), 0
+    limit = BLOCK_ROWS
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
         for batch in batches:
-            for begin in range(0, batch.num_rows, BLOCK_ROWS):
-                piece = batch.slice(begin, BLOCK_ROWS)
-                order = np.argsort(piece.column("_h").to_numpy(), kind="stable")
-                x = [piece.column(f"_{i}").to_numpy(zero_copy_only=False)[order] for i in range(len(edges))]
-                packed = [np.where(np.isnan(v), len(e) + 1, np.searchsorted(e, v)).astype(width) for v, e in zip(x, edges)]
-                test = np.random.default_rng([seed, part, done]).random(len(order)) < held_out
-                y = piece.column("_y").to_numpy(zero_copy_only=False)[order]
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([part << 32 | done]), "n": pa.array([len(order)], pa.int32()),
-                    "bins": [np.stack(packed).tobytes()], "label": [y.tobytes()], "test": [test.tobytes()], "score": [b""],
-                })
-                done += 1
+            waiting.append(batch)
+            n += batch.num_rows
+            while n >= limit:
+                whole = pa.concat_batches(waiting)
+                yield whole.slice(0, limit)
+                waiting, n = [whole.slice(limit)], n - limit
+        if n:
+            yield pa.concat_batches(waiting)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for done, piece in enumerate(gathered(batches)):
+            order = np.argsort(piece.column("_h").to_numpy(), kind="stable")
+            x = [piece.column(f"_{i}").to_numpy(zero_copy_only=False)[order] for i in range(len(edges))]
+            packed = [np.where(np.isnan(v), len(e) + 1, np.searchsorted(e, v)).astype(width) for v, e in zip(x, edges)]
+            test = np.random.default_rng([seed, part, done]).random(len(order)) < held_out
+            y = piece.column("_y").to_numpy(zero_copy_only=False)[order]
+            yield pa.RecordBatch.from_pydict({
+                "block": pa.array([part << 32 | done]), "n": pa.array([len(order)], pa.int32()),
+                "bins": [np.stack(packed).tobytes()], "label": [y.tobytes()], "test": [test.tobytes()], "score": [b""],
+            })
 
     rows = df.select(
         *[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"_{i}") for i, c in enumerate(cols)],

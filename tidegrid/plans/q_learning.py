@@ -114,6 +114,18 @@ def _(spark, sf):
     return T.permutation_importance(_features(spark, sf), _trained(spark, sf)[0], S.FEATURES, TARGET, KEY)
 
 
+@query("i3_permutation_holds", f"""SELECT {len(S.FEATURES)}::bigint AS features, true AS errors_are_positive, true AS rises_differ_by_error,
+  true AS the_best_counts""")
+def _(spark, sf):
+    """A row per feature; rises are errors less one base; some feature matters."""
+    out = T.permutation_importance(_features(spark, sf), _trained(spark, sf)[0], S.FEATURES, TARGET, KEY)
+    base = F.col("rmse") - F.col("rmse_rise")
+    return out.agg(
+        F.count_distinct("feature").alias("features"), F.bool_and(F.col("rmse") > 0).alias("errors_are_positive"),
+        (F.max(base) - F.min(base) < 1e-9).alias("rises_differ_by_error"), (F.max("rmse_rise") > 0).alias("the_best_counts"),
+    )
+
+
 def _search(spark, sf):
     known = ("search", spark.sparkContext.applicationId, sf)
     if known not in _SAVED:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegrid.operators import distribution as X
+from tidegrid.operators import sketches as Y
 from tidegrid.operators import quality as Q
 from tidegrid.plans import views as V
 from tidegrid.plans.registry import query
+from tidegrid.session import scratch_path
 from tidegrid.sources import tables as S
 
 GAPPY = """gappy AS (SELECT l_orderkey, l_linenumber, l_partkey,
@@ -320,6 +322,24 @@ def _(spark, sf):
     return rounded(X.drift_report(cur, base, DRIFT_COLS), ["ks_statistic", "ks_pvalue", *_WS_COLS])
 
 
+@query("d6_sketched_drift", f"""{_CDF} SELECT feature, n_current, n_baseline, true AS ks_within_error, true AS distance_within_error,
+  true AS error_is_small FROM p""")
+def _(spark, sf):
+    """The report over the two periods from stored sketches of their days, held against the exact one."""
+    cur, base = S.drift_pair(spark, sf)
+    path = scratch_path(spark, "sketches")
+    Y.write_sketches(base.unionAll(cur), DRIFT_COLS, "l_shipdate", path)
+    report = Y.sketched_drift(Y.read_sketches(spark, path, "1999-01-01", "9999-12-31"), Y.read_sketches(spark, path, "0001-01-01", "1998-12-31"))
+    exact = X.drift_report(cur, base, DRIFT_COLS).select(
+        "feature", F.col("ks_statistic").alias("_ks"), F.col("normalized_wasserstein_distance").alias("_ws")
+    )
+    return report.join(exact, "feature").select(
+        "feature", "n_current", "n_baseline", (F.abs(F.col("ks_statistic") - F.col("_ks")) <= F.col("ks_error")).alias("ks_within_error"),
+        (F.abs(F.col("normalized_wasserstein_distance") - F.col("_ws")) <= F.col("ks_error")).alias("distance_within_error"),
+        (F.col("ks_error") < 0.01).alias("error_is_small"),
+    )
+
+
 @query("e10_zscore_outlier", """WITH s AS (SELECT avg("value") AS m, stddev_samp("value") AS sd FROM events)
   SELECT event_id, round(("value" - m) / sd, 6) AS value_zscore, abs(("value" - m) / sd) > 3 AS is_outlier FROM events, s""")
 def _(spark, sf):
