@@ -25,9 +25,10 @@ def rank_error(k: int) -> float:
     return 2.446 / k**0.9433
 
 
-def day_sketches(df: DataFrame, cols: Sequence[str], ts: str, k: int = K) -> DataFrame:
-    """``feature, n, low, high, sketch, day`` of the known values; rows without a time are of no day and left out."""
-    by_day = df.filter(F.col(ts).isNotNull()).withColumn("_day", F.to_date(ts))
+def day_sketches(df: DataFrame, cols: Sequence[str], ts: str, k: int = K, unit: str = "day") -> DataFrame:
+    """``feature, n, low, high, sketch, day`` of the known values; rows without a time are of no day and left out. With another
+    ``unit`` (week, month) ``day`` is its first."""
+    by_day = df.filter(F.col(ts).isNotNull()).withColumn("_day", F.to_date(F.date_trunc(unit, ts)))
     values = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
     rows = by_day.select(F.col("_day").alias("day"), F.inline(values)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     return rows.groupBy("feature", "day").agg(
@@ -36,9 +37,9 @@ def day_sketches(df: DataFrame, cols: Sequence[str], ts: str, k: int = K) -> Dat
     ).select("feature", "n", "low", "high", "sketch", "day")
 
 
-def write_sketches(df: DataFrame, cols: Sequence[str], ts: str, path: str, k: int = K) -> None:
-    """Write the sketches of the days in ``df`` to the table at ``path``; other days stay as they are."""
-    day_sketches(df, cols, ts, k).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+def write_sketches(df: DataFrame, cols: Sequence[str], ts: str, path: str, k: int = K, unit: str = "day") -> None:
+    """Write the sketches of the days in ``df`` to the table at ``path``, a file each; other days stay as they are."""
+    day_sketches(df, cols, ts, k, unit).repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
 def read_sketches(spark: SparkSession, path: str, first: str, last: str) -> DataFrame:

@@ -325,10 +325,10 @@ def _(spark, sf):
 @query("d6_sketched_drift", f"""{_CDF} SELECT feature, n_current, n_baseline, true AS ks_within_error, true AS distance_within_error,
   true AS error_is_small FROM p""")
 def _(spark, sf):
-    """The report over the two periods from stored sketches of their days, held against the exact one."""
+    """The report over the two periods from stored sketches of their months, held against the exact one."""
     cur, base = S.drift_pair(spark, sf)
     path = scratch_path(spark, "sketches")
-    Y.write_sketches(base.unionAll(cur), DRIFT_COLS, "l_shipdate", path)
+    Y.write_sketches(base.unionAll(cur), DRIFT_COLS, "l_shipdate", path, unit="month")
     report = Y.sketched_drift(Y.read_sketches(spark, path, "1999-01-01", "9999-12-31"), Y.read_sketches(spark, path, "0001-01-01", "1998-12-31"))
     exact = X.drift_report(cur, base, DRIFT_COLS).select(
         "feature", F.col("ks_statistic").alias("_ks"), F.col("normalized_wasserstein_distance").alias("_ws")
