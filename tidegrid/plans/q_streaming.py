@@ -32,8 +32,7 @@ def event_stream(spark, sf, at_once=False):
     if at_once:
         where = {"path": sf, "pathGlobFilter": "events.parquet"}
         return S.ride_events(spark, sf, read_event_stream(spark, "parquet", events.schema, where))
-    day = F.dayofmonth("ts")
-    return S.ride_events(spark, sf, _arrivals(spark, sf, "in order", F.when(day <= 10, 1).when(day <= 20, 2).otherwise(3)))
+    return S.ride_events(spark, sf, _arrivals(spark, sf, "in order", _third_of_the_month()))
 
 
 #: Files of an arrival; a micro-batch takes as many.
@@ -51,13 +50,14 @@ def _arrivals(spark, sf, name, part):
     return read_event_stream(spark, "parquet", events.schema, {"path": _ARRIVED[known]}, max_per_trigger=FILES)
 
 
-# Late arrivals: each 7th event comes two arrivals after its day, each 11th of the others has lost its time.
-LATE_PART = F.when(F.dayofmonth("ts") <= 10, 1).when(F.dayofmonth("ts") <= 20, 2).otherwise(3)
+def _third_of_the_month():
+    day = F.dayofmonth("ts")
+    return F.when(day <= 10, 1).when(day <= 20, 2).otherwise(3)
 
 
 def _late_stream(spark, sf):
-    """Events of which some come after their time and some have none."""
-    part = F.when(F.col("event_id") % 7 == 0, F.lit(3)).otherwise(LATE_PART)
+    """Each 7th event comes with the last arrival, each 11th of the others has lost its time."""
+    part = F.when(F.col("event_id") % 7 == 0, F.lit(3)).otherwise(_third_of_the_month())
     raw = _arrivals(spark, sf, "late", part)
     return raw.withColumn("ts", F.when((F.col("event_id") % 7 == 0) | (F.col("event_id") % 11 != 0), F.col("ts")))
 
