@@ -62,10 +62,11 @@ def _late_stream(spark, sf):
     return raw.withColumn("ts", F.when((F.col("event_id") % 7 == 0) | (F.col("event_id") % 11 != 0), F.col("ts")))
 
 
+# Marks are whole milliseconds, cut off as Spark does; epoch_ms would round.
 _LATE = """timed AS (SELECT event_id, user_id, event_type, "value", CASE WHEN event_id % 7 = 0 OR event_id % 11 <> 0 THEN ts END AS ts,
     CASE WHEN event_id % 7 = 0 THEN 3 WHEN day(ts) <= 10 THEN 1 WHEN day(ts) <= 20 THEN 2 ELSE 3 END AS part FROM events),
-  marks AS (SELECT p.part, coalesce((SELECT max(epoch_ms(t.ts)) FROM timed t WHERE t.part < p.part) - 600000, 0) AS mark_ms,
-    coalesce((SELECT max(epoch_ms(t.ts)) FROM timed t WHERE t.part < p.part - 1) - 600000, 0) AS before_ms
+  marks AS (SELECT p.part, coalesce((SELECT max(epoch_us(t.ts) // 1000) FROM timed t WHERE t.part < p.part) - 600000, 0) AS mark_ms,
+    coalesce((SELECT max(epoch_us(t.ts) // 1000) FROM timed t WHERE t.part < p.part - 1) - 600000, 0) AS before_ms
     FROM (SELECT unnest([1, 2, 3]) AS part) p)"""
 
 
@@ -83,14 +84,14 @@ def _(spark, sf):
 
 
 @query("j4_late_rows", f"""WITH {_LATE} SELECT event_id, part - 1 AS batch_id, CASE WHEN ts IS NULL THEN 'no time' ELSE 'late' END AS reason
-  FROM timed JOIN marks USING (part) WHERE ts IS NULL OR epoch_ms(ts) <= mark_ms""")
+  FROM timed JOIN marks USING (part) WHERE ts IS NULL OR epoch_us(ts) // 1000 <= mark_ms""")
 def _(spark, sf):
     """What a stream with state per key leaves out."""
     return _left_out(spark, sf)[0].select("event_id", F.col("batch_id").cast("int").alias("batch_id"), "reason")
 
 
 @query("j4_late_counts", f"""WITH {_LATE} SELECT part - 1 AS batch_id, mark_ms, count(*) AS n_rows, count(*) FILTER (ts IS NULL) AS n_no_time,
-  count(*) FILTER (epoch_ms(ts) <= mark_ms) AS n_late FROM timed JOIN marks USING (part) GROUP BY part, mark_ms""")
+  count(*) FILTER (epoch_us(ts) // 1000 <= mark_ms) AS n_late FROM timed JOIN marks USING (part) GROUP BY part, mark_ms""")
 def _(spark, sf):
     out = _left_out(spark, sf)[1].filter("n_rows > 0")
     return out.select(F.col("batch_id").cast("int").alias("batch_id"), "mark_ms", "n_rows", "n_no_time", "n_late")
@@ -99,7 +100,7 @@ def _(spark, sf):
 @query("j1_demand_without_late_rows", f"""WITH {_LATE} SELECT time_bucket(interval 5 minute, ts) AS feature_window_start, user_id,
     count("value") AS raw_demand_count FROM timed JOIN marks USING (part)
   WHERE epoch_ms(time_bucket(interval 5 minute, ts) + interval 5 minute) > before_ms
-    AND epoch_ms(time_bucket(interval 5 minute, ts) + interval 5 minute) <= (SELECT max(epoch_ms(ts)) FROM timed) - 600000 GROUP BY ALL""")
+    AND epoch_ms(time_bucket(interval 5 minute, ts) + interval 5 minute) <= (SELECT max(epoch_us(ts) // 1000) FROM timed) - 600000 GROUP BY ALL""")
 def _(spark, sf):
     """Windows over what is left: what the side table holds and what the stream used are all events."""
     out = K.stream_demand(_late_stream(spark, sf), ["user_id"], "ts", "value")
@@ -107,7 +108,7 @@ def _(spark, sf):
 
 
 @query("j4_streaks_without_late_rows", f"""WITH {_LATE}, e AS (SELECT timed.* FROM timed JOIN marks USING (part)
-    WHERE epoch_ms(ts) > mark_ms AND epoch_ms(ts) <= (SELECT max(epoch_ms(ts)) FROM timed) - 600000),
+    WHERE epoch_us(ts) // 1000 > mark_ms AND epoch_us(ts) // 1000 <= (SELECT max(epoch_us(ts) // 1000) FROM timed) - 600000),
   g AS (SELECT *, sum((event_type <> 'error')::int) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM e),
   s AS (SELECT *, count(*) FILTER (event_type = 'error') OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS n FROM g)
   SELECT user_id, ts, event_id, n AS failed_attempts FROM s WHERE event_type = 'error' AND n >= 2""")
