@@ -20,68 +20,152 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidegrid.functions.columns import event_time
 
 
-#: Width of the time buckets that rows wait in.
+#: Width of the time buckets at whose borders waiting rows are cut where rows are dense.
 BUCKET_MS = 60_000
+#: Rows of a piece at most; a key with no more waiting rows has them beside its index.
+PIECE_ROWS = 2048
+#: Rows of one key that are sorted at a time when they arrive, and that are applied at a time.
+SORT_ROWS, APPLY_ROWS = 1 << 18, 1 << 13
 #: Stands for a tie that is null: before all others.
 NO_TIE = -(2**63)
 
 
+def _cuts(at: np.ndarray) -> list[tuple[int, int]]:
+    """Where rows in order of time are cut into pieces: at the border of a time bucket if a piece is well filled by then."""
+    borders, out, begin = np.flatnonzero(np.diff(at // 1000 // BUCKET_MS)) + 1, [], 0
+    while len(at) - begin > PIECE_ROWS:
+        end = begin + PIECE_ROWS
+        last = int(np.searchsorted(borders, end, "right")) - 1
+        if last >= 0 and borders[last] > begin + PIECE_ROWS // 2:
+            end = int(borders[last])
+        out.append((begin, end))
+        begin = end
+    return [*out, (begin, len(at))]
+
+
 class InOrder(StatefulProcessor):
     """Hold rows back, release them in order of (time, tie), hand them to ``apply``.
 
-    Rows wait in time buckets and a timer knows its bucket, so what a timer costs depends on the rows of that bucket and not on
-    all that wait. Timers of a key come in order of time.
+    Calls to the state store cost far more than the rows they carry, so a key has one entry: its waiting rows, packed, as long as
+    they are few. More rows lie in sorted pieces, and the entry keeps where each begins. A key has one timer, for its earliest
+    row. It merges the pieces that begin by the mark in order of time, holding those that overlap, and only what such pieces hold
+    beyond the mark is written again.
     """
 
+    #: Whether only the last row that ``apply`` sends for a mark counts.
+    last_only = False
+
     def __init__(self, key: Sequence[str], payload: str, state: str):
-        self.key, self.payload, self.state = list(key), payload, state
+        self.key, self.state = list(key), state
+        kinds = {"boolean": "?", "double": "f8", "long": "i8"}
+        self.kind = [("at", "i8"), ("tie", "i8"), *((name, kinds[t]) for name, t in (f.split() for f in payload.split(",")))]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        fields = [f.split() for f in self.payload.split(",")]
-        self.columns = ["at", "tie", *(f[0] for f in fields)]
-        lists = ", ".join(f"{name} array<{kind}>" for name, kind in [("at", "long"), ("tie", "long"), *fields])
-        self.waiting = handle.getMapState("waiting", "bucket long", lists)
+        self.held = handle.getValueState("held", "rows binary, pieces binary, following long, timer long")
+        self.pieces = handle.getMapState("pieces", "number long", "rows binary")
         self.value = handle.getValueState("value", self.state)
 
-    def _put(self, bucket: int, rows: list[tuple]) -> None:
-        self.waiting.updateValue((bucket,), tuple(list(c) for c in zip(*rows)))
-        self.handle.registerTimer(min(r[0] for r in rows) // 1000)
+    def _unpack(self, raw: bytes) -> np.ndarray:
+        return np.frombuffer(raw, self.kind)
+
+    def _sorted(self, *parts: np.ndarray) -> np.ndarray:
+        rows = np.concatenate(parts) if len(parts) > 1 else parts[0]
+        return rows[np.lexsort([rows[name] for name, _ in reversed(self.kind)])]
+
+    def _load(self) -> tuple[np.ndarray, np.ndarray, int, int | None]:
+        """Rows beside the index, the index (begin, number, rows of each piece), the next number, and the timer that is set."""
+        found = self.held.get()
+        if found is None:
+            return self._unpack(b""), np.zeros((0, 3), np.int64), 0, None
+        return self._unpack(found[0]), np.frombuffer(found[1], np.int64).reshape(-1, 3), found[2], found[3]
+
+    def _store(self, rows: np.ndarray, index: np.ndarray, following: int, timer: int | None) -> None:
+        """Keep sorted rows; all but the last piece of them go to the map. Sets the timer if none as early is set."""
+        if not len(rows) and not len(index):
+            self.held.clear()
+            return
+        *full, (begin, end) = _cuts(rows["at"])
+        added = []
+        for a, b in full:
+            self.pieces.updateValue((following,), (rows[a:b].tobytes(),))
+            added.append((int(rows["at"][a]), following, b - a))
+            following += 1
+        index = np.concatenate([index, np.array(added, np.int64).reshape(-1, 3)])
+        first = min([*rows["at"][:1].tolist(), *index[:, 0].tolist()]) // 1000
+        if timer is None or first < timer:
+            self.handle.registerTimer(first)
+            timer = first
+        self.held.update((rows[begin:end].tobytes(), index.tobytes(), following, timer))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        mark = timerValues.getCurrentWatermarkInMs()
-        fresh: dict[int, list[tuple]] = {}
+        mark, fresh, n = timerValues.getCurrentWatermarkInMs(), [], 0
         for pdf in rows:
             pdf = pdf[pdf["at"] // 1000 > mark]  # stream_late_rows keeps the others
-            for row in zip(*[pdf[c].tolist() for c in self.columns]):
-                fresh.setdefault(row[0] // 1000 // BUCKET_MS, []).append(row)
-        for bucket, new in fresh.items():
-            if self.waiting.containsKey((bucket,)):
-                new = [*zip(*self.waiting.getValue((bucket,))), *new]
-            self._put(bucket, new)
+            part = np.empty(len(pdf), self.kind)
+            for name, _ in self.kind:
+                part[name] = pdf[name].to_numpy()
+            fresh.append(part)
+            n += len(part)
+            if n >= SORT_ROWS:
+                self._take(fresh)
+                fresh, n = [], 0
+        if n:
+            self._take(fresh)
         return iter(())
 
+    def _take(self, fresh: list[np.ndarray]) -> None:
+        rows, index, following, timer = self._load()
+        self._store(self._sorted(rows, *fresh), index, following, timer)
+
+    def _due(self, rows: np.ndarray, index: np.ndarray, mark: int, rest: list[np.ndarray]) -> Iterator[np.ndarray]:
+        """Rows up to the mark in order; those behind it that came with them go to ``rest``."""
+        at = 0
+        while True:
+            loaded, n = [rows], 0
+            while at < len(index) and n < max(PIECE_ROWS, len(rows)):
+                number = (int(index[at, 1]),)
+                loaded.append(self._unpack(self.pieces.getValue(number)[0]))
+                self.pieces.removeKey(number)
+                n += len(loaded[-1])
+                at += 1
+            rows = self._sorted(*loaded)
+            last = at == len(index)
+            bound = (mark + 1) * 1000 if last else int(index[at, 0])  # a piece that is not here may hold an equal time
+            ready = int(np.searchsorted(rows["at"], bound))
+            for begin in range(0, ready, APPLY_ROWS):
+                yield rows[begin : min(begin + APPLY_ROWS, ready)]
+            rows = rows[ready:]
+            if last:
+                rest.append(rows)
+                return
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        bucket = expiredTimerInfo.getExpiryTimeInMs() // BUCKET_MS
-        if not self.waiting.containsKey((bucket,)):
-            return
+        rows, index, following, timer = self._load()
         mark = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(zip(*self.waiting.getValue((bucket,))))
-        due = [r for r in rows if r[0] // 1000 <= mark]
-        if not due:
-            return
-        if len(due) < len(rows):
-            self._put(bucket, rows[len(due):])
-        else:
-            self.waiting.removeKey((bucket,))
-        out = self.apply(due)
-        for i, k in enumerate(self.key):
-            out.insert(i, k, key[i])
-        if len(out):
-            yield out
-
-    def apply(self, rows: list[tuple]) -> pd.DataFrame:
-        """Take in rows that are next in order; the rows to send."""
+        if timer is None or timer > mark:
+            return  # an earlier timer has seen to these rows
+        begun = index[:, 0] // 1000 <= mark
+        due, rest = index[begun], []
+        due = due[np.argsort(due[:, 0], kind="stable")]
+        state, sent, begin = self.value.get(), None, True
+        for part in self._due(rows, due, mark, rest):
+            state, out = self.apply(state, part)
+            begin = False
+            if len(out):
+                for i, k in enumerate(self.key):
+                    out.insert(i, k, key[i])
+                if not self.last_only:
+                    yield out
+                sent = out
+        if self.last_only and sent is not None:
+            yield sent
+        if not begin:
+            self.value.update(state) if state is not None else self.value.clear()
+        self._store(rest[0], index[~begun], following, None)
+
+    def apply(self, state: tuple | None, rows: np.ndarray) -> tuple[tuple | None, pd.DataFrame]:
+        """Take in rows that are next in order; the key's new state (or None) and the rows to send."""
         raise NotImplementedError
 
     def close(self) -> None:
@@ -117,18 +201,13 @@ class _Streaks(InOrder):
         super().__init__(key, "ok boolean", "fails long")
         self.limit = limit
 
-    def apply(self, rows):
-        fails = self.value.get()[0] if self.value.exists() else 0
-        out = []
-        for at, tie, ok in rows:
-            fails = 0 if ok else fails + 1
-            if fails >= self.limit:
-                out.append((at, tie, fails))
-        if fails:
-            self.value.update((fails,))
-        else:
-            self.value.clear()  # no open streak, nothing to remember of this key
-        return pd.DataFrame(out, columns=["at", "tie", "failed_attempts"])
+    def apply(self, state, rows):
+        n = np.arange(1, len(rows) + 1)
+        good = np.maximum.accumulate(np.where(rows["ok"], n, 0))  # the last good row so far
+        fails = n - good + np.where(good == 0, state[0] if state else 0, 0)
+        alert = ~rows["ok"] & (fails >= self.limit)
+        out = pd.DataFrame({"at": rows["at"][alert], "tie": rows["tie"][alert], "failed_attempts": fails[alert]})
+        return (int(fails[-1]),) if fails[-1] else None, out  # no open streak, nothing to remember of this key
 
 
 def stream_failed_access(
@@ -143,17 +222,18 @@ def stream_failed_access(
 
 
 class _Elasticity(InOrder):
+    last_only = True
+
     def __init__(self, key, seed, lr, lo, hi):
         super().__init__(key, "observed double", "eta double, n long")
         self.seed, self.lr, self.lo, self.hi = seed, lr, lo, hi
 
-    def apply(self, rows):
-        eta, n = self.value.get() if self.value.exists() else (self.seed, 0)
-        for _at, _tie, observed in rows:
+    def apply(self, state, rows):
+        eta, n = state or (self.seed, 0)
+        for observed in rows["observed"].tolist():
             eta = max(self.lo, min(self.hi, eta * (1 - self.lr) + observed * self.lr))
-            n += 1
-        self.value.update((eta, n))
-        return pd.DataFrame({"at": [rows[-1][0]], "elasticity": [eta], "updates": [n]})
+        n += len(rows)
+        return (eta, n), pd.DataFrame({"at": [int(rows["at"][-1])], "elasticity": [eta], "updates": [n]})
 
 
 def stream_elasticity(
@@ -161,12 +241,12 @@ def stream_elasticity(
     seed: float = -0.8, lr: float = 0.01, lo: float = -2.5, hi: float = -0.1,
     watermark: str = "10 minutes",
 ) -> DataFrame:
-    """The key's elasticity after each released run of price changes."""
+    """The key's elasticity after each released run of price changes: those that a mark has passed since the last."""
     ratio = (F.col(new_price) - F.col(old_price)) / F.col(old_price)
     usable = (F.col(old_price) != 0) & (F.col(new_price) != 0) & (F.col(new_price) != F.col(old_price))
     return _in_order(
         df.filter(usable & F.col(change).isNotNull()), key, ts, tie, watermark,
-        {"observed": F.col(change) / ratio}, _Elasticity(key, seed, lr, lo, hi),
+        {"observed": (F.col(change) / ratio).cast("double")}, _Elasticity(key, seed, lr, lo, hi),
         "at long, elasticity double, updates long",
     )
 
@@ -176,9 +256,9 @@ class _Outliers(InOrder):
         super().__init__(key, "value double", "recent array<double>")
         self.n, self.c = n, contamination
 
-    def apply(self, rows):
-        recent = list(self.value.get()[0]) if self.value.exists() else []
-        values = np.array(recent + [r[2] for r in rows])
+    def apply(self, state, rows):
+        recent = list(state[0]) if state else []
+        values = np.concatenate([recent, rows["value"]])
         skip = len(recent)
         bounds = np.full((2, len(rows)), np.nan)
         first = max(self.n - 1, skip)
@@ -188,10 +268,8 @@ class _Outliers(InOrder):
         now = values[skip:]
         with np.errstate(invalid="ignore"):
             flag = (now < bounds[0]) | (now > bounds[1])
-        self.value.update((values[-self.n + 1:].tolist(),))
-        return pd.DataFrame(
-            {"at": [r[0] for r in rows], "tie": [r[1] for r in rows], "value": now, "is_outlier": flag}
-        )
+        out = pd.DataFrame({"at": rows["at"], "tie": rows["tie"], "value": now, "is_outlier": flag})
+        return (values[-self.n + 1:].tolist(),), out
 
 
 def stream_outlier(
