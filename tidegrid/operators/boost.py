@@ -39,6 +39,8 @@ KEEP = 20
 #: Tasks whose sums the driver adds itself; sums of more are combined on executors first.
 FAN_IN = 64
 BLOCK_ROWS = 1 << 17
+#: A table of so many blocks at most is one block: three thousand passes over it cost less than as many jobs.
+APART_BLOCKS = 4
 BLOCKS = "block long, n int, bins binary, label binary, test binary, score binary"
 #: Bytes of predictions that a worker keeps from pass to pass; what it does not have it works out again.
 CACHE_BYTES = 128 << 20
@@ -76,17 +78,27 @@ class Tree:
         return (*small, np.array([self.value(i) for i in range(len(self.feature))]))
 
 
-def nodes_of(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """The node where each row (a column of ``bins``) ends."""
-    at = np.zeros(bins.shape[1], np.int32)
-    rows = np.arange(bins.shape[1])
+def nodes_of(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """The node where each row (a column of ``bins``) ends, from ``at`` on or from the root."""
+    n, flat = bins.shape[1], bins.reshape(-1)
+    if at is None:
+        at = np.zeros(n, np.int64)
+        if feature[0] >= 0:
+            at += left[0]
+            at += bins[feature[0]] > cut[0]
+    else:
+        at = at.copy()
+    places, inner = feature.astype(np.int64) * n, feature >= 0
+    left = left.astype(np.int64)
+    rows, here = np.arange(n), at
     while True:
-        f = feature[at]
-        inner = f >= 0
-        if not inner.any():
+        going = inner.take(here)
+        if not going.all():
+            rows, here = rows[going], here[going]
+        if not len(rows):
             return at
-        beyond = bins[np.maximum(f, 0), rows] > cut[at]
-        at = np.where(inner, left[at] + beyond, at)
+        here = left.take(here) + (flat.take(places.take(here) + rows) > cut.take(here))
+        at[rows] = here
 
 
 @dataclass
@@ -177,12 +189,10 @@ def bin_edges(df: DataFrame, cols: Sequence[str], bins: int) -> list[np.ndarray]
     return [np.unique(np.array(x if x else [0.0], float)) for x in found]
 
 
-def packed_blocks(df: DataFrame, cols: Sequence[str], label: str, edges: list[np.ndarray], held_out: float, seed: int) -> DataFrame:
-    """Rows in blocks of ``BLOCKS`` (without scores); in a block they stand in the order of a hash of their values."""
+def packed_blocks(df: DataFrame, cols: Sequence[str], label: str, edges: list[np.ndarray], held_out: float, seed: int, limit: int) -> DataFrame:
+    """Rows in blocks of ``BLOCKS`` (without scores), ``limit`` rows each; in a block they stand in the order of a hash of their values."""
     width = np.uint8 if max(map(len, edges)) < 254 else np.uint16
 
-    limit = BLOCK_ROWS
-
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, n = [], 0
         for batch in batches:
@@ -295,17 +305,18 @@ class Grower:
         def whole(pair):
             i, (block, n_rows, packed, label, test, score) = pair
             t, (bins, score) = trials[i], read(packed, score, n_rows)
-            label, test, score = np.frombuffer(label, float), np.frombuffer(test, bool), score[i].copy()
+            label, test = np.frombuffer(label, float), np.frombuffer(test, bool)
+            own = Block(block, bins, score[i].copy(), 0)
             while t.waits:
                 if not t.frontier and len(t.trees) < t.rounds:
                     t.next_tree(d)
                 job, before = t.job(0, wide), len(t.trees) - (t.level > 0)
-                error, code, sums, counts = block_sums(job, block, bins, score - label, test)
+                error, code, sums, counts = own.sums(job, label, test)
                 total, n = np.zeros(job["size"]), np.zeros(job["size"])
                 total[code], n[code] = sums, counts
                 t.advance(job, total, n, math.sqrt(error / test.sum()) if test.any() else math.nan)
                 if len(t.trees) - (t.level > 0) > before:
-                    _apply(score, bins, (t.rate, *t.trees[-1].packed()))
+                    own.apply((t.rate, *t.trees[-1].packed()))
             return i, t
 
         n = len(trials)
@@ -315,7 +326,7 @@ class Grower:
 
     def _pass(self, plan: list[dict | None], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sums of gradients and counts by code, and each trial's held-out error."""
-        ahead, read, n_trials, path = self._ahead(), self._scores(), len(self.trials), self.path
+        ahead, read, n_trials, path, applied = self._ahead(), self._scores(), len(self.trials), self.path, self.applied
 
         def add(part, rows):
             codes, sums, counts = [], [], []
@@ -326,8 +337,8 @@ class Grower:
                 tests += int(test.sum())
                 for i, job in enumerate(plan):
                     if job:
-                        now = _predictions((path, block, i), score[i], bins, ahead[i])
-                        off, code, total, n = block_sums(job, block, bins, now - label, test)
+                        own = _kept((path, block, i), score[i], bins, applied[i], ahead[i])
+                        off, code, total, n = own.sums(job, label, test)
                         error[i] += off
                         codes.append(code + job["begin"])
                         sums.append(total)
@@ -347,22 +358,66 @@ class Grower:
         return total, n, np.sqrt(error / tests) if tests else np.full(n_trials, np.nan)
 
 
-def block_sums(job: dict[str, Any], block: int, bins: np.ndarray, gradient: np.ndarray, test: np.ndarray) -> tuple:
-    """Of one block: the held-out squared error, and by code the sums of gradients and the counts."""
-    error = float((gradient[test] ** 2).sum()) if job["error"] else 0.0
-    if not job["size"]:
-        return error, np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
-    drawn = ~test
-    if job["rows"] < 1:
-        rng = np.random.default_rng([*job["seed"], block >> 32, block & 0xFFFFFFFF])
-        drawn &= rng.random(len(drawn)) < job["rows"]
-    at = job["place"][nodes_of(bins, *job["tree"])]
-    rows = np.flatnonzero(drawn & (at >= 0))
-    own, columns, wide = at[rows], len(job["chosen"]), job["wide"]
-    code = np.concatenate([(own * columns + c) * wide + bins[f, rows] for c, f in enumerate(job["chosen"])])
-    n = np.bincount(code, minlength=job["size"])
-    seen = np.flatnonzero(n)
-    return error, seen, np.bincount(code, np.tile(gradient[rows], columns), job["size"])[seen], n[seen]
+class Block:
+    """One block as a trial sees it: predictions with ``done`` trees in them, and of the tree that grows the rows drawn, their bins
+    and the nodes they have reached, so that a level is one step on from the level before."""
+
+    def __init__(self, block: int, bins: np.ndarray, score: np.ndarray, done: int):
+        self.block, self.bins, self.score, self.done = block, bins, score, done
+        self.number = -1  # of the tree whose rows are drawn
+
+    @property
+    def nbytes(self) -> int:
+        return self.score.nbytes + (self.rows.nbytes + self.small.nbytes + self.at.nbytes + self.gradient.nbytes if self.number >= 0 else 0)
+
+    def _draw(self, job: dict[str, Any], gradient: np.ndarray, test: np.ndarray) -> None:
+        drawn = ~test
+        if job["rows"] < 1:
+            rng = np.random.default_rng([*job["seed"], self.block >> 32, self.block & 0xFFFFFFFF])
+            drawn &= rng.random(len(drawn)) < job["rows"]
+        self.number, self.rows, self.drawn = job["seed"][1], np.flatnonzero(drawn), drawn
+        self.small, self.gradient = self.bins[:, self.rows], gradient[self.rows]
+        self.at = np.zeros(len(self.rows), np.int64)
+
+    def sums(self, job: dict[str, Any], label: np.ndarray, test: np.ndarray) -> tuple:
+        """The held-out squared error, and by code the sums of gradients and the counts."""
+        fresh = job["size"] and job["seed"][1] != self.number
+        gradient = self.score - label if job["error"] or fresh else None
+        error = float((gradient[test] ** 2).sum()) if job["error"] else 0.0
+        if not job["size"]:
+            return error, np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        if fresh:
+            self._draw(job, gradient, test)
+        self.at = nodes_of(self.small, *job["tree"], self.at)
+        columns, wide = len(job["chosen"]), job["wide"]
+        place, small, gradient = job["place"], self.small, self.gradient
+        if len(place) > 1:
+            place = place.take(self.at)
+            if (place < 0).any():
+                some = np.flatnonzero(place >= 0)
+                place, small, gradient = place[some], small[:, some], gradient[some]
+            begin = place * (columns * wide)
+        else:
+            begin = np.zeros(len(self.at), np.int64)
+        total, n = np.zeros(job["size"]), np.zeros(job["size"], np.int64)
+        for c, f in enumerate(job["chosen"]):
+            code = begin + small[f]
+            size = job["size"] - c * wide
+            total[c * wide :] += np.bincount(code, gradient, size)
+            n[c * wide :] += np.bincount(code, minlength=size)
+        seen = np.flatnonzero(n)
+        return error, seen, total[seen], n[seen]
+
+    def apply(self, tree: tuple) -> None:
+        """Add a finished tree to the predictions."""
+        rate, *shape, value = tree
+        if self.done == self.number:
+            others = np.flatnonzero(~self.drawn)
+            self.score[self.rows] += rate * value[nodes_of(self.small, *shape, self.at)]
+            self.score[others] += rate * value[nodes_of(self.bins[:, others], *shape)]
+        else:
+            _apply(self.score, self.bins, tree)
+        self.done += 1
 
 
 def _apply(score: np.ndarray, bins: np.ndarray, tree: tuple) -> None:
@@ -370,22 +425,23 @@ def _apply(score: np.ndarray, bins: np.ndarray, tree: tuple) -> None:
     score += rate * value[nodes_of(bins, feature, cut, left)]
 
 
-#: Predictions of a block with the number of trees they hold, within a Python worker.
-_SEEN: OrderedDict[tuple, tuple[int, np.ndarray]] = OrderedDict()
+#: Blocks as trials see them, within a Python worker.
+_SEEN: OrderedDict[tuple, Block] = OrderedDict()
 
 
-def _predictions(key: tuple, written: np.ndarray, bins: np.ndarray, trees: list[tuple]) -> np.ndarray:
+def _kept(key: tuple, written: np.ndarray, bins: np.ndarray, applied: int, trees: list[tuple]) -> Block:
     """What is written plus the trees since then, from where this worker left off."""
-    done, score = _SEEN.pop(key, (0, None))
-    if score is None or done > len(trees):
-        done, score = 0, written.copy()
-    for tree in trees[done:]:
-        _apply(score, bins, tree)
-    _SEEN[key] = len(trees), score
-    size = sum(s.nbytes for _, s in _SEEN.values()) if len(_SEEN) % 16 == 0 else 0
+    own = _SEEN.pop(key, None)
+    if own is None or own.done > applied + len(trees):
+        own = Block(key[1], bins, written.copy(), applied)
+    own.bins = bins
+    for tree in trees[own.done - applied :]:
+        own.apply(tree)
+    _SEEN[key] = own
+    size = sum(s.nbytes for s in _SEEN.values()) if len(_SEEN) % 16 == 0 else 0
     while size > CACHE_BYTES and len(_SEEN) > 1:
-        size -= _SEEN.popitem(last=False)[1][1].nbytes
-    return score
+        size -= _SEEN.popitem(last=False)[1].nbytes
+    return own
 
 
 def _sums(part: int, codes: list, sums: list, counts: list, error: np.ndarray, tests: int) -> tuple:
@@ -420,9 +476,10 @@ def grow(
     if not n:
         raise ValueError(f"no row has a {label}")
     edges = bin_edges(known, cols, bins)
-    parts = -(-n // BLOCK_ROWS)
-    dealt = known.repartition(parts) if parts > 1 else known.coalesce(1)
-    grower = Grower(spark, packed_blocks(dealt, cols, "_label", edges, held_out, seed), edges, trials, start)
+    apart = n <= APART_BLOCKS * BLOCK_ROWS
+    dealt = known.coalesce(1) if apart else known.repartition(-(-n // BLOCK_ROWS))
+    blocks = packed_blocks(dealt, cols, "_label", edges, held_out, seed, n if apart else BLOCK_ROWS)
+    grower = Grower(spark, blocks, edges, trials, start)
     try:
         grower.run()
     finally:
