@@ -191,3 +191,33 @@ def test_routing_share_and_stability(spark):
     kept = out.filter("model_version = 'Staging'").join(wider.filter("model_version = 'Staging'"), "id").count()
     assert kept == out.filter("model_version = 'Staging'").count()
     assert R.ab_route(df, "id", {"Staging": 0.0}).filter("model_version <> 'Production'").count() == 0
+
+
+def test_unknown_values_stand_beyond_every_cut(spark):
+    """A split between known and unknown values: contributions add up for either kind of row."""
+    rows = [(i, None if i % 3 else float(i % 2), float(i % 5), 0.0, 10.0 if i % 3 else float(i % 2)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, y double")
+    model = T.train_forecaster(df, COLS, "y", {"maxIter": 10, "stepSize": 0.5, "maxDepth": 2, "subsamplingRate": 1.0, "columnShare": 1.0})
+    for r in T.attribution(df, model, COLS, ["id"], df).collect():
+        assert r.a_contribution + r.b_contribution + r.c_contribution == pytest.approx(r.predicted - r.base_value, abs=1e-9)
+
+
+def test_a_growing_tree_goes_on_from_level_to_level(monkeypatch):
+    """Each level moves the rows drawn one step on and draws them once per tree."""
+    rng = np.random.default_rng(3)
+    bins, label = rng.integers(0, 9, (3, 400)).astype(np.uint8), rng.normal(0, 1, 400)
+    test, t, drawn = np.zeros(400, bool), B.Trial(4, 0.3, 5, 0.7, 1.0, 1), []
+    own, plain = B.Block(0, bins, np.zeros(400), 0), np.zeros(400)
+    monkeypatch.setattr(B.Block, "_draw", lambda self, *a, draw=B.Block._draw: (drawn.append(1), draw(self, *a))[1])
+    while t.waits:
+        if not t.frontier and len(t.trees) < t.rounds:
+            t.next_tree(3)
+        job, before = t.job(0, 10), len(t.trees) - (t.level > 0)
+        error, code, sums, counts = own.sums(job, label, test)
+        total, n = np.zeros(job["size"]), np.zeros(job["size"])
+        total[code], n[code] = sums, counts
+        t.advance(job, total, n, 0.0)
+        if len(t.trees) - (t.level > 0) > before:
+            own.apply((t.rate, *t.trees[-1].packed()))
+            B._apply(plain, bins, (t.rate, *t.trees[-1].packed()))
+    assert len(drawn) == 4 and own.score.tolist() == plain.tolist()

@@ -174,9 +174,13 @@ def random_search(
     return df.sparkSession.createDataFrame(rows, "trial int, params string, rounds int, rmse double, is_best boolean")
 
 
-def _leaves(model: PipelineModel, df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+#: Stands for no upper bound.
+OPEN = 1 << 30
+
+
+def _leaves(model: PipelineModel, df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """Leaves of all trees: value times the tree's weight, and for each feature tested on the way its index and the
-    bounds of what passes, above ``low`` up to ``high``.
+    bounds of what passes, above ``low`` up to ``high``, as ranks among the feature's cuts; and the cuts of each feature.
 
     Node data is read back from the saved model. Rows are filled up with a feature that does not exist and always passes.
     """
@@ -189,9 +193,11 @@ def _leaves(model: PipelineModel, df: DataFrame) -> tuple[np.ndarray, np.ndarray
         F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("cut"),
     ).collect()
     at = {(r.treeID, r.id): r for r in nodes}
-    found: list[tuple[float, dict[int, tuple[float, float]]]] = []
+    cuts = [np.unique([r.cut for r in nodes if r.leftChild >= 0 and r.featureIndex == f]).astype(float) for f in range(learner.numFeatures)]
+    rank = [{c: i for i, c in enumerate(own.tolist())} for own in cuts]
+    found: list[tuple[float, dict[int, tuple[int, int]]]] = []
     for tree, weight in enumerate(learner.treeWeights):
-        todo: list[tuple[int, dict[int, tuple[float, float]]]] = [(0, {})]
+        todo: list[tuple[int, dict[int, tuple[int, int]]]] = [(0, {})]
         while todo:
             node, tested = todo.pop()
             r = at[tree, node]
@@ -200,29 +206,36 @@ def _leaves(model: PipelineModel, df: DataFrame) -> tuple[np.ndarray, np.ndarray
                 continue
             if r.numCategories >= 0:
                 raise ValueError("attribution needs numeric features; this model has categorical splits")
-            low, high = tested.get(r.featureIndex, (-np.inf, np.inf))
-            todo.append((r.leftChild, {**tested, r.featureIndex: (low, min(high, r.cut))}))
-            todo.append((r.rightChild, {**tested, r.featureIndex: (max(low, r.cut), high)}))
+            low, high = tested.get(r.featureIndex, (-1, OPEN))
+            at_cut = rank[r.featureIndex][r.cut]
+            todo.append((r.leftChild, {**tested, r.featureIndex: (low, min(high, at_cut))}))
+            todo.append((r.rightChild, {**tested, r.featureIndex: (max(low, at_cut), high)}))
     width = max(1, max(len(t) for _, t in found))
     if width > 12:
         raise ValueError(f"a leaf tests {width} features; its table has 2^{width} entries, which is kept to 2^12")
     feature = np.full((len(found), width), -1)
-    low, high = np.full(feature.shape, -np.inf), np.full(feature.shape, np.inf)
+    low, high = np.full(feature.shape, -1), np.full(feature.shape, OPEN)
     for i, (_, tested) in enumerate(found):
         for j, (f, (lo, hi)) in enumerate(tested.items()):
             feature[i, j], low[i, j], high[i, j] = f, lo, hi
-    return np.array([v for v, _ in found]), feature, low, high
-
-
-def _passes(x: np.ndarray, feature: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Which tests of one leaf each row passes, one bit per test. Unknown values go right, as the learner sends them."""
-    bits = np.zeros(len(x), np.int64)
-    for j, f in enumerate(feature.tolist()):
-        if f < 0:
-            bits |= 1 << j
+    return np.array([v for v, _ in found]), feature, low, high, cuts
+
+
+def _passes(x: np.ndarray, feature: list[int], low: list[int], high: list[int]) -> np.ndarray:
+    """Which tests of one leaf each row (a column of ranks) passes, one bit per test. Small whole numbers, so that a test of
+    many rows is a few machine instructions."""
+    kind = np.uint8 if len(feature) <= 8 else np.uint16
+    bits, filled = np.zeros(x.shape[1], kind), 0
+    for j, (f, a, b) in enumerate(zip(feature, low, high)):
+        if f < 0 or (a < 0 and b == OPEN):
+            filled |= 1 << j
+        elif b == OPEN:
+            bits |= (x[f] > a).view(np.uint8).astype(kind, copy=False) << kind(j)
+        elif a < 0:
+            bits |= (x[f] <= b).view(np.uint8).astype(kind, copy=False) << kind(j)
         else:
-            bits |= ((x[:, f] > low[j]) & (x[:, f] <= high[j])).astype(np.int64) << j
-    return bits
+            bits |= ((x[f] > a) & (x[f] <= b)).view(np.uint8).astype(kind, copy=False) << kind(j)
+    return (bits | kind(filled)).astype(np.int64)
 
 
 def _shapley_weights(width: int) -> np.ndarray:
@@ -238,9 +251,28 @@ def _shapley_weights(width: int) -> np.ndarray:
     return gain[..., None] * (x & ~z) - loss[..., None] * (~x & z)
 
 
-def _values(pdf: pd.DataFrame, cols: Sequence[str]) -> np.ndarray:
-    x = pdf[list(cols)].to_numpy(dtype=float)
-    return np.asfortranarray(np.where(np.isnan(x), np.inf, np.maximum(x, -np.finfo(float).max)))
+#: Rows that are held against the leaves at a time.
+ROWS_AT_ONCE = 1 << 16
+
+
+def _ranks(batches: Iterator[pd.DataFrame], cols: Sequence[str], cuts: list[np.ndarray]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches put together, and for each row (a column) the number of cuts of each feature below its value. Unknown values lie
+    beyond all cuts, as the learner sends them right."""
+    kind = np.uint8 if max(map(len, cuts)) < 255 else np.uint16 if max(map(len, cuts)) < 65_535 else np.int32
+
+    def ranked(pdf):
+        x = [pdf[c].to_numpy(dtype=float) for c in cols]
+        return pdf, np.stack([np.where(np.isnan(v), len(cut) + 1, np.searchsorted(cut, v)) for v, cut in zip(x, cuts)]).astype(kind)
+
+    waiting, n = [], 0
+    for pdf in batches:
+        waiting.append(pdf)
+        n += len(pdf)
+        if n >= ROWS_AT_ONCE:
+            yield ranked(pd.concat(waiting, ignore_index=True))
+            waiting, n = [], 0
+    if n:
+        yield ranked(pd.concat(waiting, ignore_index=True))
 
 
 def attribution(
@@ -256,16 +288,15 @@ def attribution(
     tree tests gets 0. The counts are bounded by the model (leaves times two to the power of the tests of a leaf).
     """
     n, cols = len(cols), list(cols)
-    value, feature, low, high = _leaves(model, df)
+    value, feature, low, high, cuts = _leaves(model, df)
     width = feature.shape[1]
     context = df.sparkSession.sparkContext
-    tests = context.broadcast((feature, low, high))
+    tests = context.broadcast((feature.tolist(), low.tolist(), high.tolist()))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         feature, low, high = tests.value
         seen = np.zeros((len(feature), 1 << width), np.int64)
-        for pdf in batches:
-            x = _values(pdf, cols)
+        for _, x in _ranks(batches, cols, cuts):
             for i in range(len(feature)):
                 seen[i] += np.bincount(_passes(x, feature[i], low[i], high[i]), minlength=1 << width)
         leaf, passed = np.nonzero(seen)
@@ -283,15 +314,14 @@ def attribution(
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         feature, low, high = tests.value
         weights = _shapley_weights(width).transpose(1, 2, 0).reshape(1 << width, -1)  # by background pattern
-        for pdf in batches:
-            x = _values(pdf, given)
-            total = np.zeros((n + 1, len(x)))  # the last row takes what fills up short leaves
+        for pdf, x in _ranks(batches, given, cuts):
+            total = np.zeros((n, len(pdf)))
             for i in range(len(feature)):
                 table = (shares.value[i] @ weights).reshape(width, -1)
                 passed = _passes(x, feature[i], low[i], high[i])
-                for j, f in enumerate(feature[i].tolist()):
+                for j, f in enumerate(feature[i]):
                     if f >= 0:
-                        total[f] += table[j][passed]
+                        total[f] += table[j].take(passed)
             yield pdf.drop(columns=given).assign(**{c: total[j] for j, c in enumerate(out)})
 
     base = score_batch(background, model).agg(F.avg("predicted")).scalar()
