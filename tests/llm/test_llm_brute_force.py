@@ -571,3 +571,28 @@ def test_pipeline_against_plain_python(spark):
     assert all(r.taken % r.size == 0 and r.n_chars == len(r.text) for r in out)
     assert sum(r.taken for r in out) == pytest.approx(sum(sizes.values()), rel=0.1)
     assert queries.QUERIES
+
+
+def test_common_seeds_lose_no_pair(spark, monkeypatch):
+    """What opens a pair leaves out no pair that counts: every document is held against every item beside it."""
+    monkeypatch.setattr(decontaminate, "COMMON", 3)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    items = [(i, " ".join(rng.choices(words[: 3 + i % 10], k=rng.randint(2, 14)))) for i in range(150)]
+    docs = [(i, " ".join(rng.choices(words, k=20)) + " " + rng.choice(items)[1] + " x " + rng.choice(items)[1][:15]) for i in range(60)]
+    cut = {i: decontaminate.tokens(pa.array([t]))[0] for i, t in [*items]}
+    seeds = {i: set(decontaminate.run_hash(t, 4).tolist()) if len(t) >= 4 else set() for i, t in cut.items()}
+    held = collections.Counter(s for key in {t.tobytes(): i for i, t in cut.items()}.values() for s in seeds[key])
+    want = set()
+    for d, text in docs:
+        document = decontaminate.Document(decontaminate.tokens(pa.array([text]))[0], 4)
+        for i, own in cut.items():
+            rare = np.ones(len(own), bool)
+            for p, s in enumerate(decontaminate.run_hash(own, 4).tolist() if len(own) >= 4 else ()):
+                if held[s] > 3:
+                    rare[p : p + 4] = False
+            if document.cover(own, rare, 0.5):
+                want.add((d, i))
+    assert max(held.values()) > 3
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 60
