@@ -396,15 +396,16 @@ class Block:
             if (place < 0).any():
                 some = np.flatnonzero(place >= 0)
                 place, small, gradient = place[some], small[:, some], gradient[some]
-            begin = place * (columns * wide)
+            begin = place * wide
         else:
             begin = np.zeros(len(self.at), np.int64)
-        total, n = np.zeros(job["size"]), np.zeros(job["size"], np.int64)
+        nodes = job["size"] // (columns * wide)
+        total, n = np.zeros((nodes, columns, wide)), np.zeros((nodes, columns, wide), np.int64)
         for c, f in enumerate(job["chosen"]):
             code = begin + small[f]
-            size = job["size"] - c * wide
-            total[c * wide :] += np.bincount(code, gradient, size)
-            n[c * wide :] += np.bincount(code, minlength=size)
+            total[:, c] = np.bincount(code, gradient, nodes * wide).reshape(nodes, wide)
+            n[:, c] = np.bincount(code, minlength=nodes * wide).reshape(nodes, wide)
+        total, n = total.reshape(-1), n.reshape(-1)
         seen = np.flatnonzero(n)
         return error, seen, total[seen], n[seen]
 
