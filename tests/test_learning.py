@@ -221,3 +221,54 @@ def test_a_growing_tree_goes_on_from_level_to_level(monkeypatch):
             own.apply((t.rate, *t.trees[-1].packed()))
             B._apply(plain, bins, (t.rate, *t.trees[-1].packed()))
     assert len(drawn) == 4 and own.score.tolist() == plain.tolist()
+
+
+def test_a_pass_adds_up_the_smaller_child():
+    """Of two children one is added up and the other is the rest of its parent; both are as if each had been added up."""
+    rng = np.random.default_rng(5)
+    bins, label, test = rng.integers(0, 9, (3, 500)).astype(np.uint8), rng.normal(0, 1, 500), np.zeros(500, bool)
+    own, t, seen = B.Block(0, bins, np.zeros(500), 0), B.Trial(1, 0.3, 5, 0.7, 1.0, 1), []
+    t.next_tree(3)
+    while t.frontier:
+        job = t.job(0, 10)
+        _, code, sums, counts = own.sums(job, label, test)
+        total, n = np.zeros(job["size"]), np.zeros(job["size"])
+        total[code], n[code] = sums, counts
+        if t.level:
+            assert job["size"] == len(t.frontier) // 2 * 3 * 10
+            whole = t.whole(total.reshape(-1, 3, 10), n.reshape(-1, 3, 10))
+            for node, g, h in zip(t.frontier, *whole):
+                rows = own.drawn & (own.at == node)
+                assert h.sum() == 3 * rows.sum() == 3 * t.trees[0].n[node]
+                for f in range(3):
+                    assert g[f].tolist() == pytest.approx(np.bincount(bins[f, rows], -label[rows], 10).tolist(), abs=1e-9)
+            seen.append(len(t.frontier))
+        t.advance(job, total, n, 0.0)
+    assert len(seen) == 4
+
+
+def test_lost_files_are_worked_out_again(spark, monkeypatch):
+    """What an executor kept between passes may go away at any time."""
+    monkeypatch.setattr(B, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(B, "KEEP", 2)
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(float(a), float(b), float(2 * a + b)) for a, b in rng.uniform(0, 1, (400, 2))], "a double, b double, y double")
+    df, once, passes = df.repartition(3).checkpoint(), B.Grower._pass, []
+
+    def losing(self, plan, size):
+        passes.append(len(plan))
+        if len(passes) % 4 == 0:
+            name = self.name
+            self.numbers.filter(lambda r: len(passes) % 8 or r[0] % 2).foreach(
+                lambda r: B._clear(*(f"{B._shelf(name)}/{x}" for x in (r[0], f"{r[0]}-0", f"{r[0]}-1")))
+            )
+        return once(self, plan, size)
+
+    def grown():
+        trials = [B.Trial(7, 0.3, 3, 0.8, 1.0, 1), B.Trial(4, 0.2, 4, 1.0, 1.0, 2)]
+        B.grow(df, ["a", "b"], "y", trials, held_out=0.25)
+        return [(t.errors, [tree.feature for tree in t.trees], [tree.cut for tree in t.trees]) for t in trials]
+
+    kept = grown()
+    monkeypatch.setattr(B.Grower, "_pass", losing)
+    assert grown() == kept and len(passes) > 20
