@@ -250,7 +250,7 @@ class Grower:
         self.name = f"boost-{uuid.uuid4().hex}"
         self.stored = durable(blocks).persist(StorageLevel.MEMORY_AND_DISK)
         self.state: RDD = self.stored.rdd.map(tuple)
-        self.numbers: RDD = self.stored.select("block", "n").rdd.map(tuple)  # lie where the blocks do
+        self.numbers: RDD = self.stored.select("block", "n").rdd.map(tuple).persist()  # lie where the blocks do
         self.tasks = self.state.getNumPartitions()
 
     def _done(self, t: Trial) -> int:
@@ -275,6 +275,7 @@ class Grower:
 
         if self.shelved:
             self.numbers.foreachPartition(clear)
+        self.numbers.unpersist()
         self.stored.unpersist()
         for trees in self.sent:
             trees.unpersist()
@@ -369,6 +370,7 @@ class Grower:
         found = out.collect()
         again = sorted(part for r in found for part in r[-1])
         if again:
+            self.numbers.unpersist().persist()  # they go where the blocks are now
             found += self.spark.sparkContext.runJob(self.state.mapPartitionsWithIndex(add), list, again)
         for _, code, sums, counts, errors, tested, _ in sorted(found, key=lambda r: (r[0], bool(r[-1]))):
             total[code] += sums
